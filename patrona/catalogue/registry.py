@@ -79,6 +79,40 @@ base AS (
   FROM marked)
 """
 
+FEEDBACK_CTE = """
+feedback AS (
+  SELECT customer_id, age::DOUBLE AS age, gender, country,
+    CASE WHEN customer_id % 23 <> 0 AND customer_id % 9 <> 0
+      THEN (round(cltv * 100)::BIGINT * 10 + 1000000)::DOUBLE / 100e0 END AS income,
+    CASE WHEN customer_id % 8 <> 0 THEN (customer_id % 5 + 1)::DOUBLE END AS product_quality,
+    ((customer_id % 7) % 5 + 1)::DOUBLE AS service_quality,
+    CASE WHEN customer_id % 6 <> 0 THEN n_orders::DOUBLE END AS purchase_frequency,
+    ['Low', 'MEDIUM', 'high', 'n/a'][customer_id % 4 + 1] AS feedback_score,
+    ['Bronze', 'silver', 'GOLD', 'platinum', NULL][customer_id % 5 + 1] AS loyalty_level,
+    CASE WHEN customer_id % 10 <> 0 THEN 1 + (customer_id % 9)::DOUBLE / 2 END AS satisfaction_score
+  FROM base)
+"""
+
+REQUEST_CTE = """
+requests AS (
+  SELECT customer_id AS request_id,
+    CASE WHEN customer_id % 17 = 0 THEN 'bad' WHEN customer_id % 11 = 0 THEN 'missing' ELSE 'ok' END AS tenure_state,
+    CASE WHEN customer_id % 13 = 0 THEN 'empty' ELSE 'ok' END AS charge_state,
+    tenure_in_months::DOUBLE AS tenure,
+    round(CAST(monthly_charge AS DECIMAL(38, 12)), 2)::DOUBLE AS monthly_charges,
+    round(CAST(total_charges AS DECIMAL(38, 12)), 2)::DOUBLE AS total_charges,
+    CASE WHEN customer_id % 19 = 0 THEN 'Weekly'
+      ELSE ['Month-to-month', 'One year', 'Two year'][customer_id % 3 + 1] END AS contract_type,
+    ['Basic', 'Standard', 'Premium', 'Gold'][customer_id % 4 + 1] AS service_type,
+    age, cltv * 10 AS income, round(CAST(monthly_charge AS DECIMAL(38, 12)), 2)::DOUBLE AS spending,
+    ['Low', 'Medium', 'High'][customer_id % 3 + 1] AS frequency,
+    CASE WHEN customer_id % 29 = 0 THEN 0 ELSE 1 + customer_id % 5 END::DOUBLE AS rating,
+    (customer_id % 41 - 20)::DOUBLE / 20 AS sentiment_score,
+    (customer_id % 48)::DOUBLE AS response_time, (customer_id % 97)::DOUBLE AS resolution_time,
+    ['Service', 'Product', 'Support', 'Billing'][customer_id % 4 + 1] AS category
+  FROM base)
+"""
+
 
 def on_base(sql: str, *ctes: str) -> str:
     """SQL over the customer base view, with optional further ``name AS (...)`` parts."""

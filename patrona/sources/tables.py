@@ -93,6 +93,47 @@ class Tables:
         derived = self._derived()
         return df.withColumns({c: derived[c] for c in columns if c in derived}).select(*columns)
 
+    def feedback(self) -> DataFrame:
+        """Uncleaned feedback answers per customer: padded and mixed-case text, blanks, unknown levels."""
+        key = F.col("customer_id")
+        level = F.element_at(F.array(*map(F.lit, [" Low", "MEDIUM ", "high", "n/a"])), (key % 4 + 1).cast("int"))
+        loyalty = F.element_at(F.array(*map(F.lit, ["Bronze ", " silver", "GOLD", "platinum", None])),
+                               (key % 5 + 1).cast("int"))
+        return self.base("customer_id", "age", "gender", "country", "cltv", "n_orders").select(
+            "customer_id", F.format_string(" %d ", F.col("age")).alias("age"), "gender", "country",
+            F.when(key % 23 == 0, "unknown").when(key % 9 != 0, F.format_number(F.col("cltv") * 10 + 10000, 2))
+            .alias("income"),
+            F.when(key % 8 != 0, (key % 5 + 1).cast("string")).alias("product_quality"),
+            ((key % 7) % 5 + 1).cast("string").alias("service_quality"),
+            F.when(key % 6 != 0, F.col("n_orders").cast("string")).alias("purchase_frequency"),
+            level.alias("feedback_score"), loyalty.alias("loyalty_level"),
+            F.when(key % 10 != 0, (1 + (key % 9) / 2).cast("string")).alias("satisfaction_score"))
+
+    def requests(self) -> DataFrame:
+        """Scoring requests per customer as text fields, some of them missing, unreadable or out of range."""
+        key = F.col("customer_id")
+
+        def pick(*names):
+            return F.element_at(F.array(*map(F.lit, names)), (key % len(names) + 1).cast("int"))
+
+        def text(c):
+            return F.col(c).cast("string")
+        return self.base("customer_id", "age", "cltv", "tenure_in_months", "monthly_charge", "total_charges").select(
+            key.alias("request_id"),
+            F.when(key % 17 == 0, "abc").when(key % 11 != 0, text("tenure_in_months")).alias("tenure"),
+            F.when(key % 13 == 0, "").otherwise(F.round("monthly_charge", 2).cast("string")).alias("monthly_charges"),
+            F.round("total_charges", 2).cast("string").alias("total_charges"),
+            F.when(key % 19 == 0, "Weekly").otherwise(pick("Month-to-month", "One year", "Two year"))
+            .alias("contract_type"),
+            pick("Basic", "Standard", "Premium", "Gold").alias("service_type"),
+            "age", (F.col("cltv") * 10).alias("income"), F.round("monthly_charge", 2).alias("spending"),
+            pick("Low", "Medium", "High").alias("frequency"),
+            F.when(key % 29 == 0, 0).otherwise(1 + key % 5).cast("double").alias("rating"),
+            ((key % 41 - 20) / 20).alias("sentiment_score"),
+            (key % 48).cast("double").alias("response_time"),
+            (key % 97).cast("double").alias("resolution_time"),
+            pick("Service", "Product", "Support", "Billing").alias("category"))
+
     def _derived(self) -> dict[str, Column]:
         key, orders = F.col("customer_id"), F.col("n_orders")
         asof = self("orders").agg(F.max("o_orderdate")).scalar()
