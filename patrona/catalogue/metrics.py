@@ -78,7 +78,7 @@ def _(t):
 @query("e05_precision_recall_curve", on_base("""
 SELECT threshold, tp::BIGINT AS tp, fp::BIGINT AS fp, precision, recall FROM curve""", SCORED, CURVE))
 def _(t):
-    return metrics.precision_recall_curve(scored(t), "label", "score").drop("_gain")
+    return metrics.precision_recall_curve(scored(t), "label", "score").drop("recall_gain")
 
 
 @query("e06_threshold_for_precision", on_base("""

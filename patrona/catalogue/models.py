@@ -1,0 +1,221 @@
+"""Queries that train, search, compare and explain models on the customer frame.
+
+Search and ensemble sizes are arguments of the library; the registered queries
+use small ones, over all rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from patrona.catalogue.common import rnd, rounded
+from patrona.catalogue.prep import CATEGORICAL, NUMERIC, model_rows, vectors
+from patrona.catalogue.registry import query
+from patrona.ml import explain, metrics, models, prep
+from patrona.session import materialize
+
+TREES = 20
+
+
+def churn_rows(t):
+    """(customer_id, label, features, weight, fold, part) of all customers, written once."""
+    rows = model_rows(t)
+    prepared = prep.preprocessor(rows, NUMERIC, CATEGORICAL, impute=True).fit(rows)
+    marked = prep.class_weights(prepared.transform(rows).select("customer_id", "label", "features"), "label")
+    folded = prep.stratified_folds(marked, "customer_id", "label", k=5)
+    names = prep.preprocessed_names(prepared, NUMERIC, CATEGORICAL)
+    return materialize(folded, "churn-rows"), names
+
+
+VALUE_NUMERIC = ["age", "tenure_in_months", "monthly_charge", "number_of_referrals", "satisfaction_score"]
+
+
+def value_rows(t):
+    """(customer_id, label, features, fold): total charges from the other customer columns."""
+    rows = materialize(t.base("customer_id", *VALUE_NUMERIC, *CATEGORICAL, "total_charges")
+                       .where(F.col("total_charges").isNotNull()).withColumnRenamed("total_charges", "label"), "value-rows")
+    prepared = prep.preprocessor(rows, VALUE_NUMERIC, CATEGORICAL, impute=True).fit(rows)
+    return materialize(prep.fold_column(prepared.transform(rows).select("customer_id", "label", "features"),
+                                        "customer_id"), "value-features")
+
+
+def _hold_out(rows):
+    """Train on folds 1-4, test on fold 0."""
+    return rows.where(F.col("fold") != 0), rows.where(F.col("fold") == 0)
+
+
+def _classifier(name, build):
+    @query(name)
+    def _(t):
+        rows, _names = churn_rows(t)
+        train, test = _hold_out(rows)
+        scored = build().fit(train).transform(test).select(
+            "label", F.col("prediction").cast("int").alias("prediction"), models.probability().alias("score"))
+        return metrics.classification_metrics(scored, "label", "prediction").withColumns({
+            "roc_auc": metrics.roc_auc(scored, "label", "score").scalar(),
+            "average_precision": metrics.average_precision(scored, "label", "score").scalar()})
+
+
+_classifier("l01_balanced_logistic", models.logistic)
+_classifier("l02_balanced_forest", lambda: models.forest_classifier(TREES))
+_classifier("l03_boosted_trees", lambda: models.boosted_classifier(maxIter=10, maxDepth=4, subsamplingRate=0.8))
+
+
+@query("l02_forest_on_oversampled")
+def _(t):
+    rows, _names = churn_rows(t)
+    train, test = _hold_out(rows)
+    model = models.forest_classifier(TREES, weight=None).fit(
+        materialize(prep.oversample(train, "customer_id"), "oversampled"))
+    scored = model.transform(test).select("label", models.probability().alias("score"))
+    return metrics.roc_auc(scored, "label", "score")
+
+
+@query("l02_high_spender_forest")
+def _(t):
+    numeric = ["age", "tenure_in_months", "total_revenue", "number_of_referrals"]  # without the charge itself
+    rows = materialize(t.base("customer_id", *numeric, *CATEGORICAL, "monthly_charge").select(
+        "customer_id", *numeric, *CATEGORICAL,
+        F.when(F.col("monthly_charge") > 80, 1.0).otherwise(0.0).alias("label")), "spender-rows")
+    train, test = prep.stratified_split(rows, "customer_id", "label")
+    prepare = prep.preprocessor(train, numeric, CATEGORICAL, impute=True)
+    model = models.fit_pipeline(prepare, models.forest_classifier(TREES, weight=None), train)
+    scored = model.transform(test).select("label", F.col("prediction").cast("int").alias("prediction"))
+    return metrics.classification_metrics(scored, "label", "prediction")
+
+
+def _regressor(name, fit):
+    @query(name)
+    def _(t):
+        train, test = _hold_out(value_rows(t))
+        return metrics.regression_metrics(fit(train).transform(test), "label", "prediction")
+
+
+_regressor("l04_linear_regression", lambda train: models.linear().fit(train))
+_regressor("l05_forest_regressor", lambda train: models.forest_regressor(TREES).fit(train))
+_regressor("l06_boosted_on_log", lambda train: models.fit_on_log(models.boosted_regressor(maxIter=10, maxDepth=4), train))
+
+
+@query("l07_search_boosted_classifier")
+def _(t):
+    rows, _names = churn_rows(t)
+    space = {**models.BOOSTED_CLASSIFIER_SPACE, "maxIter": [5, 10], "maxDepth": [3, 5]}
+    draws = models.draw_params(space, 2)
+    folded = prep.stratified_folds(rows.drop("fold", "weight"), "customer_id", "label", k=3)
+    _model, table = models.random_search(lambda p: models.boosted_classifier(**p), draws, materialize(folded, "folds"),
+                                         "fold", 3, models.ScoreEvaluator("average_precision"))
+    return table
+
+
+@query("l07_search_forest_regressor")
+def _(t):
+    rows = prep.fold_column(value_rows(t).drop("fold"), "customer_id", k=3)
+    space = {**models.FOREST_REGRESSOR_SPACE, "numTrees": ("int", 5, 15), "maxDepth": ("int", 3, 8)}
+    _model, table = models.random_search(lambda p: models.forest_regressor(**p), models.draw_params(space, 3),
+                                         materialize(rows, "folds"), "fold", 3, models.rmse_evaluator())
+    return table
+
+
+@query("l07_search_boosted_regressor")
+def _(t):
+    rows = prep.fold_column(value_rows(t).drop("fold"), "customer_id", k=3).withColumn("label", F.log1p("label"))
+    space = {**models.BOOSTED_REGRESSOR_SPACE, "maxIter": [5, 10]}
+    _model, table = models.random_search(lambda p: models.boosted_regressor(**p), models.draw_params(space, 2),
+                                         materialize(rows, "folds"), "fold", 3, models.rmse_evaluator())
+    return table
+
+
+@query("l08_compare_classifiers")
+def _(t):
+    rows, _names = churn_rows(t)
+    return models.compare_classifiers({"logistic": models.logistic().fit,
+                                       "forest": models.forest_classifier(TREES).fit}, rows, "fold", 5)
+
+
+@query("l08_compare_regressors")
+def _(t):
+    return models.compare_regressors({
+        "linear": models.linear().fit, "forest": models.forest_regressor(TREES).fit,
+        "boosted": lambda train: models.fit_on_log(models.boosted_regressor(maxIter=5), train)}, value_rows(t), "fold", 5)
+
+
+@query("l09_kmeans_clusters")
+def _(t):
+    rows = vectors(t)
+    return models.best_kmeans(rows, 3, starts=3).transform(rows).select("vec_id", "cluster")
+
+
+@query("l09_scan_k")
+def _(t):
+    return models.scan_k(materialize(vectors(t), "vectors"))
+
+
+@query("l10_pick_k")
+def _(t):
+    return models.pick_k(models.scan_k(materialize(vectors(t), "vectors"), range(2, 6)))
+
+
+@query("l11_gaussian_mixture")
+def _(t):
+    rows = prep.pca_points(vectors(t), 4, output="point")
+    model = models.best_mixture(rows, 3, starts=2, features="point")
+    return model.transform(rows).select("vec_id", "cluster_gmm", vector_to_array("cluster_gmm_probability")
+                                        .alias("probability"))
+
+
+# Given centres for the distance and inertia checks.
+CENTERS = [[0.1] * 64, [-0.1] * 64, [0.05, -0.05] * 32]
+NEAREST = "least(" + ", ".join(f"list_distance(embedding::DOUBLE[], {c}::DOUBLE[])" for c in CENTERS) + ")"
+
+
+@query("l12_centroid_distance", f"SELECT vec_id, {rnd(NEAREST)} AS dist_to_centroid FROM embeddings")
+def _(t):
+    return rounded(models.with_centroid_distance(vectors(t), CENTERS).select("vec_id", "dist_to_centroid"))
+
+
+@query("e09_inertia", f"SELECT {rnd(f'sum(({NEAREST}) ** 2)')} AS inertia FROM embeddings")
+def _(t):
+    return rounded(models.inertia(vectors(t), CENTERS))
+
+
+SILHOUETTE = """
+SELECT {score} FROM (
+  SELECT i, label, CASE WHEN size = 1 THEN 0 ELSE (b - a) / greatest(a, b) END AS s FROM (
+    SELECT i, label, max(size) AS size, max(total / greatest(size - 1, 1)) FILTER (WHERE label = other) AS a,
+      min(total / n) FILTER (WHERE label <> other) AS b FROM (
+      SELECT x.vec_id AS i, x.label, y.label AS other, sum(d) AS total, count(*) AS n,
+        count(*) FILTER (WHERE x.label = y.label) AS size FROM (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings) x, (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings) y,
+        LATERAL (SELECT {distance} AS d) GROUP BY 1, 2, 3) GROUP BY 1, 2))"""
+
+
+@query("e10_silhouette", SILHOUETTE.format(score=f"{rnd('avg(s)')} AS silhouette",
+                                           distance="list_distance(x.e, y.e) ** 2"))
+def _(t):
+    rows = vectors(t).withColumn("label", F.col("label").cast("double"))
+    return rounded(t.spark.createDataFrame([(models.silhouette(rows, "label"),)], "silhouette double"))
+
+
+@query("e10_silhouette_euclidean", SILHOUETTE.format(score=f"i AS vec_id, label, {rnd('s')} AS silhouette",
+                                                     distance="list_distance(x.e, y.e)"))
+def _(t):
+    from patrona.scale import hash_sample
+    sample = hash_sample(vectors(t), "vec_id", 20_000)
+    return rounded(explain.exact_silhouette(sample, "vec_id", "label"))
+
+
+@query("e13_permutation_importance")
+def _(t):
+    rows, names = churn_rows(t)
+    model = models.logistic().fit(rows)
+    return explain.permutation_importance(model, rows, "customer_id", names)
+
+
+@query("e13_shapley_summary")
+def _(t):
+    rows, names = churn_rows(t)
+    model = models.logistic().fit(rows)
+    values = explain.shapley_values(model, rows, "customer_id", names, [0.0] * len(names))
+    return explain.shapley_summary(values)

@@ -1,0 +1,139 @@
+"""Queries for batch scoring and segment outputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from patrona.catalogue.aggregates import _histogram_sql
+from patrona.catalogue.common import rnd, rounded
+from patrona.catalogue.models import TREES, churn_rows
+from patrona.catalogue.registry import REQUEST_CTE, on_base, query
+from patrona.catalogue.rules import TYPED
+from patrona.functions import rules
+from patrona.ml import models, prep
+from patrona.operators import aggregates
+from patrona.plans import scoring
+from patrona.session import materialize
+
+
+@query("b01_score_all_customers")
+def _(t):
+    rows, _names = churn_rows(t)
+    model = models.forest_classifier(TREES).fit(rows.where(F.col("fold") != 0))
+    return models.score_rows(model, rows, "customer_id", threshold=0.6)
+
+
+@query("b02_hold_out_predictions")
+def _(t):
+    rows, _names = churn_rows(t)
+    model = models.forest_classifier(TREES).fit(rows.where(F.col("fold") != 0))
+    return models.score_rows(model, rows.where(F.col("fold") == 0), "customer_id").withColumnRenamed(
+        "customer_id", "Customer_ID")
+
+
+@query("b03_out_of_fold_churn")
+def _(t):
+    rows, _names = churn_rows(t)
+    scores = models.out_of_fold_scores(models.logistic().fit, rows, "customer_id", "fold", 5)
+    return t.base("customer_id", "cltv").join(scores, "customer_id", "left")
+
+
+@query("b04_labelled_segments")
+def _(t):
+    numeric = ["age", "tenure_in_months", "monthly_charge", "total_revenue", "cltv"]
+    rows = materialize(t.base("customer_id", *numeric, "contract"), "segment-rows")
+    prepared = prep.preprocessor(rows, numeric, ["contract"], impute=True).fit(rows).transform(rows)
+    model = models.best_kmeans(prepared, 3, starts=3)
+    return scoring.labelled_segments(prepared, model, "customer_id", ["contract", "monthly_charge"])
+
+
+def _cases(labels):
+    return " ".join(f"WHEN {k} THEN '{v}'" for k, v in labels.items())
+
+
+@query("b05_cluster_actions", on_base(f"""
+SELECT cluster, count(*) AS n, CASE cluster {_cases(rules.CLUSTER_NAMES)} END AS name,
+  CASE cluster {_cases(rules.CLUSTER_ACTIONS)} END AS action
+FROM (SELECT satisfaction_score - 1 AS cluster FROM base) GROUP BY 1"""))
+def _(t):
+    clusters = t.base("satisfaction_score").select((F.col("satisfaction_score") - 1).alias("cluster"))
+    return scoring.cluster_actions(clusters, "cluster")
+
+
+RISK = """(CASE WHEN monthly_charges > 80 THEN 0.3e0 ELSE 0e0 END + CASE WHEN tenure < 12 THEN 0.4e0 ELSE 0e0 END
+  + CASE WHEN contract_type = 'Month-to-month' THEN 0.3e0 ELSE 0e0 END)"""
+
+
+@query("b06_score_churn_requests", on_base(f"""
+SELECT request_id, (risk > 0.5)::INT AS prediction, least(risk, 0.9e0) AS probability,
+  CASE WHEN least(risk, 0.9e0) > 0.7 THEN 'High' WHEN least(risk, 0.9e0) > 0.4 THEN 'Medium' ELSE 'Low' END AS risk_level
+FROM (SELECT request_id, {RISK} AS risk FROM typed)""", REQUEST_CTE, TYPED))
+def _(t):
+    return scoring.score_churn(t.requests())
+
+
+@query("b06_score_churn_by_model")
+def _(t):
+    rows = materialize(t.base("customer_id", "tenure_in_months", "monthly_charge", "total_charges", "churn").select(
+        F.col("tenure_in_months").cast("double").alias("tenure"), F.col("monthly_charge").alias("monthly_charges"),
+        "total_charges", F.col("churn").cast("double").alias("label")).dropna(), "request-rows")
+    prepare = prep.preprocessor(rows, scoring.CHURN_FIELDS, [])
+    model = models.fit_pipeline(prepare, models.logistic(weight=None), rows)
+    return scoring.score_churn(t.requests(), model)
+
+
+@query("b07_score_value_requests", on_base("""
+SELECT request_id, cltv, CASE WHEN cltv > 5000 THEN 'High Value' WHEN cltv > 2000 THEN 'Medium Value' ELSE 'Low Value'
+  END AS value_category FROM (SELECT request_id, monthly_charges * greatest(tenure * 2, 24)
+  * CASE service_type WHEN 'Premium' THEN 1.5e0 WHEN 'Standard' THEN 1.2e0 ELSE 1e0 END AS cltv FROM typed)""",
+                                       REQUEST_CTE, TYPED))
+def _(t):
+    return scoring.score_value(t.requests())
+
+
+@query("b08_rfm_inputs", """
+SELECT o_custkey AS customer_id,
+  date_diff('day', max(o_orderdate), (SELECT max(o_orderdate) FROM orders))::INT AS recency, count(*) AS frequency,
+  sum(round(o_totalprice * 100)::BIGINT)::DOUBLE / 100e0 / count(*) AS monetary, 2 * count(*) AS tenure
+FROM orders GROUP BY 1""")
+def _(t):
+    return scoring.rfm(t("orders"), "o_custkey", "o_orderdate", "o_totalprice")
+
+
+@query("b08_rfm_segments")
+def _(t):
+    rows = materialize(scoring.rfm(t("orders"), "o_custkey", "o_orderdate", "o_totalprice"), "rfm")
+    return scoring.score_segments(rows, scoring.fit_segments(rows, scoring.SEGMENT_FIELDS))
+
+
+@query("b09_feedback_clusters")
+def _(t):
+    rows = materialize(t.requests().select("request_id", *scoring.FEEDBACK_FIELDS), "feedback-rows")
+    return scoring.score_feedback(rows, scoring.fit_segments(rows, scoring.FEEDBACK_FIELDS))
+
+
+@query("b10_churn_split", on_base("""
+SELECT CASE WHEN churn = 1 THEN 'Churned' ELSE 'Retained' END AS status, count(*) AS n FROM base GROUP BY 1"""))
+def _(t):
+    return scoring.churn_split(t.base("churn"))
+
+
+@query("b10_value_histogram", on_base(_histogram_sql("cltv", "base", 30)))
+def _(t):
+    return scoring.value_histogram(t.base("cltv"))
+
+
+@query("b10_segment_counts", on_base(f"""
+SELECT CASE satisfaction_score - 1 {_cases(rules.SEGMENT_NAMES)} ELSE 'Unknown' END AS segment_name, count(*) AS n
+FROM base GROUP BY 1"""))
+def _(t):
+    clusters = t.base("satisfaction_score").select((F.col("satisfaction_score") - 1).alias("cluster"))
+    return scoring.segment_counts(clusters, "cluster")
+
+
+@query("b03_value_features", on_base(f"""
+SELECT contract, {rnd('avg(cltv)')} AS cltv, {rnd('avg(churn)')} AS churn_proba FROM base GROUP BY 1"""))
+def _(t):
+    scores = t.base("customer_id", "churn").withColumnRenamed("churn", "churn_proba")
+    joined = t.base("customer_id", "contract", "cltv").join(scores, "customer_id", "left")
+    return rounded(aggregates.cluster_relevance(joined, "contract", ["cltv", "churn_proba"]))

@@ -45,38 +45,38 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
         _div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
 
 
-def _score_steps(df: DataFrame, label: str, score: str) -> DataFrame:
+def _score_steps(df: DataFrame, label: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Per distinct score: positives, negatives, their running sums from below and totals."""
     y = F.col(label).cast("int")
     counted = (df.where(F.col(score).isNotNull() & y.isNotNull())
-               .groupBy(F.col(score).cast("double").alias("score"))
+               .groupBy(*by, F.col(score).cast("double").alias("score"))
                .agg(F.sum(y).cast("bigint").alias("pos"), F.sum(1 - y).cast("bigint").alias("neg")))
-    return running_totals(counted, "score", ["pos", "neg"])
+    return running_totals(counted, "score", ["pos", "neg"], by=by)
 
 
-def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Area under the ROC curve as a rank sum with mid-ranks for ties."""
-    steps = _score_steps(df, label, score)
+def roc_auc(df: DataFrame, label: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Area under the ROC curve as a rank sum with mid-ranks for ties, overall or per group."""
+    steps = _score_steps(df, label, score, by)
     below = F.col("cum_neg") - F.col("neg") / 2
     pairs = F.max("all_pos").cast("double") * F.max("all_neg")
-    return steps.agg(F.try_divide(F.sum(F.col("pos") * below), pairs).alias("roc_auc"))
+    return steps.groupBy(*by).agg(F.try_divide(F.sum(F.col("pos") * below), pairs).alias("roc_auc"))
 
 
-def precision_recall_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(threshold, tp, fp, precision, recall), one row per distinct score."""
-    steps = _score_steps(df, label, score)
+def precision_recall_curve(df: DataFrame, label: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., threshold, tp, fp, precision, recall, recall_gain), one row per distinct score."""
+    steps = _score_steps(df, label, score, by)
     tp = F.col("all_pos") - F.col("cum_pos") + F.col("pos")
     fp = F.col("all_neg") - F.col("cum_neg") + F.col("neg")
     return steps.select(
-        F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"), (tp / (tp + fp)).alias("precision"),
+        *by, F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"), (tp / (tp + fp)).alias("precision"),
         F.coalesce(F.try_divide(tp, F.col("all_pos")), F.lit(1.0)).alias("recall"),
-        F.coalesce(F.try_divide(F.col("pos"), F.col("all_pos")), F.lit(0.0)).alias("_gain"))
+        F.coalesce(F.try_divide(F.col("pos"), F.col("all_pos")), F.lit(0.0)).alias("recall_gain"))
 
 
-def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
+def average_precision(df: DataFrame, label: str, score: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Sum over score steps of the gain in recall times the precision."""
-    curve = precision_recall_curve(df, label, score)
-    return curve.agg(F.sum(F.col("_gain") * F.col("precision")).alias("average_precision"))
+    curve = precision_recall_curve(df, label, score, by)
+    return curve.groupBy(*by).agg(F.sum(F.col("recall_gain") * F.col("precision")).alias("average_precision"))
 
 
 def threshold_for_precision(df: DataFrame, label: str, score: str, target: float = 0.6,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "patrona", master: str | None = None, shuffle_partitions: int | None = None,
@@ -54,3 +54,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path below the shared folder for a table that one job writes and reads."""
     return f"{shared_dir(spark)}/patrona/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write the frame once to the shared folder and read it back.
+
+    Cuts lineage before iterative work: the copy is columnar, survives the loss of
+    executors and is pruned to the columns a later step reads.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
