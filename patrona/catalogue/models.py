@@ -13,6 +13,7 @@ from patrona.catalogue.common import rnd, rounded
 from patrona.catalogue.prep import CATEGORICAL, NUMERIC, model_rows, vectors
 from patrona.catalogue.registry import query
 from patrona.ml import explain, metrics, models, prep
+from patrona.scale import row_value
 from patrona.session import materialize
 
 TREES = 20
@@ -52,9 +53,9 @@ def _classifier(name, build):
         train, test = _hold_out(rows)
         scored = build().fit(train).transform(test).select(
             "label", F.col("prediction").cast("int").alias("prediction"), models.probability().alias("score"))
-        return metrics.classification_metrics(scored, "label", "prediction").withColumns({
-            "roc_auc": metrics.roc_auc(scored, "label", "score").scalar(),
-            "average_precision": metrics.average_precision(scored, "label", "score").scalar()})
+        return (metrics.classification_metrics(scored, "label", "prediction")
+                .withColumn("_r", row_value(metrics.ranking_metrics(scored, "label", "score")))
+                .select("*", "_r.*").drop("_r"))
 
 
 _classifier("l01_balanced_logistic", models.logistic)
@@ -142,7 +143,7 @@ def _(t):
 
 @query("l09_kmeans_clusters")
 def _(t):
-    rows = vectors(t)
+    rows = materialize(vectors(t), "vectors")
     return models.best_kmeans(rows, 3, starts=3).transform(rows).select("vec_id", "cluster")
 
 
@@ -158,7 +159,7 @@ def _(t):
 
 @query("l11_gaussian_mixture")
 def _(t):
-    rows = prep.pca_points(vectors(t), 4, output="point")
+    rows = materialize(prep.pca_points(vectors(t), 4, output="point"), "points")
     model = models.best_mixture(rows, 3, starts=2, features="point")
     return model.transform(rows).select("vec_id", "cluster_gmm", vector_to_array("cluster_gmm_probability")
                                         .alias("probability"))

@@ -79,6 +79,17 @@ def average_precision(df: DataFrame, label: str, score: str, by: tuple[str, ...]
     return curve.groupBy(*by).agg(F.sum(F.col("recall_gain") * F.col("precision")).alias("average_precision"))
 
 
+def ranking_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(roc_auc, average_precision) from one ranking of the scores."""
+    steps = _score_steps(df, label, score)
+    below = F.col("cum_neg") - F.col("neg") / 2
+    tp = F.col("all_pos") - F.col("cum_pos") + F.col("pos")
+    fp = F.col("all_neg") - F.col("cum_neg") + F.col("neg")
+    return steps.agg(
+        F.try_divide(F.sum(F.col("pos") * below), F.max("all_pos").cast("double") * F.max("all_neg")).alias("roc_auc"),
+        F.try_divide(F.sum(F.col("pos") * tp / (tp + fp)), F.max("all_pos")).alias("average_precision"))
+
+
 def threshold_for_precision(df: DataFrame, label: str, score: str, target: float = 0.6,
                             default: float = 0.5) -> DataFrame:
     """Lowest threshold whose precision reaches the target, ``default`` when none does."""

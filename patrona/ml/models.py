@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patrona.ml import metrics, prep
-from patrona.scale import hash_sample
+from patrona.scale import hash_sample, row_value
 
 SEED = 42
 
@@ -174,42 +174,36 @@ def rmse_evaluator() -> RegressionEvaluator:
     return RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="rmse")
 
 
-def _fold_summary(folds: DataFrame) -> DataFrame:
-    names = [c for c in folds.columns if c not in ("model", "fold")]
-    return (folds.unpivot(["model", "fold"], names, "metric", "value").groupBy("model", "metric")
-            .agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")))
+def _fold_summary(df: DataFrame, rows: list[tuple]) -> DataFrame:
+    """(model, metric, mean, std) of one-row results per model and fold; std over the population of folds."""
+    table = df.sparkSession.createDataFrame(
+        [(name, fold, metric, None if value is None else float(value))
+         for name, fold, row in rows for metric, value in row.asDict().items()],
+        "model string, fold int, metric string, value double")
+    return table.groupBy("model", "metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 
 
 def compare_classifiers(fits: Mapping[str, Callable[[DataFrame], Model]], df: DataFrame, fold: str, k: int) -> DataFrame:
     """(model, metric, mean, std) over folds: ROC area, average precision, precision, recall, F1."""
-    parts = []
+    rows = []
     for name, fit in fits.items():
         for i in range(k):
             scored = fit(df.where(F.col(fold) != i)).transform(df.where(F.col(fold) == i)).select(
                 "label", F.col("prediction").cast("int").alias("prediction"), probability().alias("score"))
             point = metrics.classification_metrics(scored, "label", "prediction").select("precision", "recall", "f1")
-            parts.append(point.select(
-                F.lit(name).alias("model"), F.lit(i).alias("fold"), "*",
-                metrics.roc_auc(scored, "label", "score").scalar().alias("roc_auc"),
-                metrics.average_precision(scored, "label", "score").scalar().alias("average_precision")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return _fold_summary(out)
+            ranking = row_value(metrics.ranking_metrics(scored, "label", "score"))
+            rows.append((name, i, point.withColumn("_r", ranking).select("*", "_r.*").drop("_r").first()))
+    return _fold_summary(df, rows)
 
 
 def compare_regressors(fits: Mapping[str, Callable[[DataFrame], Model]], df: DataFrame, fold: str, k: int) -> DataFrame:
     """(model, metric, mean, std) over folds: MAE, RMSE, R2, MAPE."""
-    parts = []
+    rows = []
     for name, fit in fits.items():
         for i in range(k):
             scored = fit(df.where(F.col(fold) != i)).transform(df.where(F.col(fold) == i))
-            parts.append(metrics.regression_metrics(scored, "label", "prediction").select(
-                F.lit(name).alias("model"), F.lit(i).alias("fold"), "*"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return _fold_summary(out)
+            rows.append((name, i, metrics.regression_metrics(scored, "label", "prediction").first()))
+    return _fold_summary(df, rows)
 
 
 def importance_table(df: DataFrame, names: Sequence[str], importances: Sequence[float], k: int | None = None) -> DataFrame:
