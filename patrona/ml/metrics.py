@@ -11,15 +11,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patrona.operators.joins import consecutive_periods
-from patrona.scale import row_value, running_totals
+from patrona.scale import fits_broadcast, row_value, running_totals
 
 
-def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """(label, prediction, count) for every pair of classes, zero cells included."""
+def confusion_matrix(df: DataFrame, label: str, prediction: str, max_cells: int = 10_000) -> DataFrame:
+    """(label, prediction, count) for every pair of classes, zero cells included.
+
+    More than ``max_cells`` occupied cells is an error, checked before they are put into one row.
+    """
     cells = (df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
              .groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction"))
              .agg(F.count("*").alias("n")))
-    # One row holding the cells and the classes: both are bounded by the classes of a model.
+    if not fits_broadcast(cells, max_cells):
+        raise ValueError(f"more than {max_cells} pairs of {label} and {prediction}")
     row = cells.agg(
         F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction"))).alias("classes"),
         F.map_from_entries(F.collect_list(F.struct(F.struct("label", "prediction"), "n"))).alias("cells"))

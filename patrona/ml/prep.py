@@ -236,46 +236,52 @@ def positive_weight(label: str, weight: float) -> Column:
     return F.when(F.col(label) == 1, float(weight)).otherwise(1.0)
 
 
-def _z_order(values: Column, size: int, seed: int, directions: int = 3, bits: int = 10) -> Column:
-    """Interleaved bits of a few random projections: near points get near numbers."""
+Z_DIRECTIONS, Z_BITS = 3, 10
+
+
+def _z_places(values: str, size: int, seed: int) -> Column:
+    """Places 0..1023 of a vector along a few random directions."""
     rng = random.Random(seed)
-    order = F.lit(0).cast("long")
-    for d in range(directions):
+    places = []
+    for _ in range(Z_DIRECTIONS):
         weights = [rng.gauss(0, 1) / size ** 0.5 for _ in range(size)]
         projected = F.aggregate(F.zip_with(values, F.lit(weights), lambda x, w: x * w), F.lit(0.0), lambda s, x: s + x)
-        place = F.floor((1 / (1 + F.exp(-projected))) * ((1 << bits) - 1)).cast("long")
-        for b in range(bits):
-            bit = F.shiftright(place, b).bitwiseAND(F.lit(1).cast("long"))
-            order = order + F.shiftleft(bit, b * directions + d)
+        places.append(F.floor((1 / (1 + F.exp(-projected))) * ((1 << Z_BITS) - 1)).cast("long"))
+    return F.array(*places)
+
+
+def _z_order(places: str) -> Column:
+    """Interleaved bits of the places: near points get near numbers."""
+    order = F.lit(0).cast("long")
+    for d in range(Z_DIRECTIONS):
+        for b in range(Z_BITS):
+            bit = F.shiftright(F.col(places)[d], b).bitwiseAND(F.lit(1).cast("long"))
+            order = order + F.shiftleft(bit, b * Z_DIRECTIONS + d)
     return order
 
 
-def _smote_block(pdf: pd.DataFrame, k: int, seed: int) -> pd.DataFrame:
-    """Synthetic points of one bounded block of rows of a class."""
-    pdf = pdf.sort_values("rank")
-    points = np.stack(pdf["values"].to_numpy())
-    copies = pdf["copies"].to_numpy()
-    rng = np.random.default_rng([seed, int(pdf["rank"].iloc[0])])
-    n, k = len(points), min(k, len(points) - 1)
-    squares = (points ** 2).sum(axis=1)
-    made, ranks, turn = [], [], []
-    for start in range(0, n, 512):
-        rows = np.arange(start, min(start + 512, n))
-        rows = rows[copies[rows] > 0]
-        if not len(rows):
-            continue
-        if k > 0:
+COPIES_PER_CHUNK = 256
+
+
+def _nearest_in_block(k: int):
+    """Function giving the k nearest rows of each row of one bounded block.
+
+    It is a closure, so it travels to the workers by value and they need not have this package.
+    """
+    def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rank").reset_index(drop=True)
+        points = np.stack(pdf["values"].to_numpy())
+        wanted = min(k, len(points) - 1)
+        squares = (points ** 2).sum(axis=1)
+        near = [[] for _ in range(len(points))]
+        for start in range(0, len(points) if wanted > 0 else 0, 512):
+            rows = np.arange(start, min(start + 512, len(points)))
             distance = squares[rows, None] + squares[None, :] - 2 * points[rows] @ points.T
             distance[np.arange(len(rows)), rows] = np.inf
-            near = np.argpartition(distance, k - 1, axis=1)[:, :k]
-        for i, row in enumerate(rows):
-            for c in range(copies[row]):
-                other = points[near[i, rng.integers(k)]] if k > 0 else points[row]
-                made.append(points[row] + rng.random() * (other - points[row]))
-                ranks.append(pdf["rank"].iloc[row])
-                turn.append(c)
-    return pd.DataFrame({"rank": pd.Series(ranks, dtype="int64"), "turn": pd.Series(turn, dtype="int32"),
-                         "values": [m.tolist() for m in made]})
+            for row, picked in zip(rows, np.argsort(distance, axis=1, kind="stable")[:, :wanted]):
+                near[row] = points[picked].tolist()
+        return pdf[["rank", "copies", "values"]].assign(near=near)
+    return nearest
 
 
 def smote(df: DataFrame, key: str, label: str = "label", features: str = "features", k: int = 5, seed: int = 42,
@@ -287,7 +293,8 @@ def smote(df: DataFrame, key: str, label: str = "label", features: str = "featur
     at most ``block_rows``; neighbours are exact inside a block, and exact overall
     while the class fits one block. Ties in the order are broken by key hash, so
     copies of one row spread over blocks. A row's number of new rows follows from
-    its rank, so the total is exact.
+    its rank, so the total is exact. Rows of a very small class that need many new
+    rows are spread over tasks in chunks before the new rows are made.
     """
     counts = {r[0]: r[1] for r in df.groupBy(label).count().limit(1001).collect()}
     if len(counts) > 1000:
@@ -301,19 +308,32 @@ def smote(df: DataFrame, key: str, label: str = "label", features: str = "featur
             continue
         rows = df.where(F.col(label) == value).select(key, vector_to_array(features).alias("values"))
         low_bits = F.shiftright(hash_long(key, seed=seed), 20)
-        ordered = rows.withColumns({"_order": F.shiftleft(_z_order(F.col("values"), size, seed), 32) + low_bits,
-                                    "n": F.lit(1).cast("long")})
+        placed = rows.withColumn("_places", _z_places("values", size, seed))
+        ordered = placed.select("values", (F.shiftleft(_z_order("_places"), 32) + low_bits).alias("_order"),
+                                F.lit(1).cast("long").alias("n"))
         rank = F.col("cum_n")
         blocks = -(-n // block_rows)
         ranked = running_totals(ordered, "_order", ["n"]).select(
             "values", rank.alias("rank"),
-            (F.floor(rank * need / n) - F.floor((rank - 1) * need / n)).cast("int").alias("copies"),
+            (F.floor(rank * need / n) - F.floor((rank - 1) * need / n)).cast("long").alias("copies"),
             F.floor((rank - 1) * blocks / n).cast("long").alias("block"))
-        made = ranked.groupBy("block").applyInPandas(
-            lambda pdf: _smote_block(pdf, k, seed), "rank long, turn int, values array<double>")
-        parts.append(made.select(
+        around = ranked.groupBy("block").applyInPandas(
+            _nearest_in_block(k),
+            "rank long, copies long, values array<double>, near array<array<double>>").where(F.col("copies") > 0)
+        last = F.floor((F.col("copies") - 1) / COPIES_PER_CHUNK)
+        chunked = around.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        if need > n * COPIES_PER_CHUNK:
+            chunked = chunked.repartition("rank", "chunk")
+        first = F.col("chunk") * COPIES_PER_CHUNK
+        turned = chunked.withColumn("turn", F.explode(F.sequence(
+            first, F.least(first + COPIES_PER_CHUNK, F.col("copies")) - 1)))
+        pick = F.floor(hash_unit("rank", "turn", seed=seed + 1) * F.size("near")).cast("int")
+        new = turned.withColumns({"_other": F.coalesce(F.get("near", pick), F.col("values")),
+                                  "_u": hash_unit("rank", "turn", seed=seed + 2)})
+        parts.append(new.select(
             F.concat_ws("-", F.lit("synthetic"), F.lit(str(value)), "rank", "turn").alias("synthetic_key"),
-            F.lit(value).alias(label), array_to_vector("values").alias(features)))
+            F.lit(value).alias(label),
+            array_to_vector(F.zip_with("values", "_other", lambda x, y: x + F.col("_u") * (y - x))).alias(features)))
     if not parts:
         return df.select(F.col(key).cast("string").alias("synthetic_key"), label, features).limit(0)
     out = parts[0]

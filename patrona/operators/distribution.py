@@ -57,10 +57,17 @@ def quantile_summary(df: DataFrame, columns: Sequence[str] | None = None, exact:
         return q.select("column", F.col("q0").alias("min"), F.col("q1").alias("p25"), F.col("q2").alias("median"),
                         F.col("q3").alias("p75"), F.col("q4").alias("max"))
 
-    def at(p):
-        return lambda c: F.percentile_approx(c.cast("double"), p, accuracy)
-    return per_column(df, columns, {"min": lambda c: F.min(c.cast("double")), "p25": at(0.25), "median": at(0.5),
-                                    "p75": at(0.75), "max": lambda c: F.max(c.cast("double"))})
+    q = _sketched(df, columns, [0.25, 0.5, 0.75], accuracy)
+    return q.select("column", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("median"),
+                    F.col("q")[2].alias("p75"), "max")
+
+
+def _sketched(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int) -> DataFrame:
+    """(column, min, q, max) with approximate quantiles q from one sketch per column."""
+    return per_column(df, columns, {
+        "min": lambda c: F.min(c.cast("double")),
+        "q": lambda c: F.percentile_approx(c.cast("double"), list(probabilities), accuracy),
+        "max": lambda c: F.max(c.cast("double"))})
 
 
 def iqr_summary(df: DataFrame, columns: Sequence[str], relative_error: float | None = None) -> DataFrame:
@@ -69,10 +76,8 @@ def iqr_summary(df: DataFrame, columns: Sequence[str], relative_error: float | N
         q = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
             "column", F.col("q0").alias("q1"), F.col("q1").alias("q2"), F.col("q2").alias("q3"))
     else:
-        accuracy = max(1, round(1 / relative_error))
-        q = per_column(df, columns, {
-            f"q{i}": (lambda p: lambda c: F.percentile_approx(c.cast("double"), p, accuracy))(p)
-            for i, p in ((1, 0.25), (2, 0.5), (3, 0.75))})
+        sketch = _sketched(df, columns, [0.25, 0.5, 0.75], max(1, round(1 / relative_error)))
+        q = sketch.select("column", *[F.col("q")[i].alias(f"q{i + 1}") for i in range(3)])
     return q.withColumn("iqr", F.col("q3") - F.col("q1"))
 
 

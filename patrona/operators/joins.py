@@ -73,10 +73,12 @@ def consecutive_periods(df: DataFrame, key: str, period: str, label: str) -> Dat
 
     Neighbours are snapshots that follow each other among the periods present in
     the data. ``df`` has one row per (key, period), so a key's window is no longer
-    than the number of periods and no self-join is needed.
+    than the number of periods and no self-join is needed. The list of snapshots is
+    checked to be small before it is ordered in one window and broadcast.
     """
-    # One row per period; the window over it is bounded by the calendar.
     periods = df.select(F.col(period).alias("period_1")).distinct()
+    if not fits_broadcast(periods):
+        raise ValueError(f"{period} has more than {BROADCAST_ROWS} values: use snapshots such as months")
     following = periods.withColumn("period_2", F.lead("period_1").over(W.orderBy("period_1")))
     order = W.partitionBy(key).orderBy(period)
     pairs = df.select(F.col(key), F.col(period).alias("period_1"), F.col(label).alias("label_1"),

@@ -129,6 +129,18 @@ def test_smote_neighbours_are_the_nearest(spark):
         assert gap < 1e-6
 
 
+def test_smote_of_a_tiny_class(spark):
+    """Two rows and one row that need many copies: made in chunks, all distinct or equal to the single row."""
+    data = [(i, 0.0, [0.0]) for i in range(1500)] + [(2000, 1.0, [1.0]), (2001, 1.0, [2.0]), (3000, 2.0, [9.0])]
+    df = spark.createDataFrame(data, "id long, label double, v array<double>").select(
+        "id", "label", array_to_vector("v").alias("features"))
+    made = prep.smote(df, "id").select("synthetic_key", "label", vector_to_array("features")[0].alias("x")).collect()
+    pair, single = [r for r in made if r["label"] == 1.0], [r for r in made if r["label"] == 2.0]
+    assert len(pair) == 1498 and len(single) == 1499 and len({r["synthetic_key"] for r in made}) == 2997
+    assert all(1.0 <= r["x"] <= 2.0 for r in pair) and len({r["x"] for r in pair}) == 1498
+    assert {r["x"] for r in single} == {9.0}
+
+
 def test_smote_of_balanced_classes_is_empty(spark):
     df = spark.createDataFrame([(1, 0.0, [1.0]), (2, 1.0, [2.0])], "id long, label double, v array<double>").select(
         "id", "label", array_to_vector("v").alias("features"))
