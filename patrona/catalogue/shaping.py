@@ -93,9 +93,17 @@ def _(t):
     return schema.shape(t("lineitem"))
 
 
-@query("p12_schema_table")
+ORDER_TYPES = [(0, "o_orderkey", "bigint"), (1, "o_custkey", "bigint"), (2, "o_orderstatus", "string"),
+               (3, "o_totalprice", "double"), (4, "o_orderdate", "timestamp_ntz"), (5, "o_orderpriority", "string")]
+
+
+@query("p12_schema_table", union_all(
+    "SELECT {0}::INTEGER AS position, '{1}' AS name, '{2}' AS type, count(*) - count({1}) AS n_null FROM orders",
+    ORDER_TYPES))
 def _(t):
-    return schema.schema_table(t("orders"))
+    orders = t("orders")
+    nulls = quality.null_counts(orders).withColumnRenamed("column", "name")
+    return schema.schema_table(orders).join(nulls, "name", "left")
 
 
 @query("p13_columns_by_type",

@@ -76,17 +76,24 @@ def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def preprocessor(train: DataFrame, numeric: Sequence[str] | None = None, categorical: Sequence[str] | None = None,
                  impute: bool = False, scale: bool = True, exclude: Sequence[str] = (),
-                 output: str = "features") -> Pipeline:
+                 output: str = "features", max_levels: int = 10_000) -> Pipeline:
     """Numeric branch (median, scaling) and text branch (mode, one-hot); other columns take no part.
 
     The one-hot encoding keeps every known level and gives all zeros to unknown
     and null values. With ``impute`` the text modes of ``train`` are fixed here.
+    Levels become vector slots and are held by the driver, so a category with more
+    than about ``max_levels`` is an error; frequency-encode it instead.
     """
     if numeric is None:
         numeric = numeric_columns(train, exclude)
     if categorical is None:
         categorical = text_columns(train, exclude)
     numeric, categorical = list(numeric), list(categorical)
+    if categorical:
+        sizes = train.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in categorical]).first().asDict()
+        large = [c for c, n in sizes.items() if n > max_levels]
+        if large:
+            raise ValueError(f"too many levels to one-hot encode: {', '.join(large)}")
     stages, parts = [], []
     if numeric:
         doubles = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `_num_{i}`" for i, c in enumerate(numeric))

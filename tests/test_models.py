@@ -129,6 +129,12 @@ def test_preprocessor_imputes(spark):
     assert model.transform(train).select(vector_to_array("features")).collect()[2][0] == [2.0, 0.0, 1.0]
 
 
+def test_preprocessor_refuses_many_levels(spark):
+    df = spark.range(500).select(F.col("id").cast("string").alias("c"))
+    with pytest.raises(ValueError):
+        prep.preprocessor(df, [], ["c"], max_levels=100)
+
+
 def test_splits_keep_rows_and_shares(spark):
     df = _rows(spark)
     train, test = prep.stratified_split(df, "id", "label")
