@@ -18,8 +18,11 @@ def rounded(df: DataFrame, digits: int = DIGITS, columns: Sequence[str] | None =
 
 
 def rnd(expression: str, digits: int = DIGITS) -> str:
-    """SQL: round half away from zero on the decimal value, as Spark rounds doubles."""
-    return f"round(CAST({expression} AS DECIMAL(38, 12)), {digits})::DOUBLE"
+    """SQL: round half away from zero on the decimal value, as Spark rounds doubles.
+
+    Six further digits are kept before rounding; more would show the binary tail of large values.
+    """
+    return f"round(CAST({expression} AS DECIMAL(38, {digits + 6})), {digits})::DOUBLE"
 
 
 def union_all(template: str, items: Sequence) -> str:

@@ -99,12 +99,12 @@ requests AS (
     CASE WHEN customer_id % 17 = 0 THEN 'bad' WHEN customer_id % 11 = 0 THEN 'missing' ELSE 'ok' END AS tenure_state,
     CASE WHEN customer_id % 13 = 0 THEN 'empty' ELSE 'ok' END AS charge_state,
     tenure_in_months::DOUBLE AS tenure,
-    round(CAST(monthly_charge AS DECIMAL(38, 12)), 2)::DOUBLE AS monthly_charges,
-    round(CAST(total_charges AS DECIMAL(38, 12)), 2)::DOUBLE AS total_charges,
+    round(CAST(monthly_charge AS DECIMAL(38, 8)), 2)::DOUBLE AS monthly_charges,
+    round(CAST(total_charges AS DECIMAL(38, 8)), 2)::DOUBLE AS total_charges,
     CASE WHEN customer_id % 19 = 0 THEN 'Weekly'
       ELSE ['Month-to-month', 'One year', 'Two year'][customer_id % 3 + 1] END AS contract_type,
     ['Basic', 'Standard', 'Premium', 'Gold'][customer_id % 4 + 1] AS service_type,
-    age, cltv * 10 AS income, round(CAST(monthly_charge AS DECIMAL(38, 12)), 2)::DOUBLE AS spending,
+    age, cltv * 10 AS income, round(CAST(monthly_charge AS DECIMAL(38, 8)), 2)::DOUBLE AS spending,
     ['Low', 'Medium', 'High'][customer_id % 3 + 1] AS frequency,
     CASE WHEN customer_id % 29 = 0 THEN 0 ELSE 1 + customer_id % 5 END::DOUBLE AS rating,
     (customer_id % 41 - 20)::DOUBLE / 20 AS sentiment_score,

@@ -63,13 +63,11 @@ def _(t):
 
 
 @query("c29_value_rule", on_base("""
-SELECT request_id, spending * greatest(tenure * 2, 24)
+SELECT request_id, spending * greatest(CASE WHEN tenure_state = 'missing' THEN 0 ELSE coalesce(tenure, 0) END * 2, 24)
   * CASE service_type WHEN 'Premium' THEN 1.5e0 WHEN 'Standard' THEN 1.2e0 ELSE 1e0 END AS value
-FROM requests WHERE tenure_state = 'ok'""", REQUEST_CTE))
+FROM requests WHERE tenure_state <> 'bad'""", REQUEST_CTE))
 def _(t):
-    tenure = rules.request_number("tenure")
-    rows = t.requests().where(F.col("tenure").isNotNull()).withColumn("tenure", tenure).where(
-        F.col("tenure").isNotNull())
+    rows = t.requests().withColumn("tenure", rules.request_number("tenure")).where(F.col("tenure").isNotNull())
     return rows.select("request_id", rules.value_rule("spending", "tenure", "service_type").alias("value"))
 
 

@@ -202,9 +202,18 @@ def random_split(df: DataFrame, key: str, fraction: float = 0.8, seed: int = 42)
 
 
 def _class_cuts(df: DataFrame, key: str, label: str, shares: Sequence[float], seed: int) -> DataFrame:
-    """Rows with their hash ``_h`` and the hash quantiles ``_cuts`` of their class."""
+    """Rows with their hash ``_h`` and the hashes ``_cuts`` below which the given shares of their class lie.
+
+    The cuts are exact ranks, so each part holds the share of its class to one row.
+    """
     hashed = df.withColumn("_h", hash_long(key, seed=seed))
-    cuts = hashed.groupBy(label).agg(F.percentile_approx("_h", [float(s) for s in shares], 10000).alias("_cuts"))
+    counted = hashed.groupBy(label, "_h").agg(F.count("*").alias("_n"))
+    ranked = running_totals(counted, "_h", ["_n"], by=[label])
+
+    def cut(share):
+        wanted = F.ceil(F.round(F.col("all__n") * float(share), 6))
+        return F.min(F.when(F.col("cum__n") >= wanted, F.col("_h")))
+    cuts = ranked.groupBy(label).agg(F.array(*[cut(s) for s in shares]).alias("_cuts"))
     return lookup_join(hashed, cuts, label)
 
 
