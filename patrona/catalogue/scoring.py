@@ -10,7 +10,7 @@ from patrona.catalogue.models import TREES, churn_rows
 from patrona.catalogue.registry import REQUEST_CTE, on_base, query
 from patrona.catalogue.rules import TYPED
 from patrona.functions import rules
-from patrona.ml import models, prep
+from patrona.ml import metrics, models, prep
 from patrona.operators import aggregates
 from patrona.plans import scoring
 from patrona.session import materialize
@@ -38,8 +38,7 @@ def _(t):
     return t.base("customer_id", "cltv").join(scores, "customer_id", "left")
 
 
-@query("b04_labelled_segments")
-def _(t):
+def _segments(t):
     numeric = ["age", "tenure_in_months", "monthly_charge", "total_revenue", "cltv"]
     rows = materialize(t.base("customer_id", *numeric, "contract"), "segment-rows")
     prepared = prep.preprocessor(rows, numeric, ["contract"], impute=True).fit(rows).transform(rows)
@@ -47,6 +46,28 @@ def _(t):
     return scoring.labelled_segments(prepared, model, "customer_id", ["contract", "monthly_charge"])
 
 
+@query("b04_labelled_segments")
+def _(t):
+    return _segments(t)
+
+
+@query("b03_enriched_value_model")
+def _(t):
+    """Total charges from customer columns, cluster, centre distance and out-of-fold churn probability."""
+    numeric = ["age", "tenure_in_months", "monthly_charge", "satisfaction_score"]
+    churn, _names = churn_rows(t)
+    scores = models.out_of_fold_scores(models.logistic().fit, churn, "customer_id", "fold", 5)
+    base = t.base("customer_id", *numeric, "gender", "payment_method", "total_charges").where(
+        F.col("total_charges").isNotNull()).withColumnRenamed("total_charges", "label")
+    rows = materialize(prep.fold_column(scoring.enriched_value_rows(base, _segments(t), scores, "customer_id"),
+                                        "customer_id"), "enriched")
+    train, test = rows.where(F.col("fold") != 0), rows.where(F.col("fold") == 0)
+    prepare = prep.preprocessor(train, [*numeric, "churn_proba", "dist_to_centroid"],
+                                ["gender", "payment_method", "cluster_kmeans"], impute=True)
+    model = models.fit_pipeline(prepare, models.forest_regressor(TREES), train)
+    return metrics.regression_metrics(model.transform(test), "label", "prediction")
+
+
 def _cases(labels):
     return " ".join(f"WHEN {k} THEN '{v}'" for k, v in labels.items())
 

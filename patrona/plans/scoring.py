@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from patrona.functions import rules
 from patrona.ml.models import probability, with_centroid_distance
 from patrona.operators.distribution import histogram
-from patrona.operators.joins import map_label
+from patrona.operators.joins import attach, map_label
 
 CHURN_FIELDS = ["tenure", "monthly_charges", "total_charges"]
 SEGMENT_FIELDS = ["recency", "frequency", "monetary", "tenure"]
@@ -84,6 +84,12 @@ def labelled_segments(df: DataFrame, model, key: str, keep: Sequence[str] = (),
     return with_centroid_distance(assigned, centers, features).select(key, "cluster_kmeans", "dist_to_centroid", *keep)
 
 
+def enriched_value_rows(df: DataFrame, segments: DataFrame, churn_scores: DataFrame, key: str) -> DataFrame:
+    """Customer rows with cluster, distance to its centre and churn probability, joined by key."""
+    cluster = segments.select(key, F.col("cluster_kmeans").cast("string").alias("cluster_kmeans"), "dist_to_centroid")
+    return attach(attach(df, cluster, key), churn_scores.select(key, "churn_proba"), key)
+
+
 def cluster_actions(df: DataFrame, cluster: str) -> DataFrame:
     """(cluster, name, action, n) for the clusters that occur."""
     return (df.groupBy(cluster).agg(F.count("*").alias("n"))
