@@ -43,9 +43,13 @@ def row_value(row: DataFrame) -> Column:
 
 
 def bucket_side(spark: SparkSession) -> int:
-    """Side length m of the m*m range buckets used by :func:`running_totals`."""
+    """Side length m of the m*m range buckets used by :func:`running_totals`.
+
+    About one bucket per shuffle partition, up to 4,096 buckets: more would only
+    make the list of cuts longer.
+    """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, math.ceil(math.sqrt(parts)))
+    return min(64, max(2, math.ceil(math.sqrt(parts))))
 
 
 def running_totals(df: DataFrame, order_col: str, totals: Sequence[str], by: Sequence[str] = (),
