@@ -141,7 +141,7 @@ def fit(counts: dict[str, Counter], vocabulary: list[str], rounds: int = 3,
             expected[-1] = max(smoothing, expected[-1, 0] * 1e-3)
             probs = expected / expected.sum()
         columns.append(probs[:, 0])
-    return langs, np.array(columns).T
+    return langs, np.array(columns).reshape(len(langs), len(vocabulary) + 1).T
 
 
 def training_counts(docs: DataFrame, training, docs_per_lang: int, max_chars: int) -> dict[str, Counter]:
@@ -156,45 +156,68 @@ def training_counts(docs: DataFrame, training, docs_per_lang: int, max_chars: in
     return {lang: words for lang, words in counts.items() if words}
 
 
+def _predictions(model, langs: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(rows, languages, scores) of each slice of the batches."""
+    vocabulary, probs = model.value
+    pieces = Pieces(vocabulary)
+    place: dict[str, int] = {}
+    known = np.zeros((0, len(langs)))
+    for rows, _, _ in T.chunks(batches):
+        texts = [words_of(t) if t else [] for t in rows.column("text").to_pylist()]
+        new = list({w for words in texts for w in words} - place.keys())
+        if len(place) + len(new) > CACHE_WORDS:
+            new, place, known = list({w for words in texts for w in words}), {}, known[:0]
+        if new:
+            place.update(zip(new, range(len(place), len(place) + len(new))))
+            known = np.concatenate([known, word_log_probs(new, pieces, probs)])
+        best, score = [], []
+        for words in texts:
+            if not (words and langs):
+                best.append("und")
+                score.append(0.0)
+                continue
+            total = known[np.fromiter(map(place.__getitem__, words), np.int64, len(words))].sum(axis=0)
+            top = int(total.argmax())
+            best.append(langs[top])
+            score.append(float(1 / np.exp(total - total[top]).sum()))
+        yield rows, best, score
+
+
 def _predict_task(model, langs: list[str]) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, probs = model.value
-        pieces = Pieces(vocabulary)
-        place: dict[str, int] = {}
-        known = np.zeros((0, len(langs)))
-        for rows, _, _ in T.chunks(batches):
-            texts = [words_of(t) if t else [] for t in rows.column("text").to_pylist()]
-            new = list({w for words in texts for w in words} - place.keys())
-            if len(place) + len(new) > CACHE_WORDS:
-                new, place, known = list({w for words in texts for w in words}), {}, known[:0]
-            if new:
-                place.update(zip(new, range(len(place), len(place) + len(new))))
-                known = np.concatenate([known, word_log_probs(new, pieces, probs)])
-            best, score = [], []
-            for words in texts:
-                if not (words and langs):
-                    best.append("und")
-                    score.append(0.0)
-                    continue
-                total = known[np.fromiter(map(place.__getitem__, words), np.int64, len(words))].sum(axis=0)
-                top = int(total.argmax())
-                best.append(langs[top])
-                score.append(float(1 / np.exp(total - total[top]).sum()))
+        for rows, best, score in _predictions(model, langs, batches):
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(best, pa.string()),
                                               pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
     return task
 
 
+def _keep_task(model, langs: list[str], least: float) -> Callable:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, best, score in _predictions(model, langs, batches):
+            yield rows.filter(pa.array([b != "und" and s >= least for b, s in zip(best, score)], pa.bool_()))
+    return task
+
+
+def _fitted(docs: DataFrame, training, vocabulary: str, docs_per_lang: int, max_chars: int):
+    pieces = public_pieces(vocabulary)
+    langs, probs = fit(training_counts(docs, training, docs_per_lang, max_chars), pieces)
+    return docs.sparkSession.sparkContext.broadcast((pieces, probs)), langs
+
+
 def identify(docs: DataFrame, training, vocabulary: str, docs_per_lang: int = 400,
              max_chars: int = 20_000) -> DataFrame:
     """(doc_id, lang_pred, score) for every document; ``training`` marks the rows whose lang may be learnt.
 
     ``score`` is the posterior of the predicted language under equal priors.
     """
-    docs = docs.select("doc_id", "text", "lang")
-    pieces = public_pieces(vocabulary)
-    langs, probs = fit(training_counts(docs, training, docs_per_lang, max_chars), pieces)
-    model = docs.sparkSession.sparkContext.broadcast((pieces, probs))
+    model, langs = _fitted(docs, training, vocabulary, docs_per_lang, max_chars)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(_predict_task(model, langs),
                                                     f"doc_id {kind}, lang_pred string, score double")
+
+
+def known_languages(docs: DataFrame, training, vocabulary: str, least: float = 0.5, docs_per_lang: int = 400,
+                    max_chars: int = 20_000) -> DataFrame:
+    """The documents, all columns, whose language is predicted with a score of at least ``least``."""
+    model, langs = _fitted(docs, training, vocabulary, docs_per_lang, max_chars)
+    return docs.mapInArrow(_keep_task(model, langs, least), docs.schema)
