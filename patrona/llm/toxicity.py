@@ -18,6 +18,7 @@ training rows all scores are 0.5; other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from zlib import crc32
 
@@ -56,9 +57,13 @@ class Bags:
     """Subword buckets of many words in one flat array."""
 
     def __init__(self, words: list[str]):
-        lists = [subwords(w) for w in words]
-        self.sizes = np.array([len(x) for x in lists], np.int64)
-        self.flat = np.fromiter((b for x in lists for b in x), np.int64, int(self.sizes.sum()))
+        flat, sizes = array("i"), array("i")
+        for word in words:
+            own = subwords(word)
+            flat.extend(own)
+            sizes.append(len(own))
+        self.sizes = np.array(sizes, np.int64)
+        self.flat = np.array(flat, np.int32)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def mean(self, values: np.ndarray) -> np.ndarray:
@@ -129,7 +134,7 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 60, rate: float =
             part.sizes = bags.sizes[used]
             part.starts = np.cumsum(part.sizes) - part.sizes
             part.flat = np.concatenate([bags.flat[bags.starts[u]:bags.starts[u] + bags.sizes[u]] for u in used]
-                                       or [np.zeros(0, np.int64)])
+                                       or [np.zeros(0, np.int32)])
             owner = np.repeat(np.arange(len(used)), part.sizes)
         words = part.mean(params["e"])
         hidden = np.stack([np.bincount(text, words[place, k], len(chosen)) for k in range(WIDTH)], 1) / sizes
