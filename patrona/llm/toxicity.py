@@ -105,10 +105,8 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 60, rate: float =
     others at random; buckets without certain odds are held at 0, since a text's top
     window would otherwise learn its rarest words by heart.
     """
-    split = [words_of(t) for t in texts]
     vocabulary: dict[str, int] = {}
-    ids = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in words), np.int64, len(words))
-           for words in split]
+    ids = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], np.int64) for t in texts]
     bags = Bags(list(vocabulary))
     odds = _log_odds(bags, ids, labels, certain)
     live = (odds != 0)[:, None]
