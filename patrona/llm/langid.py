@@ -146,10 +146,11 @@ def fit(counts: dict[str, Counter], vocabulary: list[str], rounds: int = 3,
 
 def training_counts(docs: DataFrame, training, docs_per_lang: int, max_chars: int) -> dict[str, Counter]:
     """Word counts per language from a key-hash sample of the training documents."""
-    rows = docs.where(training & F.col("lang").isNotNull() & (F.length("text") <= max_chars))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("_n"))
-    chosen = rows.join(sizes, "lang").where(hash_unit(F.col("doc_id").cast("string"), seed=9) * F.col("_n")
-                                            < docs_per_lang)
+    usable = docs.where(training & F.col("lang").isNotNull())
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("_n"))
+    drawn = hash_unit(F.col("doc_id").cast("string"), seed=9) * F.col("_n") < docs_per_lang
+    ids = usable.select("doc_id", "lang").join(sizes, "lang").where(drawn).select("doc_id").distinct()
+    chosen = usable.where(F.length("text") <= max_chars).join(F.broadcast(ids), "doc_id", "left_semi")
     counts: dict[str, Counter] = {}
     for row in chosen.select("lang", "text").toLocalIterator(prefetchPartitions=True):
         counts.setdefault(row["lang"], Counter()).update(words_of(row["text"]))
