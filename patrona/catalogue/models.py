@@ -199,14 +199,6 @@ def _(t):
     return rounded(t.spark.createDataFrame([(models.silhouette(rows, "label"),)], "silhouette double"))
 
 
-@query("e10_silhouette_euclidean", SILHOUETTE.format(score=f"i AS vec_id, label, {rnd('s')} AS silhouette",
-                                                     distance="list_distance(x.e, y.e)"))
-def _(t):
-    from patrona.scale import hash_sample
-    sample = hash_sample(vectors(t), "vec_id", 20_000)
-    return rounded(explain.exact_silhouette(sample, "vec_id", "label"))
-
-
 @query("e13_permutation_importance")
 def _(t):
     rows, names = churn_rows(t)

@@ -15,7 +15,7 @@ CUSTOMER = "SELECT c_custkey AS {0}, c_name AS {1}, c_mktsegment AS {2}, c_acctb
 HASH = "('0x' || substr(md5({key}::VARCHAR || ':{seed}'), 1, 13))::BIGINT"
 
 
-def hash_sql(key: str, seed: int = 42) -> str:
+def hash_sql(key: str, seed: int | str = 42) -> str:
     return HASH.format(key=key, seed=seed)
 
 
@@ -158,7 +158,7 @@ def _(t):
 
 @query("p19_missing_matrix", on_base(f"""
 SELECT customer_id, offer IS NULL AS offer, churn_reason IS NULL AS churn_reason FROM base
-ORDER BY {hash_sql('customer_id')}, customer_id LIMIT 500"""))
+ORDER BY {hash_sql('customer_id', 'sample:42')}, customer_id LIMIT 500"""))
 def _(t):
     return schema.missing_matrix(t.base("customer_id", "offer", "churn_reason"), "customer_id", 500)
 
@@ -196,7 +196,7 @@ def _(t):
 
 
 @query("f05_bernoulli_sample", f"""
-SELECT o_orderkey, o_totalprice FROM orders WHERE {hash_sql('o_orderkey')} < 0.1 * 4503599627370496""")
+SELECT o_orderkey, o_totalprice FROM orders WHERE {hash_sql('o_orderkey', 'sample:42')} < 0.1 * 4503599627370496""")
 def _(t):
     return quality.bernoulli_sample(t("orders").select("o_orderkey", "o_totalprice"), 0.1, "o_orderkey")
 
@@ -207,14 +207,14 @@ def _(t):
 
 
 @query("f06_fixed_size_sample", f"""
-SELECT o_orderkey, o_totalprice FROM orders ORDER BY {hash_sql('o_orderkey')}, o_orderkey LIMIT 500""")
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY {hash_sql('o_orderkey', 'sample:42')}, o_orderkey LIMIT 500""")
 def _(t):
     return hash_sample(t("orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 500)
 
 
 @query("f07_capped_sample", f"""
 SELECT l_orderkey, l_linenumber FROM lineitem
-ORDER BY ('0x' || substr(md5(l_orderkey::VARCHAR || ':' || l_linenumber::VARCHAR || ':42'), 1, 13))::BIGINT,
+ORDER BY ('0x' || substr(md5(l_orderkey::VARCHAR || ':' || l_linenumber::VARCHAR || ':sample:42'), 1, 13))::BIGINT,
   l_orderkey, l_linenumber LIMIT 20000""")
 def _(t):
     return hash_sample(t("lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], 20000)

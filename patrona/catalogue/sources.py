@@ -44,7 +44,9 @@ def _(t):
 @query("s05_object_store_sink", "SELECT * FROM part")
 def _(t):
     path = scratch_path(t.spark, "part")
-    uri = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    hadoop = t.spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
+    uri = store.makeQualified(hadoop).toString()  # the session's default store where the path names none
     return files.read_parquet(t.spark, files.write_parquet(t("part"), uri))
 
 

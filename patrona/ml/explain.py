@@ -17,23 +17,26 @@ from patrona.ml import metrics
 from patrona.ml.models import probability
 from patrona.scale import hash_long
 
-BLOCK_ROWS = 10_000
+BLOCK_BITS = 12
 
 
 def with_donor(df: DataFrame, key: str, features: str = "features", seed: int = 42) -> DataFrame:
     """Adds ``_donor``: the features of another row, every row being donor exactly once.
 
-    Rows are dealt into random blocks of about ``BLOCK_ROWS`` by key hash and each
-    takes the features of the next row of its block in hash order. Over all blocks
-    this is a permutation of the rows, without a global sort. Keys are unique.
+    Rows are ordered by key hash and each takes the features of the next row; the
+    last row of a hash block takes those of the first row of the next block. This is
+    one cycle over all rows, whatever their number, without a global sort. Keys are
+    unique.
     """
-    blocks = max(1, -(-df.count() // BLOCK_ROWS))
-    marked = df.withColumns({"_values": vector_to_array(features),
-                             "_block": F.pmod(hash_long(key, seed=seed), F.lit(blocks)),
-                             "_turn": hash_long(key, seed=seed + 1)})
-    order = W.partitionBy("_block").orderBy("_turn")
-    first = F.first("_values").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    return marked.withColumn("_donor", F.coalesce(F.lead("_values").over(order), first)).drop("_block", "_turn")
+    marked = df.withColumns({"_values": vector_to_array(features), "_turn": hash_long(key, seed=f"donor:{seed}")})
+    marked = marked.withColumn("_block", F.shiftright("_turn", 52 - BLOCK_BITS))
+    order = W.partitionBy("_block").orderBy("_turn", key)
+    heads = marked.groupBy("_block").agg(F.min_by("_values", F.struct("_turn", key)).alias("_head"))
+    blocks = W.orderBy("_block")  # one row per block, 2**BLOCK_BITS at most
+    heads = heads.select("_block", F.coalesce(F.lead("_head").over(blocks), F.first("_head").over(
+        blocks.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("_next"))
+    return (marked.withColumn("_donor", F.lead("_values").over(order)).join(F.broadcast(heads), "_block")
+            .withColumn("_donor", F.coalesce("_donor", "_next")).drop("_block", "_turn", "_next"))
 
 
 def permutation_importance(model: Model, df: DataFrame, key: str, names: Sequence[str], label: str = "label",
@@ -92,52 +95,3 @@ def shapley_summary(values: DataFrame) -> DataFrame:
     """Mean absolute contribution per feature, highest first."""
     return (values.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs"))
             .orderBy(F.desc("mean_abs"), "feature"))
-
-
-def exact_silhouette(df: DataFrame, key: str, cluster: str, features: str = "features",
-                     max_rows: int = 20_000) -> DataFrame:
-    """(key, cluster, silhouette) with Euclidean distances, for at most ``max_rows`` rows.
-
-    Mean Euclidean distances do not reduce to sums per cluster, so every row needs
-    all others. The row limit bounds the matrix that each task gets; sample first
-    (:func:`patrona.scale.hash_sample`) or use the squared-distance silhouette of
-    :func:`patrona.ml.models.silhouette`, which takes any number of rows.
-    """
-    rows = df.select(key, cluster, vector_to_array(features).alias("values"))
-    found = rows.limit(max_rows + 1).collect()
-    if len(found) > max_rows:
-        raise ValueError(f"more than {max_rows} rows: draw a sample or use the squared-distance silhouette")
-    found.sort(key=lambda r: r[0])
-    clusters = np.array([r[1] for r in found])
-    shared = df.sparkSession.sparkContext.broadcast(
-        (np.array([r[0] for r in found]), clusters, np.array([r[2] for r in found], dtype="float64")))
-    # Arrow hands tasks whole partitions; enough of them keep all cores busy.
-    parts = rows.select(key, cluster, "values").repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-    schema = f"{key} {df.schema[key].dataType.simpleString()}, {cluster} " \
-             f"{df.schema[cluster].dataType.simpleString()}, silhouette double"
-
-    def scores(batches):
-        keys, labels, points = shared.value
-        levels, codes = np.unique(labels, return_inverse=True)
-        sizes = np.bincount(codes)
-        member = np.eye(len(levels))[codes]
-        squares = (points ** 2).sum(axis=1)
-        for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                chunk = pdf.iloc[at:at + 256]
-                x = np.stack(chunk["values"].to_numpy())
-                distance = np.sqrt(np.maximum((x ** 2).sum(axis=1)[:, None] + squares[None, :] - 2 * x @ points.T, 0))
-                # A row is at distance 0 of itself, whatever rounding says.
-                distance[keys[None, :] == chunk[key].to_numpy()[:, None]] = 0.0
-                sums = distance @ member
-                own = np.searchsorted(levels, chunk[cluster].to_numpy())
-                here = np.arange(len(chunk))
-                inside = sums[here, own] / np.maximum(sizes[own] - 1, 1)
-                means = sums / sizes
-                means[here, own] = np.inf
-                outside = means.min(axis=1)
-                value = np.where(sizes[own] > 1, (outside - inside) / np.maximum(inside, outside), 0.0)
-                yield pd.DataFrame({key: chunk[key].to_numpy(), cluster: chunk[cluster].to_numpy(),
-                                    "silhouette": np.nan_to_num(value)})
-    return parts.mapInPandas(scores, schema)
-

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from patrona.operators.joins import consecutive_periods
 from patrona.scale import fits_broadcast, row_value, running_totals
+from patrona.session import materialize
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, max_cells: int = 10_000) -> DataFrame:
@@ -22,6 +23,7 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str, max_cells: int
     cells = (df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
              .groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction"))
              .agg(F.count("*").alias("n")))
+    cells = materialize(cells, "cells")
     if not fits_broadcast(cells, max_cells):
         raise ValueError(f"more than {max_cells} pairs of {label} and {prediction}")
     row = cells.agg(

@@ -206,15 +206,16 @@ def _class_cuts(df: DataFrame, key: str, label: str, shares: Sequence[float], se
 
     The cuts are exact ranks, so each part holds the share of its class to one row.
     """
-    hashed = df.withColumn("_h", hash_long(key, seed=seed))
-    counted = hashed.groupBy(label, "_h").agg(F.count("*").alias("_n"))
-    ranked = running_totals(counted, "_h", ["_n"], by=[label])
+    # The class as text, so that rows without a label form a class of their own
+    hashed = df.withColumns({"_h": hash_long(key, seed=seed), "_class": F.to_json(F.struct(label))})
+    counted = hashed.groupBy("_class", "_h").agg(F.count("*").alias("_n"))
+    ranked = running_totals(counted, "_h", ["_n"], by=["_class"])
 
     def cut(share):
         wanted = F.ceil(F.round(F.col("all__n") * float(share), 6))
         return F.min(F.when(F.col("cum__n") >= wanted, F.col("_h")))
-    cuts = ranked.groupBy(label).agg(F.array(*[cut(s) for s in shares]).alias("_cuts"))
-    return lookup_join(hashed, cuts, label)
+    cuts = ranked.groupBy("_class").agg(F.array(*[cut(s) for s in shares]).alias("_cuts"))
+    return lookup_join(hashed, cuts, "_class").drop("_class")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, fraction: float = 0.8,

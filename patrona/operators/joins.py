@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patrona.scale import BROADCAST_ROWS, fits_broadcast
+from patrona.session import materialize
 
 
 def natural_join(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
@@ -42,6 +43,7 @@ def frequency_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_freq
         table = counts.select(F.col(c).alias("_value"), (F.col("_n") / total).alias("_share"))
         if not null_safe:
             table = table.where(F.col("_value").isNotNull())
+        table = materialize(table, "frequencies")
         out = f"{c}{suffix}"
         if fits_broadcast(table, max_rows):
             same = df[c].eqNullSafe(F.col("_value")) if null_safe else df[c] == F.col("_value")
@@ -77,6 +79,7 @@ def consecutive_periods(df: DataFrame, key: str, period: str, label: str) -> Dat
     checked to be small before it is ordered in one window and broadcast.
     """
     periods = df.select(F.col(period).alias("period_1")).distinct()
+    periods = materialize(periods, "periods")
     if not fits_broadcast(periods):
         raise ValueError(f"{period} has more than {BROADCAST_ROWS} values: use snapshots such as months")
     following = periods.withColumn("period_2", F.lead("period_1").over(W.orderBy("period_1")))

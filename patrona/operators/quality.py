@@ -52,7 +52,7 @@ def bernoulli_sample(df: DataFrame, fraction: float, key: str | Sequence[str] |
     if key is None:
         return df.sample(False, fraction, seed)
     keys = [key] if isinstance(key, str) else list(key)
-    return df.where(hash_unit(*keys, seed=seed) < fraction)
+    return df.where(hash_unit(*keys, seed=f"sample:{seed}") < fraction)
 
 
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,8 +53,10 @@ def rfm(orders: DataFrame, customer: str, order_date: str, amount: str) -> DataF
 
 
 def fit_segments(rows: DataFrame, fields: Sequence[str], k: int = 5, seed: int = 42):
-    """Scaling and k-means over the given numeric fields."""
-    stages = [VectorAssembler(inputCols=list(fields), outputCol="_raw", handleInvalid="skip"),
+    """Scaling and k-means over the given numeric fields; a missing field counts as 0."""
+    filled = ", ".join(f"nanvl(coalesce(double(`{c}`), 0D), 0D) AS `_{c}`" for c in fields)
+    stages = [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+              VectorAssembler(inputCols=[f"_{c}" for c in fields], outputCol="_raw"),
               StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_scaled"),
               KMeans(k=k, seed=seed, featuresCol="_scaled", predictionCol="cluster")]
     return Pipeline(stages=stages).fit(rows)

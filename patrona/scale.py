@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from patrona.session import materialize
+
 BROADCAST_ROWS = 50_000
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when the table holds at most ``max_rows`` rows (reads no more than that)."""
+    """True when the table holds at most ``max_rows`` rows; pass a written table, an aggregate would run for it."""
     return table.limit(max_rows + 1).count() <= max_rows
 
 
@@ -28,10 +30,11 @@ def lookup_join(df: DataFrame, table: DataFrame, on: str | Sequence[str], how: s
                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``df`` to a lookup table that has one row per key.
 
-    The table is broadcast only after its row count was checked, so a hot key of
-    ``df`` costs no shuffle. A larger table is joined by shuffle, where adaptive
-    execution splits skewed partitions.
+    The table is written once and its rows are counted there. It is broadcast within
+    the limit, so a hot key of ``df`` costs no shuffle; a larger table is joined by
+    shuffle, where adaptive execution splits skewed partitions.
     """
+    table = materialize(table, "lookup")
     if fits_broadcast(table, max_rows):
         table = F.broadcast(table)
     return df.join(table, on, how)
@@ -101,13 +104,17 @@ def running_totals(df: DataFrame, order_col: str, totals: Sequence[str], by: Seq
     return joined
 
 
-def hash_long(*key: str | Column, seed: int = 42) -> Column:
-    """52-bit hash of the key and the seed, the same on every run and engine."""
+def hash_long(*key: str | Column, seed: int | str = 42) -> Column:
+    """52-bit hash of the key and the seed, the same on every run and engine.
+
+    Draws for different purposes take different seeds (``"sample:42"``): a split of a
+    sample by the hash that drew it would leave one side empty.
+    """
     text = F.concat_ws(":", *key, F.lit(str(seed)))
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 
-def hash_unit(*key: str | Column, seed: int = 42) -> Column:
+def hash_unit(*key: str | Column, seed: int | str = 42) -> Column:
     """Uniform number in [0, 1) from :func:`hash_long`.
 
     Unlike ``rand`` the value belongs to the row, not to its place in a
@@ -124,7 +131,7 @@ def hash_sample(df: DataFrame, key: str | Sequence[str], n: int, seed: int = 42)
     before the top-n step; if fewer than n survive, all rows take part.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    h = hash_long(*keys, seed=seed)
+    h = hash_long(*keys, seed=f"sample:{seed}")  # not the hash that splits and folds use
     total = df.count()
     if total <= n:
         return df

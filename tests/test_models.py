@@ -234,20 +234,6 @@ def test_clusters(blobs):
     assert value(metrics.label_agreement(mixture, "truth", "cluster_gmm").select("ari")) == 1.0
 
 
-def test_exact_silhouette(spark, blobs):
-    points = np.array([r[0] for r in blobs.orderBy("id").select(vector_to_array("features")).collect()])
-    truth = np.arange(150) % 3
-    distance = np.linalg.norm(points[:, None] - points[None], axis=2)
-    means = np.stack([distance[:, truth == c].sum(1) for c in range(3)], 1)
-    a = means[np.arange(150), truth] / 49
-    others = np.where(np.arange(3)[None] == truth[:, None], np.inf, means / 50)
-    want = (others.min(1) - a) / np.maximum(a, others.min(1))
-    got = explain.exact_silhouette(blobs, "id", "truth").orderBy("id").collect()
-    assert np.allclose([r["silhouette"] for r in got], want)
-    with pytest.raises(ValueError):
-        explain.exact_silhouette(blobs, "id", "truth", max_rows=100)
-
-
 def test_pca_keeps_share(blobs):
     points, _model, explained = prep.pca_keeping(blobs, 0.95)
     assert len(explained) == 2 and len(points.first()["pca"]) == 2

@@ -79,7 +79,7 @@ def test_hash_sample_is_exact_and_repeatable(spark):
     df = spark.range(20000).withColumnRenamed("id", "k")
     one, two = scale.hash_sample(df, "k", 500), scale.hash_sample(df.repartition(7), "k", 500)
     assert rows(one) == rows(two) and one.count() == 500
-    ranked = df.orderBy(scale.hash_long("k"), "k").limit(500)
+    ranked = df.orderBy(scale.hash_long("k", seed="sample:42"), "k").limit(500)
     assert rows(one) == rows(ranked)
     assert scale.hash_sample(df.limit(10), "k", 500).count() == 10
 
@@ -168,3 +168,58 @@ def test_hot_part_is_split_by_adaptive_execution(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_sample_and_split_use_different_hashes(spark):
+    from patrona.ml import prep
+    from patrona.operators import quality
+    rows = spark.range(20_000)
+    for sample in (quality.bernoulli_sample(rows, 0.1, "id"), scale.hash_sample(rows, "id", 2_000)):
+        train, test = prep.random_split(sample, "id")
+        share = train.count() / sample.count()
+        assert 0.77 < share < 0.83 and train.count() + test.count() == sample.count()
+
+
+def test_stratified_parts_keep_rows_without_label(spark):
+    from pyspark.sql import functions as F
+    from patrona.ml import prep
+    rows = spark.range(2_000).withColumn("label", F.when(F.col("id") % 10 > 0, F.col("id") % 2))
+    train, test = prep.stratified_split(rows, "id", "label")
+    assert train.count() == 1_600 and test.count() == 400
+    assert train.where("label is null").count() == 160
+    folds = prep.stratified_folds(rows, "id", "label", k=5).groupBy("fold").count().collect()
+    assert sorted(r["fold"] for r in folds) == [0, 1, 2, 3, 4] and {r["count"] for r in folds} == {400}
+
+
+def test_lookup_join_runs_the_table_once(spark):
+    from pyspark.sql import functions as F
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(1_000).withColumn("k", F.col("id") % 7)
+    table = rows.mapInPandas(count, rows.schema).groupBy("k").agg(F.count("*").alias("n"))
+    assert scale.lookup_join(rows, table, "k").count() == 1_000 and seen.value == 1_000
+    beyond = scale.lookup_join(rows, rows.groupBy("k").agg(F.count("*").alias("n")), "k", max_rows=3)
+    assert beyond.count() == 1_000 and beyond.where("n is null").count() == 0
+
+
+def test_donors_are_a_permutation(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+    from patrona.ml.explain import with_donor
+    for n in (2, 50, 12_000):
+        rows = spark.range(n).withColumn("features", array_to_vector(F.array(F.col("id").cast("double"))))
+        pairs = [(r["id"], int(r["_donor"][0])) for r in with_donor(rows, "id").select("id", "_donor").collect()]
+        assert sorted(d for _, d in pairs) == list(range(n)) and all(a != b for a, b in pairs)
+
+
+def test_segments_keep_rows_with_missing_fields(spark):
+    from patrona.plans import scoring
+    rows = spark.createDataFrame([(i, None if i % 4 == 0 else float(i % 5), float(i)) for i in range(200)],
+                                 "customer_id long, x double, y double")
+    model = scoring.fit_segments(rows, ["x", "y"], k=3)
+    assert scoring.score_segments(rows, model).count() == 200
