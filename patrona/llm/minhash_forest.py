@@ -36,7 +36,9 @@ from patrona.session import materialize
 TREES, DEPTH = 32, 4
 FIRST_TREES = 4
 #: Rows before it in sorted order with which a row is paired, in the first trees and in the others.
-FIRST_REACH, REACH = 1, 6
+FIRST_REACH, REACH = 1, 20
+#: Rows farther off than this must share four minima beyond the region: dense regions are read more deeply.
+NEAR = 4
 FILTER_BITS = 26
 
 _random = np.random.default_rng(20)
@@ -109,7 +111,7 @@ def _neighbour_task(reach: int):
     """Pairs of rows of one region at most ``reach`` apart; the first and last rows of the task as kinds 1 and 2."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        carry = np.zeros((0, 3), np.int64)
+        carry = np.zeros((0, 4), np.int64)
         head: list[np.ndarray] = []
 
         def out(kind: int, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
@@ -120,7 +122,7 @@ def _neighbour_task(reach: int):
                  pa.array(np.ascontiguousarray(right[:, 1]))], names=["kind", "part", "region", "a", "comp", "b"])
 
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in ("region", "doc_id", "comp")], axis=1)
+            rows = np.stack([batch.column(c).to_numpy() for c in ("region", "doc_id", "comp", "deep")], axis=1)
             if sum(map(len, head)) < reach:
                 head.append(rows[:reach])
             whole = np.concatenate([carry, rows])
@@ -128,6 +130,8 @@ def _neighbour_task(reach: int):
                 left, right = whole[:-lag], whole[lag:]
                 new = np.arange(len(right)) + lag >= len(carry)  # the later row is of this batch
                 hit = new & (left[:, 0] == right[:, 0]) & (left[:, 2] != right[:, 2])
+                if lag > NEAR:
+                    hit &= left[:, 3] == right[:, 3]
                 if hit.any():
                     yield out(0, left[hit], right[hit])
             carry = whole[-reach:]
