@@ -97,7 +97,7 @@ def _log_odds(bags: Bags, ids: list[np.ndarray], labels: np.ndarray, certain: fl
     return np.where(np.abs(out) >= certain * error, out, 0.0)
 
 
-def train(texts: list[str], labels: np.ndarray, rounds: int = 60, rate: float = 0.03, certain: float = 4.0,
+def train(texts: list[str], labels: np.ndarray, rounds: int = 150, rate: float = 0.03, certain: float = 4.0,
           seed: int = 2) -> tuple[np.ndarray, float]:
     """Score of each bucket and the bias: embeddings and softmax trained jointly on each text's top window (Adam).
 
