@@ -8,7 +8,8 @@ it needs to be and a sparse one stops at the region. Two documents of similarity
 
 1. Documents with equal shingle sets form classes; one of each goes on.
 2. Rows are range-partitioned in (region, depth) order, so a region of any size is
-   spread over tasks; each row is paired with the rows just before it.
+   spread over tasks; each row is paired with the rows just before it, and with those
+   farther off whose sketches (a bit of each minimum) are alike.
 3. Pairs are confirmed on full shingle sets; a filter of fixed size keeps the texts
    of other documents out of that join.
 4. Confirmed links are contracted to components. The first trees join what is
@@ -36,9 +37,11 @@ from patrona.session import materialize
 TREES, DEPTH = 32, 4
 FIRST_TREES = 4
 #: Rows before it in sorted order with which a row is paired, in the first trees and in the others.
-FIRST_REACH, REACH = 1, 20
-#: Rows farther off than this must share four minima beyond the region: dense regions are read more deeply.
+FIRST_REACH, REACH = 1, 32
+#: Rows farther off than this are paired only if their sketches are alike: dense regions hold rows of every likeness.
 NEAR = 4
+#: Bits of 128 in which like sketches may differ; 12.8 are expected at a similarity of 0.8.
+SKETCH_BITS = 18
 FILTER_BITS = 26
 
 _random = np.random.default_rng(20)
@@ -83,7 +86,12 @@ def regions(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return region, deep
 
 
-_SIGNED = "n_shingles long, key1 long, key2 long, region array<long>, deep array<long>"
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """One bit of each minimum, as two 64-bit numbers."""
+    return np.packbits((sig & np.uint64(1)).astype(bool)).view(np.uint64)
+
+
+_SIGNED = "n_shingles long, key1 long, key2 long, sketch1 long, sketch2 long, region array<long>, deep array<long>"
 
 
 def _lists(values: list[np.ndarray]) -> pa.Array:
@@ -97,62 +105,89 @@ def _sign_task(k: int):
         none = np.zeros(0, np.uint64)
         for rows, data, offsets in T.chunks(batches):
             sets = shingle_sets(data, offsets, k)
-            trees = [regions(signature(s)) if len(s) else (none, none) for s in sets]
+            signatures = [signature(s) if len(s) else none for s in sets]
+            trees = [regions(s) if len(s) else (none, none) for s in signatures]
+            bits = np.array([sketch(s) if len(s) else [0, 0] for s in signatures], np.uint64).view(np.int64)
             sums = np.array([[s.sum(dtype=np.uint64), T.mix(s).sum(dtype=np.uint64)] for s in sets], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(sums[:, 0].view(np.int64)), pa.array(sums[:, 1].copy().view(np.int64)),
+                 pa.array(bits[:, 0].copy()), pa.array(bits[:, 1].copy()),
                  _lists([r for r, _ in trees]), _lists([d for _, d in trees])],
-                names=["doc_id", "n_shingles", "key1", "key2", "region", "deep"])
+                names=["doc_id", "n_shingles", "key1", "key2", "sketch1", "sketch2", "region", "deep"])
     return task
 
 
+_CARRIED = ["region", "doc_id", "comp", "sketch1", "sketch2"]
+
+
+def _alike(lag: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which rows of the same region are paired at this distance."""
+    if lag <= NEAR:
+        return np.ones(len(left), bool)
+    return np.bitwise_count((left[:, 3:] ^ right[:, 3:]).view(np.uint64)).sum(axis=1) <= SKETCH_BITS
+
+
 def _neighbour_task(reach: int):
-    """Pairs of rows of one region at most ``reach`` apart; the first and last rows of the task as kinds 1 and 2."""
+    """Pairs of rows of one region at most ``reach`` apart; the first and last rows of the task as kinds 1 and 2.
+
+    ``place`` counts first rows from 0 and last rows back from 1, so that their sum is the distance.
+    """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        carry = np.zeros((0, 4), np.int64)
+        carry = np.zeros((0, len(_CARRIED)), np.int64)
         head: list[np.ndarray] = []
 
-        def out(kind: int, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
-            n = len(left)
+        def out(kind: int, rows: np.ndarray, b: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+            n = len(rows)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, part, np.int32)),
-                 *[pa.array(np.ascontiguousarray(left[:, i])) for i in range(3)],
-                 pa.array(np.ascontiguousarray(right[:, 1]))], names=["kind", "part", "region", "a", "comp", "b"])
+                 pa.array(place.astype(np.int32)), *[pa.array(rows[:, i].copy()) for i in range(len(_CARRIED))],
+                 pa.array(b.copy())], names=["kind", "part", "place", *_CARRIED, "b"])
 
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in ("region", "doc_id", "comp", "deep")], axis=1)
+            rows = np.stack([batch.column(c).to_numpy() for c in _CARRIED], axis=1)
             if sum(map(len, head)) < reach:
                 head.append(rows[:reach])
             whole = np.concatenate([carry, rows])
             for lag in range(1, reach + 1):
                 left, right = whole[:-lag], whole[lag:]
                 new = np.arange(len(right)) + lag >= len(carry)  # the later row is of this batch
-                hit = new & (left[:, 0] == right[:, 0]) & (left[:, 2] != right[:, 2])
-                if lag > NEAR:
-                    hit &= left[:, 3] == right[:, 3]
+                same = new & (left[:, 0] == right[:, 0])
+                if not same.any():
+                    continue
+                left, right = left[same], right[same]
+                hit = (left[:, 2] != right[:, 2]) & _alike(lag, left, right)
                 if hit.any():
-                    yield out(0, left[hit], right[hit])
+                    yield out(0, left[hit], right[hit, 1], np.zeros(int(hit.sum())))
             carry = whole[-reach:]
         if len(carry):
             first = np.concatenate(head)[:reach]
-            yield out(1, first, first)
-            yield out(2, carry, carry)
+            yield out(1, first, first[:, 1], np.arange(len(first)))
+            yield out(2, carry, carry[:, 1], np.arange(len(carry), 0, -1))
     return task
 
 
 def candidates(rows: DataFrame, reach: int) -> DataFrame:
-    """(a, b), a < b: neighbours in the sorted orders of (region, deep, doc_id, comp)."""
+    """(a, b), a < b: neighbours in the sorted orders of rows (region, deep, doc_id, comp, sketch1, sketch2)."""
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = ", ".join(f"{c} long" for c in (*_CARRIED, "b"))
     found = (rows.repartitionByRange(n, "region", "deep", "doc_id").sortWithinPartitions("region", "deep", "doc_id")
-             .mapInArrow(_neighbour_task(reach), "kind int, part int, region long, a long, comp long, b long"))
+             .select(*_CARRIED).mapInArrow(_neighbour_task(reach), f"kind int, part int, place int, {columns}"))
     found = materialize(found, "forest-pairs")
-    heads = found.where("kind = 1").select("region", F.col("a").alias("b"), F.col("comp").alias("other"), "part")
-    tails = found.where("kind = 2").select("region", "a", "comp", (F.col("part") + 1).alias("part"))
-    across = tails.join(heads, ["region", "part"]).where("comp <> other").select("a", "b")
-    pairs = found.where("kind = 0").select("a", "b").unionByName(across)
+    heads = found.where("kind = 1").select("region", "part", F.col("place").alias("after"), "b", *[
+        F.col(c).alias(f"{c}_b") for c in ("comp", "sketch1", "sketch2")])
+    tails = found.where("kind = 2").withColumn("part", F.col("part") + 1).drop("b")
+    lag = F.col("place") + F.col("after")
+    differ = F.bit_count(F.col("sketch1").bitwiseXOR(F.col("sketch1_b"))) + F.bit_count(
+        F.col("sketch2").bitwiseXOR(F.col("sketch2_b")))
+    alike = (lag <= NEAR) | ((lag <= reach) & (differ <= SKETCH_BITS))
+    heads = heads.select("*", F.col("region").alias("region_b"), F.col("part").alias("part_b")).drop("region", "part")
+    across = tails.join(heads, (F.col("region") == F.col("region_b")) & (F.col("part") == F.col("part_b"))
+                        & (F.col("comp") != F.col("comp_b")) & alike)
+    pairs = found.where("kind = 0").select(F.col("doc_id").alias("a"), "b").unionByName(
+        across.select(F.col("doc_id").alias("a"), "b"))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -209,9 +244,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     label = classes
     own = docs.where("doc_id is not null")
     for first, last, reach in ((0, FIRST_TREES, FIRST_REACH), (FIRST_TREES, TREES, REACH)):
-        trees = linkable.select("doc_id", *[F.slice(c, first + 1, last - first).alias(c) for c in ("region", "deep")])
+        trees = linkable.select("doc_id", "sketch1", "sketch2", *[F.slice(c, first + 1, last - first).alias(c) for c in ("region", "deep")])
         chosen = label.join(classes.where("doc_id = comp").select("doc_id"), "doc_id", "left_semi")
-        rows = trees.join(chosen, "doc_id").select("doc_id", "comp", F.inline(F.arrays_zip("region", "deep")))
+        rows = trees.join(chosen, "doc_id").select("doc_id", "comp", "sketch1", "sketch2", F.inline(F.arrays_zip("region", "deep")))
         pairs = materialize(candidates(rows, reach), "forest-candidates")
         links = materialize(confirmed(own, pairs, shingle_words, percent), "forest-links")
         ends = (links.join(label.select(F.col("doc_id").alias("a"), F.col("comp").alias("u")), "a")
