@@ -12,8 +12,9 @@ it needs to be and a sparse one stops at the region. Two documents of similarity
    farther off whose sketches (a bit of each minimum) are alike.
 3. Pairs are confirmed on full shingle sets; a filter of fixed size keeps the texts
    of other documents out of that join.
-4. Confirmed links are contracted to components. The first trees join what is
-   alike throughout; the others then pair rows of different components only.
+4. Confirmed links are contracted to components. The trees go in rounds: the first
+   joins what is alike throughout, and each later one pairs only rows of components
+   still apart that no earlier round has compared.
 
 Defined cases: a null or empty text has no shingle and links with nothing; rows
 with a null id link with nothing and are kept; rows that repeat an id count as one
@@ -35,9 +36,8 @@ from patrona.llm.components import components
 from patrona.session import materialize
 
 TREES, DEPTH = 32, 4
-FIRST_TREES = 4
-#: Rows before it in sorted order with which a row is paired, in the first trees and in the others.
-FIRST_REACH, REACH = 1, 32
+#: Rounds of trees (first, one past the last, rows before it in sorted order with which a row is paired).
+ROUNDS = ((0, 4, 1), (4, 14, 32), (14, 23, 32), (23, TREES, 32))
 #: Rows farther off than this are paired only if their sketches are alike: dense regions hold rows of every likeness.
 NEAR = 4
 #: Bits of 128 in which like sketches may differ; 12.8 are expected at a similarity of 0.8.
@@ -243,11 +243,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
                           "forest-classes")
     label = classes
     own = docs.where("doc_id is not null")
-    for first, last, reach in ((0, FIRST_TREES, FIRST_REACH), (FIRST_TREES, TREES, REACH)):
-        trees = linkable.select("doc_id", "sketch1", "sketch2", *[F.slice(c, first + 1, last - first).alias(c) for c in ("region", "deep")])
+    seen = None
+    for first, last, reach in ROUNDS:
+        trees = linkable.select("doc_id", "sketch1", "sketch2", *[
+            F.slice(c, first + 1, last - first).alias(c) for c in ("region", "deep")])
         chosen = label.join(classes.where("doc_id = comp").select("doc_id"), "doc_id", "left_semi")
-        rows = trees.join(chosen, "doc_id").select("doc_id", "comp", "sketch1", "sketch2", F.inline(F.arrays_zip("region", "deep")))
-        pairs = materialize(candidates(rows, reach), "forest-candidates")
+        rows = trees.join(chosen, "doc_id").select("doc_id", "comp", "sketch1", "sketch2",
+                                                   F.inline(F.arrays_zip("region", "deep")))
+        pairs = candidates(rows, reach)
+        unseen = pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = materialize(unseen, "forest-candidates")
+        seen = pairs if seen is None else seen.unionByName(pairs)
         links = materialize(confirmed(own, pairs, shingle_words, percent), "forest-links")
         ends = (links.join(label.select(F.col("doc_id").alias("a"), F.col("comp").alias("u")), "a")
                 .join(label.select(F.col("doc_id").alias("b"), F.col("comp").alias("v")), "b").select("u", "v"))
