@@ -8,8 +8,8 @@ it needs to be and a sparse one stops at the region. Two documents of similarity
 
 1. Documents with equal shingle sets form classes; one of each goes on.
 2. Rows are range-partitioned in (region, depth) order, so a region of any size is
-   spread over tasks; each row is paired with the rows just before it, and with those
-   farther off whose sketches (a bit of each minimum) are alike.
+   spread over tasks; each row is paired with rows before it whose sketches (two bits
+   of each minimum) do not rule out a link, and farther off with those alike.
 3. Pairs are confirmed on full shingle sets; a filter of fixed size keeps the texts
    of other documents out of that join.
 4. Confirmed links are contracted to components. The trees go in rounds: the first
@@ -38,10 +38,12 @@ from patrona.session import materialize
 TREES, DEPTH = 32, 4
 #: Rounds of trees (first, one past the last, rows before it in sorted order with which a row is paired).
 ROUNDS = ((0, 4, 1), (4, 14, 32), (14, 23, 32), (23, TREES, 32))
-#: Rows farther off than this are paired only if their sketches are alike: dense regions hold rows of every likeness.
+#: Rows at most so far apart are paired unless a link is out of question; dense regions hold rows of every likeness.
 NEAR = 4
-#: Bits of 128 in which like sketches may differ; 12.8 are expected at a similarity of 0.8.
-SKETCH_BITS = 18
+#: Minima of 128 whose two bits may differ, near and farther off. At a similarity of 0.8 they number 19.2, with a
+#: deviation of 4: the near limit passes all but a few in a million such pairs, the far one 96 %.
+NEAR_BITS, FAR_BITS = 39, 26
+SKETCH = ["sketch1", "sketch2", "sketch3", "sketch4"]
 FILTER_BITS = 26
 
 _random = np.random.default_rng(20)
@@ -87,11 +89,13 @@ def regions(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(sig: np.ndarray) -> np.ndarray:
-    """One bit of each minimum, as two 64-bit numbers."""
-    return np.packbits((sig & np.uint64(1)).astype(bool)).view(np.uint64)
+    """Two bits of each minimum, as two 64-bit numbers of lower bits and two of higher ones."""
+    planes = [(sig >> np.uint64(i) & np.uint64(1)).astype(bool) for i in (0, 1)]
+    return np.packbits(np.concatenate(planes)).view(np.uint64)
 
 
-_SIGNED = "n_shingles long, key1 long, key2 long, sketch1 long, sketch2 long, region array<long>, deep array<long>"
+_SIGNED = ("n_shingles long, key1 long, key2 long, " + "".join(f"{c} long, " for c in SKETCH)
+           + "region array<long>, deep array<long>")
 
 
 def _lists(values: list[np.ndarray]) -> pa.Array:
@@ -107,31 +111,32 @@ def _sign_task(k: int):
             sets = shingle_sets(data, offsets, k)
             signatures = [signature(s) if len(s) else none for s in sets]
             trees = [regions(s) if len(s) else (none, none) for s in signatures]
-            bits = np.array([sketch(s) if len(s) else [0, 0] for s in signatures], np.uint64).view(np.int64)
+            bits = np.array([sketch(s) if len(s) else [0] * len(SKETCH) for s in signatures], np.uint64).view(np.int64)
             sums = np.array([[s.sum(dtype=np.uint64), T.mix(s).sum(dtype=np.uint64)] for s in sets], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(sums[:, 0].view(np.int64)), pa.array(sums[:, 1].copy().view(np.int64)),
-                 pa.array(bits[:, 0].copy()), pa.array(bits[:, 1].copy()),
+                 *[pa.array(bits[:, i].copy()) for i in range(len(SKETCH))],
                  _lists([r for r, _ in trees]), _lists([d for _, d in trees])],
-                names=["doc_id", "n_shingles", "key1", "key2", "sketch1", "sketch2", "region", "deep"])
+                names=["doc_id", "n_shingles", "key1", "key2", *SKETCH, "region", "deep"])
     return task
 
 
-_CARRIED = ["region", "doc_id", "comp", "sketch1", "sketch2"]
+_CARRIED = ["region", "doc_id", "comp", *SKETCH]
 
 
 def _alike(lag: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Which rows of the same region are paired at this distance."""
-    if lag <= NEAR:
-        return np.ones(len(left), bool)
-    return np.bitwise_count((left[:, 3:] ^ right[:, 3:]).view(np.uint64)).sum(axis=1) <= SKETCH_BITS
+    differ = left[:, 3:] ^ right[:, 3:]
+    count = np.bitwise_count((differ[:, :2] | differ[:, 2:]).view(np.uint64)).sum(axis=1)
+    return count <= (NEAR_BITS if lag <= NEAR else FAR_BITS)
 
 
 def _neighbour_task(reach: int):
-    """Pairs of rows of one region at most ``reach`` apart; the first and last rows of the task as kinds 1 and 2.
+    """Pairs of rows of one region at most ``reach`` apart; rows that may pair with those of another task as kinds 1 and 2.
 
-    ``place`` counts first rows from 0 and last rows back from 1, so that their sum is the distance.
+    These are up to ``reach`` rows of the task's first region and of its last one. ``place`` counts the
+    first rows from 0 and the last ones back from 1, so that their sum is the distance.
     """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -163,13 +168,14 @@ def _neighbour_task(reach: int):
             carry = whole[-reach:]
         if len(carry):
             first = np.concatenate(head)[:reach]
+            first, carry = first[first[:, 0] == first[0, 0]], carry[carry[:, 0] == carry[-1, 0]]
             yield out(1, first, first[:, 1], np.arange(len(first)))
             yield out(2, carry, carry[:, 1], np.arange(len(carry), 0, -1))
     return task
 
 
 def candidates(rows: DataFrame, reach: int) -> DataFrame:
-    """(a, b), a < b: neighbours in the sorted orders of rows (region, deep, doc_id, comp, sketch1, sketch2)."""
+    """(a, b), a < b: neighbours in the sorted orders of rows (region, deep, doc_id, comp, sketch1, ...)."""
     spark = rows.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = ", ".join(f"{c} long" for c in (*_CARRIED, "b"))
@@ -177,12 +183,12 @@ def candidates(rows: DataFrame, reach: int) -> DataFrame:
              .select(*_CARRIED).mapInArrow(_neighbour_task(reach), f"kind int, part int, place int, {columns}"))
     found = materialize(found, "forest-pairs")
     heads = found.where("kind = 1").select("region", "part", F.col("place").alias("after"), "b", *[
-        F.col(c).alias(f"{c}_b") for c in ("comp", "sketch1", "sketch2")])
+        F.col(c).alias(f"{c}_b") for c in ("comp", *SKETCH)])
     tails = found.where("kind = 2").withColumn("part", F.col("part") + 1).drop("b")
     lag = F.col("place") + F.col("after")
-    differ = F.bit_count(F.col("sketch1").bitwiseXOR(F.col("sketch1_b"))) + F.bit_count(
-        F.col("sketch2").bitwiseXOR(F.col("sketch2_b")))
-    alike = (lag <= NEAR) | ((lag <= reach) & (differ <= SKETCH_BITS))
+    differ = [F.col(c).bitwiseXOR(F.col(f"{c}_b")) for c in SKETCH]
+    count = F.bit_count(differ[0].bitwiseOR(differ[2])) + F.bit_count(differ[1].bitwiseOR(differ[3]))
+    alike = (lag <= reach) & (count <= F.when(lag <= NEAR, NEAR_BITS).otherwise(FAR_BITS))
     heads = heads.select("*", F.col("region").alias("region_b"), F.col("part").alias("part_b")).drop("region", "part")
     across = tails.join(heads, (F.col("region") == F.col("region_b")) & (F.col("part") == F.col("part_b"))
                         & (F.col("comp") != F.col("comp_b")) & alike)
@@ -245,11 +251,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     own = docs.where("doc_id is not null")
     seen = None
     for first, last, reach in ROUNDS:
-        trees = linkable.select("doc_id", "sketch1", "sketch2", *[
+        trees = linkable.select("doc_id", *SKETCH, *[
             F.slice(c, first + 1, last - first).alias(c) for c in ("region", "deep")])
         chosen = label.join(classes.where("doc_id = comp").select("doc_id"), "doc_id", "left_semi")
-        rows = trees.join(chosen, "doc_id").select("doc_id", "comp", "sketch1", "sketch2",
-                                                   F.inline(F.arrays_zip("region", "deep")))
+        rows = trees.join(chosen, "doc_id").select(
+            "doc_id", "comp", *SKETCH, F.inline(F.arrays_zip("region", "deep")))
         pairs = candidates(rows, reach)
         unseen = pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti")
         pairs = materialize(unseen, "forest-candidates")
