@@ -84,11 +84,19 @@ def _(t):
 RISK = """(CASE WHEN monthly_charges > 80 THEN 0.3e0 ELSE 0e0 END + CASE WHEN tenure < 12 THEN 0.4e0 ELSE 0e0 END
   + CASE WHEN contract_type = 'Month-to-month' THEN 0.3e0 ELSE 0e0 END)"""
 
+REFUSED = """
+refused AS (
+  SELECT request_id, CASE WHEN tenure_state = 'bad' THEN 'tenure' ELSE 'monthly_charges' END AS bad_field
+  FROM requests WHERE tenure_state = 'bad' OR charge_state = 'empty')
+"""
+
 
 @query("b06_score_churn_requests", on_base(f"""
 SELECT request_id, (risk > 0.5)::INT AS prediction, least(risk, 0.9e0) AS probability,
-  CASE WHEN least(risk, 0.9e0) > 0.7 THEN 'High' WHEN least(risk, 0.9e0) > 0.4 THEN 'Medium' ELSE 'Low' END AS risk_level
-FROM (SELECT request_id, {RISK} AS risk FROM typed)""", REQUEST_CTE, TYPED))
+  CASE WHEN least(risk, 0.9e0) > 0.7 THEN 'High' WHEN least(risk, 0.9e0) > 0.4 THEN 'Medium' ELSE 'Low' END AS risk_level,
+  NULL::VARCHAR AS bad_field
+FROM (SELECT request_id, {RISK} AS risk FROM typed)
+UNION ALL SELECT request_id, NULL, NULL, NULL, bad_field FROM refused""", REQUEST_CTE, TYPED, REFUSED))
 def _(t):
     return scoring.score_churn(t.requests())
 
@@ -105,9 +113,9 @@ def _(t):
 
 @query("b07_score_value_requests", on_base("""
 SELECT request_id, cltv, CASE WHEN cltv > 5000 THEN 'High Value' WHEN cltv > 2000 THEN 'Medium Value' ELSE 'Low Value'
-  END AS value_category FROM (SELECT request_id, monthly_charges * greatest(tenure * 2, 24)
-  * CASE service_type WHEN 'Premium' THEN 1.5e0 WHEN 'Standard' THEN 1.2e0 ELSE 1e0 END AS cltv FROM typed)""",
-                                       REQUEST_CTE, TYPED))
+  END AS value_category, NULL::VARCHAR AS bad_field FROM (SELECT request_id, monthly_charges * greatest(tenure * 2, 24)
+  * CASE service_type WHEN 'Premium' THEN 1.5e0 WHEN 'Standard' THEN 1.2e0 ELSE 1e0 END AS cltv FROM typed)
+UNION ALL SELECT request_id, NULL, NULL, bad_field FROM refused""", REQUEST_CTE, TYPED, REFUSED))
 def _(t):
     return scoring.score_value(t.requests())
 

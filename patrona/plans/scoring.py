@@ -20,27 +20,38 @@ SEGMENT_FIELDS = ["recency", "frequency", "monetary", "tenure"]
 FEEDBACK_FIELDS = ["sentiment_score", "rating", "response_time", "resolution_time"]
 
 
+def _with_rejected(scored: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Scored requests, and the rejected ones with the name of their bad field and no score."""
+    return scored.withColumn("bad_field", F.lit(None).cast("string")).unionByName(
+        rejected.select("request_id", "bad_field"), allowMissingColumns=True)
+
+
 def score_churn(requests: DataFrame, model: Model | None = None) -> DataFrame:
-    """(request_id, prediction, probability, risk_level) by model, or by rule without one."""
-    rows, _rejected = rules.split_bad_numbers(requests, CHURN_FIELDS)
+    """(request_id, prediction, probability, risk_level, bad_field) by model, or by rule without one.
+
+    Every request comes back; one with a field that is no number has ``bad_field`` and null scores.
+    """
+    rows, rejected = rules.split_bad_numbers(requests, CHURN_FIELDS)
     if model is not None:
         scored = model.transform(rows).withColumns({"_p": probability(), "_class": F.col("prediction").cast("int")})
     else:
         risk = rules.churn_rule_score("monthly_charges", "tenure", "contract_type")
         scored = rows.withColumn("_risk", risk).withColumns({
             "_p": F.least("_risk", F.lit(0.9)), "_class": (F.col("_risk") > 0.5).cast("int")})
-    return scored.select("request_id", F.col("_class").alias("prediction"), F.col("_p").alias("probability"),
-                         rules.risk_level(F.col("_p")).alias("risk_level"))
+    return _with_rejected(scored.select(
+        "request_id", F.col("_class").alias("prediction"), F.col("_p").alias("probability"),
+        rules.risk_level(F.col("_p")).alias("risk_level")), rejected)
 
 
 def score_value(requests: DataFrame, model: Model | None = None) -> DataFrame:
-    """(request_id, cltv, value_category) by model, or by rule without one."""
-    rows, _rejected = rules.split_bad_numbers(requests, CHURN_FIELDS)
+    """(request_id, cltv, value_category, bad_field) by model, or by rule without one; as B06 for bad fields."""
+    rows, rejected = rules.split_bad_numbers(requests, CHURN_FIELDS)
     if model is not None:
         scored = model.transform(rows).withColumn("cltv", F.col("prediction"))
     else:
         scored = rows.withColumn("cltv", rules.value_rule("monthly_charges", "tenure", "service_type"))
-    return scored.select("request_id", "cltv", rules.value_category(F.col("cltv")).alias("value_category"))
+    return _with_rejected(
+        scored.select("request_id", "cltv", rules.value_category(F.col("cltv")).alias("value_category")), rejected)
 
 
 def rfm(orders: DataFrame, customer: str, order_date: str, amount: str) -> DataFrame:
