@@ -152,18 +152,30 @@ def cardinalities(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     return {c: row[f"d{i}"] for i, c in enumerate(columns)}
 
 
+def with_few_values(df: DataFrame, columns: Sequence[str], limit: int) -> list[str]:
+    """Columns with at most ``limit`` distinct non-null values.
+
+    A sketch rules out columns of more than twice the limit; only the others are
+    counted exactly, so no large set of values is shuffled.
+    """
+    if not columns:
+        return []
+    rough = df.agg(*[F.approx_count_distinct(F.col(c), 0.02).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    near = [c for i, c in enumerate(columns) if rough[f"d{i}"] <= 2 * limit]
+    counts = cardinalities(df, near)
+    return [c for c in near if counts[c] <= limit]
+
+
 def few_valued_to_categorical(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                               limit: int = 5) -> tuple[list[str], list[str]]:
     """Numeric columns with at most ``limit`` values join the categorical list."""
-    counts = cardinalities(df, numeric)
-    few = [c for c in numeric if counts[c] <= limit]
+    few = with_few_values(df, numeric, limit)
     return [c for c in numeric if c not in few], [*categorical, *few]
 
 
 def split_by_cardinality(df: DataFrame, categorical: Sequence[str], limit: int = 25) -> tuple[list[str], list[str]]:
     """Categoricals with at most ``limit`` values (one-hot) and the others (frequency encoding)."""
-    counts = cardinalities(df, categorical)
-    low = [c for c in categorical if counts[c] <= limit]
+    low = with_few_values(df, categorical, limit)
     return low, [c for c in categorical if c not in low]
 
 

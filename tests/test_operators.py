@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from patrona.functions import features, rules
+from patrona.ml import prep
 from patrona.operators import aggregates, distribution, joins, quality, schema
-from patrona.plans import reports, star
+from patrona.plans import reports, scoring, star
 from patrona.sources import files
 
 
@@ -171,6 +172,26 @@ def test_request_checks(spark):
         column(invalid, "reason")) == ["age", "age,rating", "rating"]
 
 
+def test_batch_scoring_returns_every_request(spark):
+    df = spark.createDataFrame([(1, "5", "90", "1", "Month-to-month", "Basic"), (2, "x", "90", "1", "One year", "Gold"),
+                                (3, None, "20", "", "One year", "Premium")],
+                               "request_id int, tenure string, monthly_charges string, total_charges string, "
+                               "contract_type string, service_type string")
+    churn = {r["request_id"]: r for r in scoring.score_churn(df).collect()}
+    assert {k: r["bad_field"] for k, r in churn.items()} == {1: None, 2: "tenure", 3: "total_charges"}
+    assert churn[1]["prediction"] == 1 and churn[1]["risk_level"] == "High"
+    assert churn[2]["prediction"] is None and churn[2]["risk_level"] is None
+    value = {r["request_id"]: (r["cltv"], r["bad_field"]) for r in scoring.score_value(df).collect()}
+    assert value == {1: (90.0 * 24, None), 2: (None, "tenure"), 3: (None, "total_charges")}
+
+
+def test_few_values_are_counted_exactly(spark):
+    df = spark.range(1000).select(*[(F.col("id") % n).alias(f"c{n}") for n in (4, 5, 6, 25, 26, 900)])
+    assert prep.with_few_values(df, df.columns, 5) == ["c4", "c5"]
+    assert prep.split_by_cardinality(df, df.columns, 25) == (["c4", "c5", "c6", "c25"], ["c26", "c900"])
+    assert prep.with_few_values(df, [], 5) == [] and prep.with_few_values(df.limit(0), ["c4"], 5) == ["c4"]
+
+
 def test_rates_of_an_empty_frame(spark):
     empty = spark.createDataFrame([], "churn int")
     assert one(reports.churn_rate(empty)) == {"churn_rate_pct": None}
