@@ -9,7 +9,7 @@ it needs to be and a sparse one stops at the region. Two documents of similarity
 1. Documents with equal shingle sets form classes; one of each goes on.
 2. Rows are range-partitioned in (region, depth) order, so a region of any size is
    spread over tasks; each row is paired with rows before it whose sketches (two bits
-   of each minimum) do not rule out a link, and farther off with those alike.
+   of each minimum) do not rule out a link.
 3. Pairs are confirmed on full shingle sets; a filter of fixed size keeps the texts
    of other documents out of that join.
 4. Confirmed links are contracted to components. The trees go in rounds: the first
@@ -38,11 +38,9 @@ from patrona.session import materialize
 TREES, DEPTH = 32, 4
 #: Rounds of trees (first, one past the last, rows before it in sorted order with which a row is paired).
 ROUNDS = ((0, 4, 1), (4, 14, 32), (14, 23, 32), (23, TREES, 32))
-#: Rows at most so far apart are paired unless a link is out of question; dense regions hold rows of every likeness.
-NEAR = 4
-#: Minima of 128 whose two bits may differ, near and farther off. At a similarity of 0.8 they number 19.2, with a
-#: deviation of 4: the near limit passes all but a few in a million such pairs, the far one 96 %.
-NEAR_BITS, FAR_BITS = 39, 26
+#: Minima of 128 whose two bits may differ, at any distance. At a similarity of 0.8 they number 19.2, with a
+#: deviation of 4: the limit passes all but a few in a million such pairs.
+MOST_BITS = 39
 SKETCH = ["sketch1", "sketch2", "sketch3", "sketch4"]
 FILTER_BITS = 26
 
@@ -125,11 +123,11 @@ def _sign_task(k: int):
 _CARRIED = ["region", "doc_id", "comp", *SKETCH]
 
 
-def _alike(lag: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Which rows of the same region are paired at this distance."""
+def _alike(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which rows of the same region are paired."""
     differ = left[:, 3:] ^ right[:, 3:]
     count = np.bitwise_count((differ[:, :2] | differ[:, 2:]).view(np.uint64)).sum(axis=1)
-    return count <= (NEAR_BITS if lag <= NEAR else FAR_BITS)
+    return count <= MOST_BITS
 
 
 def _neighbour_task(reach: int):
@@ -162,7 +160,7 @@ def _neighbour_task(reach: int):
                 if not same.any():
                     continue
                 left, right = left[same], right[same]
-                hit = (left[:, 2] != right[:, 2]) & _alike(lag, left, right)
+                hit = (left[:, 2] != right[:, 2]) & _alike(left, right)
                 if hit.any():
                     yield out(0, left[hit], right[hit, 1], np.zeros(int(hit.sum())))
             carry = whole[-reach:]
@@ -188,7 +186,7 @@ def candidates(rows: DataFrame, reach: int) -> DataFrame:
     lag = F.col("place") + F.col("after")
     differ = [F.col(c).bitwiseXOR(F.col(f"{c}_b")) for c in SKETCH]
     count = F.bit_count(differ[0].bitwiseOR(differ[2])) + F.bit_count(differ[1].bitwiseOR(differ[3]))
-    alike = (lag <= reach) & (count <= F.when(lag <= NEAR, NEAR_BITS).otherwise(FAR_BITS))
+    alike = (lag <= reach) & (count <= MOST_BITS)
     heads = heads.select("*", F.col("region").alias("region_b"), F.col("part").alias("part_b")).drop("region", "part")
     across = tails.join(heads, (F.col("region") == F.col("region_b")) & (F.col("part") == F.col("part_b"))
                         & (F.col("comp") != F.col("comp_b")) & alike)

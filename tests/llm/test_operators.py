@@ -230,6 +230,19 @@ def copied_docs(spark):
     return spark.createDataFrame(rows + [(500 + i, "one small text") for i in range(20)], "doc_id long, text string")
 
 
+def test_far_rows_of_a_region_are_paired_like_near_ones(spark):
+    """The first and the last of 21 rows of a region differ in 28 bits, as 2 % of the pairs of similarity 0.8 do."""
+    rows = [(1, 0, i, i, (1 << 28) - 1 if i == 20 else (1 << 14) - 1 if 0 < i < 20 else 0, 0, 0, 0) for i in range(21)]
+    docs = spark.createDataFrame(rows, "region long, deep long, doc_id long, comp long, sketch1 long, sketch2 long, "
+                                       "sketch3 long, sketch4 long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert (0, 20) in {tuple(r) for r in minhash_forest.candidates(docs, 32).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "u long, v long")
     got = dict(components(edges).collect())
