@@ -1,20 +1,20 @@
 """Near-duplicate detection with an LSH forest over MinHash signatures.
 
 A tree is a sorted order of the signatures that begins at its own place: four
-minima form the region of a document, the next four order it inside. Neighbours in
-that order share the longest prefixes, so a dense region is told apart as deeply as
-it needs to be and a sparse one stops at the region. Two documents of similarity
-0.8 share a region in one of 32 trees but for a chance of 5e-8.
+minima form the region of a document, the next four order it inside. Two documents
+of similarity 0.8 share a region in one of 32 trees but for a chance of 5e-8, and
+all rows of a region, however many, are compared with one another.
 
 1. Documents with equal shingle sets form classes; one of each goes on.
-2. Rows are range-partitioned in (region, depth) order, so a region of any size is
-   spread over tasks; each row is paired with rows before it whose sketches (two bits
-   of each minimum) do not rule out a link.
+2. Two rows of a region are paired unless their sketches (two bits of each minimum)
+   or their numbers of shingles rule out a link. A large region is cut into blocks,
+   and each two of them meet in a task of their own.
 3. Pairs are confirmed on full shingle sets; a filter of fixed size keeps the texts
    of other documents out of that join.
-4. Confirmed links are contracted to components. The trees go in rounds: the first
-   joins what is alike throughout, and each later one pairs only rows of components
-   still apart that no earlier round has compared.
+4. Confirmed links are contracted to components. Two rounds only save work: the
+   first pairs neighbours in the sorted order, the second all rows with the document
+   of most links of each component, so that most copies are joined before the others
+   pair all rows of components still apart. No round compares a pair again.
 
 Defined cases: a null or empty text has no shingle and links with nothing; rows
 with a null id link with nothing and are kept; rows that repeat an id count as one
@@ -36,8 +36,10 @@ from patrona.llm.components import components
 from patrona.session import materialize
 
 TREES, DEPTH = 32, 4
-#: Rounds of trees (first, one past the last, rows before it in sorted order with which a row is paired).
-ROUNDS = ((0, 4, 1), (4, 14, 32), (14, 23, 32), (23, TREES, 32))
+#: Rounds of trees (first, one past the last, rows paired). The last ones pair all rows of every tree.
+ROUNDS = ((0, 4, "neighbours"), (0, TREES, "hubs"), (0, 16, "all"), (16, TREES, "all"))
+#: Rows of a region that meet as many others in one task, about.
+BLOCK = 1024
 #: Minima of 128 whose two bits may differ, at any distance. At a similarity of 0.8 they number 19.2, with a
 #: deviation of 4: the limit passes all but a few in a million such pairs.
 MOST_BITS = 39
@@ -195,6 +197,39 @@ def candidates(rows: DataFrame, reach: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def region_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: all rows of one region that may be linked.
+
+    ``rows`` has (region, doc_id, comp, n_shingles, hub, sketch1, ...); a pair has one row with ``hub`` at least.
+    """
+    sizes = (rows.groupBy("region").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                        F.max("hub").alias("any"))
+             .where("lo < hi and any").select(F.col("region").alias("r"), F.ceil(F.col("n") / BLOCK).alias("blocks")))
+    own = rows.join(sizes, F.col("region") == F.col("r")).drop("r").withColumn(
+        "block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    zero = F.lit(0).cast("long")
+    left = own.withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1))).withColumnRenamed("block", "i")
+    right = own.withColumn("i", F.explode(F.sequence(zero, "block"))).withColumnRenamed("block", "j")
+    right = right.select(*[F.col(c).alias(f"{c}_b") for c in
+                           ("region", "i", "j", "doc_id", "comp", "n_shingles", "hub", *SKETCH)])
+    differ = [F.col(c).bitwiseXOR(F.col(f"{c}_b")) for c in SKETCH]
+    count = F.bit_count(differ[0].bitwiseOR(differ[2])) + F.bit_count(differ[1].bitwiseOR(differ[3]))
+    once = F.expr("i < j or doc_id < doc_id_b or (doc_id = doc_id_b and comp < comp_b)")
+    sized = F.expr(f"100 * least(n_shingles, n_shingles_b) >= {percent} * greatest(n_shingles, n_shingles_b)")
+    met = left.join(right, (F.col("region") == F.col("region_b")) & (F.col("i") == F.col("i_b"))
+                    & (F.col("j") == F.col("j_b")) & (F.col("comp") != F.col("comp_b")) & once
+                    & (F.col("hub") | F.col("hub_b")) & sized & (count <= MOST_BITS))
+    return met.select(F.least("doc_id", "doc_id_b").alias("a"), F.greatest("doc_id", "doc_id_b").alias("b")).distinct()
+
+
+def _hubs(links: DataFrame, label: DataFrame) -> DataFrame:
+    """(doc_id): the document of most links of each component that has any, the smallest id of those."""
+    ends = links.select(F.col("a").alias("doc_id")).unionByName(links.select(F.col("b").alias("doc_id")))
+    most = (ends.groupBy("doc_id").count().join(label, "doc_id").groupBy("comp")
+            .agg(F.max(F.struct("count", (-F.col("doc_id")).alias("id"))).alias("most")))
+    return most.select((-F.col("most.id")).alias("doc_id")).distinct()
+
+
 def _filter_words(ids: DataFrame) -> np.ndarray:
     """A bitmap of 2**26 bits with one bit per id: 8 MB for any number of ids."""
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
@@ -248,13 +283,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     label = classes
     own = docs.where("doc_id is not null")
     seen = None
-    for first, last, reach in ROUNDS:
-        trees = linkable.select("doc_id", *SKETCH, *[
+    for first, last, paired in ROUNDS:
+        trees = linkable.select("doc_id", "n_shingles", *SKETCH, *[
             F.slice(c, first + 1, last - first).alias(c) for c in ("region", "deep")])
         chosen = label.join(classes.where("doc_id = comp").select("doc_id"), "doc_id", "left_semi")
         rows = trees.join(chosen, "doc_id").select(
-            "doc_id", "comp", *SKETCH, F.inline(F.arrays_zip("region", "deep")))
-        pairs = candidates(rows, reach)
+            "doc_id", "comp", "n_shingles", *SKETCH, F.inline(F.arrays_zip("region", "deep")))
+        if paired == "neighbours":
+            pairs = candidates(rows, 1)
+        elif paired == "hubs":
+            hubs = _hubs(links, label).withColumn("hub", F.lit(True))
+            pairs = region_pairs(rows.join(hubs, "doc_id", "left").withColumn(
+                "hub", F.coalesce("hub", F.lit(False))), percent)
+        else:
+            pairs = region_pairs(rows.withColumn("hub", F.lit(True)), percent)
         unseen = pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti")
         pairs = materialize(unseen, "forest-candidates")
         seen = pairs if seen is None else seen.unionByName(pairs)

@@ -216,6 +216,21 @@ def test_near_duplicates(table, request):
             assert row["kept"] == (row["doc_id"] == row["component_id"])
 
 
+def test_near_duplicates_of_a_star(spark):
+    """An original with 5,000 copies, each edited elsewhere: linked to it at 0.82, to one another at about 0.68."""
+    rng = random.Random(7)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(203)]
+    texts = {0: " ".join(base)}
+    for i in range(1, 5001):
+        words = list(base)
+        for k, at in enumerate(rng.sample(range(5, 198, 8), 5)):
+            words[at] = f"x{i}y{k}"
+        texts[i] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(8)
+    rows = minhash_forest.near_duplicates(docs, 4).collect()
+    assert len(rows) == 5001 and {r["component_id"] for r in rows} == {0}
+
+
 @pytest.fixture
 def copied_docs(spark):
     """A large group of near copies, exact copies, and texts around the threshold."""
