@@ -3,9 +3,9 @@
 A candidate is a run of token characters. A window of fixed width slides over it;
 counts of its characters and of its character classes are kept up step by step,
 and the Shannon entropy follows from a running sum of c*log2(c). A window counts
-when its class (hexadecimal, one case with digits, mixed) reaches the limit of that
-class; windows that touch are merged. Candidates that match the allow-list, and
-spans that overlap a base span, are suppressed.
+when its class (hexadecimal of one case, one case with digits, mixed, mixed without two
+digits) reaches the limit of that class; windows that touch are merged. What the
+allow-list matches is taken out of a candidate, and base spans out of the spans.
 
 Defined cases: a null or empty text has no spans; repeated rows are scanned one by
 one; positions are code points of the whole text; other columns are ignored.
@@ -27,11 +27,12 @@ from patrona.llm import text as T
 KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 #: Least entropy in bits of a 20-character window, by class.
-LIMITS = {"hex": 3.0, "one_case": 3.6, "mixed": 3.8}
-#: Candidates with these in them are known not to be secrets.
+LIMITS = {"hex": 3.0, "one_case": 3.6, "mixed": 3.8, "letters": 4.0}
+#: What is known not to be secret: a placeholder word, a row of characters, a UUID, a whole run of plain words.
+_PLAIN = rb"[a-z]*(?:[A-Z]+[a-z]{2,})*[A-Z]*"  # letters whose capitals begin words
 ALLOWED = re.compile(rb"example|sample|placeholder|dummy|x{6}|0123456789|123456789|abcdefgh|"
                      rb"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|"
-                     rb"^[a-z]+([-_./][a-z]+)*$", re.IGNORECASE)
+                     rb"(?-i:^%(w)b([-_./]%(w)b)*$)" % {b"w": _PLAIN}, re.IGNORECASE)
 
 _ASSIGN = re.compile(rb"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 _KEYWORDS = (b"passw", b"secret", b"token", b"api")
@@ -41,17 +42,22 @@ _HEX[list(b"0123456789abcdef")] = True
 _TOKEN = np.zeros(256, bool)
 _TOKEN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
 _C_LOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
-_DIGIT, _AF, _LOWER, _UPPER, _MARK = range(5)
+_DIGIT, _AF, _LOWER, _UPPER_AF, _UPPER, _MARK = range(6)
 _CLASS = [_MARK] * 256
 for _b in range(256):
     _c = chr(_b)
     if _b < 128 and _c.isalnum():
-        _CLASS[_b] = _DIGIT if _c.isdigit() else _UPPER if _c.isupper() else _AF if _c <= "f" else _LOWER
+        if _c.isdigit():
+            _CLASS[_b] = _DIGIT
+        elif _c.isupper():
+            _CLASS[_b] = _UPPER_AF if _c <= "F" else _UPPER
+        else:
+            _CLASS[_b] = _AF if _c <= "f" else _LOWER
 
 
 def entropy_spans(candidate: bytes, limits: dict[str, float] = LIMITS) -> list[tuple[int, int]]:
     """Merged windows of a candidate whose entropy reaches the limit of their class."""
-    counts, kinds, total, spans = [0] * 256, [0] * 5, 0.0, []
+    counts, kinds, total, spans = [0] * 256, [0] * 6, 0.0, []
     for i, byte in enumerate(candidate):
         c = counts[byte]
         total += _C_LOG[c + 1] - _C_LOG[c]
@@ -60,19 +66,23 @@ def entropy_spans(candidate: bytes, limits: dict[str, float] = LIMITS) -> list[t
         start = i + 1 - WINDOW
         if start < 0:
             continue
+        letters = kinds[_AF] + kinds[_LOWER]
+        upper = kinds[_UPPER] + kinds[_UPPER_AF]
+        least = math.inf
         if kinds[_DIGIT] >= 2 and kinds[_DIGIT] < WINDOW:
-            letters = kinds[_AF] + kinds[_LOWER]
-            if not (kinds[_LOWER] or kinds[_UPPER] or kinds[_MARK]):
+            if not (kinds[_LOWER] or kinds[_UPPER] or kinds[_MARK] or kinds[_AF] and kinds[_UPPER_AF]):
                 least = limits["hex"]
-            elif not (letters and kinds[_UPPER]):
+            elif not (letters and upper):
                 least = limits["one_case"]
             else:
                 least = limits["mixed"]
-            if math.log2(WINDOW) - total / WINDOW >= least:
-                if spans and start <= spans[-1][1]:
-                    spans[-1] = (spans[-1][0], i + 1)
-                else:
-                    spans.append((start, i + 1))
+        elif kinds[_DIGIT] < 2 and not kinds[_MARK] and letters and upper:
+            least = limits["letters"]
+        if math.log2(WINDOW) - total / WINDOW >= least:
+            if spans and start <= spans[-1][1]:
+                spans[-1] = (spans[-1][0], i + 1)
+            else:
+                spans.append((start, i + 1))
         left = candidate[start]
         c = counts[left]
         total += _C_LOG[c - 1] - _C_LOG[c]
@@ -92,6 +102,20 @@ def base_spans(text: bytes) -> list[tuple[int, int, int]]:
     return spans
 
 
+def outside(span: tuple[int, int], cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of a span that lie outside the cuts, which are in order of their starts."""
+    at, stop = span
+    parts = []
+    for a, b in cuts:
+        if b > at and a < stop:
+            if a > at:
+                parts.append((at, a))
+            at = max(at, b)
+    if at < stop:
+        parts.append((at, stop))
+    return parts
+
+
 def _long_runs(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, least: int) -> dict[int, list]:
     starts, ends = T.runs(table[data], offsets)
     long = ends - starts >= least
@@ -109,15 +133,14 @@ def scan_chunk(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[bytes, l
     for k, (begin, stop) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
         text = raw[begin:stop]
         spans = base_spans(text) + [(a - begin, b - begin, 2) for a, b in hexes.get(k, ())]
-        base = sorted(spans)
+        base = [(a, b) for a, b, _ in sorted(spans)]
         for a, b in tokens.get(k, ()):
             candidate = raw[a:b]
-            if ALLOWED.search(candidate):
-                continue
-            for x, y in entropy_spans(candidate):
-                x, y = a - begin + x, a - begin + y
-                if not any(s < y and x < e for s, e, _ in base):
-                    spans.append((x, y, 3))
+            known = [m.span() for m in ALLOWED.finditer(candidate)]
+            for p, q in outside((0, len(candidate)), known):
+                for x, y in entropy_spans(candidate[p:q]):
+                    at = a - begin + p
+                    spans += [(u, v, 3) for u, v in outside((at + x, at + y), base)]
         yield text, sorted(spans, key=lambda s: (s[0], s[2]))
 
 
