@@ -1,74 +1,93 @@
 """Queries that train, search, compare and explain models on the customer frame.
 
-Search and ensemble sizes are arguments of the library; the registered queries
-use small ones, over all rows.
+Whatever is learnt, preparation and class weights included, is learnt on training rows;
+metrics and explanations are those of held-out rows.
 """
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from patrona.catalogue.common import rnd, rounded
 from patrona.catalogue.prep import CATEGORICAL, NUMERIC, model_rows, vectors
 from patrona.catalogue.registry import query
-from patrona.ml import explain, metrics, models, prep
+from patrona.ml import explain, metrics, models, oversampling, prep
+from patrona.ml.preparation import BalancedWeights, prepared_fold
 from patrona.scale import row_value
 from patrona.session import materialize
 
-TREES = 20
+#: Sizes of the ensembles and searches.
+TREES, QUICK_TREES, STARTS, DRAWS = 200, 100, 10, 10
 
 
 def churn_rows(t):
-    """(customer_id, label, features, weight, fold, part) of all customers, written once."""
-    rows = model_rows(t)
-    prepared = prep.preprocessor(rows, NUMERIC, CATEGORICAL, impute=True).fit(rows)
-    marked = prep.class_weights(prepared.transform(rows).select("customer_id", "label", "features"), "label")
-    folded = prep.stratified_folds(marked, "customer_id", "label", k=5)
-    names = prep.preprocessed_names(prepared, NUMERIC, CATEGORICAL)
-    return materialize(folded, "churn-rows"), names
+    """(customer_id, inputs, label, fold) of all customers, written once; nothing is prepared yet."""
+    return materialize(prep.stratified_folds(model_rows(t), "customer_id", "label", k=5), "churn-rows")
+
+
+def churn_preparation():
+    return prep.Preparation(NUMERIC, CATEGORICAL, impute=True)
 
 
 VALUE_NUMERIC = ["age", "tenure_in_months", "monthly_charge", "number_of_referrals", "satisfaction_score"]
 
 
 def value_rows(t):
-    """(customer_id, label, features, fold): total charges from the other customer columns."""
-    rows = materialize(t.base("customer_id", *VALUE_NUMERIC, *CATEGORICAL, "total_charges")
-                       .where(F.col("total_charges").isNotNull()).withColumnRenamed("total_charges", "label"), "value-rows")
-    prepared = prep.preprocessor(rows, VALUE_NUMERIC, CATEGORICAL, impute=True).fit(rows)
-    return materialize(prep.fold_column(prepared.transform(rows).select("customer_id", "label", "features"),
-                                        "customer_id"), "value-features")
+    """(customer_id, inputs, label, fold): total charges from the other customer columns."""
+    rows = (t.base("customer_id", *VALUE_NUMERIC, *CATEGORICAL, "total_charges")
+            .where(F.col("total_charges").isNotNull()).withColumnRenamed("total_charges", "label"))
+    return materialize(prep.fold_column(rows, "customer_id"), "value-rows")
+
 
+def value_preparation():
+    return prep.Preparation(VALUE_NUMERIC, CATEGORICAL, impute=True)
 
-def _hold_out(rows):
+
+def hold_out(rows):
     """Train on folds 1-4, test on fold 0."""
     return rows.where(F.col("fold") != 0), rows.where(F.col("fold") == 0)
 
 
+def _classified(model, test):
+    scored = model.transform(test).select(
+        "label", F.col("prediction").cast("int").alias("prediction"), models.probability().alias("score"))
+    return (metrics.classification_metrics(scored, "label", "prediction")
+            .withColumn("_r", row_value(metrics.ranking_metrics(scored, "label", "score")))
+            .select("*", "_r.*").drop("_r"))
+
+
 def _classifier(name, build):
     @query(name)
     def _(t):
-        rows, _names = churn_rows(t)
-        train, test = _hold_out(rows)
-        scored = build().fit(train).transform(test).select(
-            "label", F.col("prediction").cast("int").alias("prediction"), models.probability().alias("score"))
-        return (metrics.classification_metrics(scored, "label", "prediction")
-                .withColumn("_r", row_value(metrics.ranking_metrics(scored, "label", "score")))
-                .select("*", "_r.*").drop("_r"))
+        train, test = hold_out(churn_rows(t))
+        return _classified(models.fit_pipeline(churn_preparation(), build(), train, BalancedWeights()), test)
 
 
 _classifier("l01_balanced_logistic", models.logistic)
 _classifier("l02_balanced_forest", lambda: models.forest_classifier(TREES))
-_classifier("l03_boosted_trees", lambda: models.boosted_classifier(maxIter=10, maxDepth=4, subsamplingRate=0.8))
+
+
+def fit_boosted(train):
+    """Boosted trees of the tuned depth and rate; marked training rows choose the number of rounds."""
+    fitted = churn_preparation().fit(train)
+    rows = materialize(models.mark_validation(fitted.transform(train), "customer_id"), "boosted-rows")
+    return PipelineModel(stages=[fitted, models.rounds_by_validation(
+        models.boosted_classifier(maxDepth=3, stepSize=0.1, subsamplingRate=0.8), rows)])
+
+
+@query("l03_boosted_trees")
+def _(t):
+    train, test = hold_out(churn_rows(t))
+    return _classified(fit_boosted(train), test)
 
 
 @query("l02_forest_on_oversampled")
 def _(t):
-    rows, _names = churn_rows(t)
-    train, test = _hold_out(rows)
+    train, test = prepared_fold(churn_preparation(), churn_rows(t), "fold", 0)
     model = models.forest_classifier(TREES, weight=None).fit(
-        materialize(prep.oversample(train, "customer_id"), "oversampled"))
+        materialize(oversampling.oversample(train, "customer_id"), "oversampled"))
     scored = model.transform(test).select("label", models.probability().alias("score"))
     return metrics.roc_auc(scored, "label", "score")
 
@@ -80,8 +99,8 @@ def _(t):
         "customer_id", *numeric, *CATEGORICAL,
         F.when(F.col("monthly_charge") > 80, 1.0).otherwise(0.0).alias("label")), "spender-rows")
     train, test = prep.stratified_split(rows, "customer_id", "label")
-    prepare = prep.preprocessor(train, numeric, CATEGORICAL, impute=True)
-    model = models.fit_pipeline(prepare, models.forest_classifier(TREES, weight=None), train)
+    prepare = prep.Preparation(numeric, CATEGORICAL, impute=True)
+    model = models.fit_pipeline(prepare, models.forest_classifier(QUICK_TREES, weight=None), train)
     scored = model.transform(test).select("label", F.col("prediction").cast("int").alias("prediction"))
     return metrics.classification_metrics(scored, "label", "prediction")
 
@@ -89,80 +108,99 @@ def _(t):
 def _regressor(name, fit):
     @query(name)
     def _(t):
-        train, test = _hold_out(value_rows(t))
+        train, test = prepared_fold(value_preparation(), value_rows(t), "fold", 0)
         return metrics.regression_metrics(fit(train).transform(test), "label", "prediction")
 
 
 _regressor("l04_linear_regression", lambda train: models.linear().fit(train))
-_regressor("l05_forest_regressor", lambda train: models.forest_regressor(TREES).fit(train))
-_regressor("l06_boosted_on_log", lambda train: models.fit_on_log(models.boosted_regressor(maxIter=10, maxDepth=4), train))
+_regressor("l05_forest_regressor", lambda train: models.forest_regressor(QUICK_TREES).fit(train))
+_regressor("l06_boosted_on_log", lambda train: models.fit_on_log(
+    models.boosted_regressor(maxDepth=3), materialize(models.mark_validation(train, "customer_id"), "boosted-rows"),
+    models.rounds_by_validation))
+
+
+def _searched(rows, prepare, build, draws, evaluator, stratified=False):
+    """Search on three folds of the training rows; the table ends with the metric on the held-out rows."""
+    train, test = hold_out(rows)
+    train = train.drop("fold")
+    folded = (prep.stratified_folds(train, "customer_id", "label", k=3, seed=7) if stratified
+              else prep.fold_column(train, "customer_id", k=3, seed=7))
+    folded = materialize(models.mark_validation(folded, "customer_id"), "search-rows")
+    return models.random_search(prepare, build, draws, folded, "fold", 3, evaluator, held_out=test)
+
+
+def _boosting(make):
+    """Builder for draws whose ``maxIter`` is the most rounds; the validation rows end them earlier."""
+    def build(params):
+        rounds = params.pop("maxIter")
+        return models.stopped_by_validation(make(**params), rounds)
+    return build
 
 
 @query("l07_search_boosted_classifier")
 def _(t):
-    rows, _names = churn_rows(t)
-    space = {**models.BOOSTED_CLASSIFIER_SPACE, "maxIter": [5, 10], "maxDepth": [3, 5]}
-    draws = models.draw_params(space, 2)
-    folded = prep.stratified_folds(rows.drop("fold", "weight"), "customer_id", "label", k=3)
-    _model, table = models.random_search(lambda p: models.boosted_classifier(**p), draws, materialize(folded, "folds"),
-                                         "fold", 3, models.ScoreEvaluator("average_precision"))
-    return table
+    return _searched(churn_rows(t), churn_preparation(), _boosting(models.boosted_classifier),
+                     models.draw_params(models.BOOSTED_CLASSIFIER_SPACE, DRAWS),
+                     models.ScoreEvaluator("average_precision"), stratified=True)[1]
 
 
 @query("l07_search_forest_regressor")
 def _(t):
-    rows = prep.fold_column(value_rows(t).drop("fold"), "customer_id", k=3)
-    space = {**models.FOREST_REGRESSOR_SPACE, "numTrees": ("int", 5, 15), "maxDepth": ("int", 3, 8)}
-    _model, table = models.random_search(lambda p: models.forest_regressor(**p), models.draw_params(space, 3),
-                                         materialize(rows, "folds"), "fold", 3, models.rmse_evaluator())
-    return table
+    return _searched(value_rows(t), value_preparation(), lambda p: models.forest_regressor(p.pop("numTrees"), **p),
+                     models.draw_params(models.FOREST_REGRESSOR_SPACE, 3), models.rmse_evaluator())[1]
 
 
 @query("l07_search_boosted_regressor")
 def _(t):
-    rows = prep.fold_column(value_rows(t).drop("fold"), "customer_id", k=3).withColumn("label", F.log1p("label"))
-    space = {**models.BOOSTED_REGRESSOR_SPACE, "maxIter": [5, 10]}
-    _model, table = models.random_search(lambda p: models.boosted_regressor(**p), models.draw_params(space, 2),
-                                         materialize(rows, "folds"), "fold", 3, models.rmse_evaluator())
-    return table
+    return _searched(value_rows(t).withColumn("label", F.log1p("label")), value_preparation(),
+                     _boosting(models.boosted_regressor), models.draw_params(models.BOOSTED_REGRESSOR_SPACE, DRAWS),
+                     models.rmse_evaluator())[1]
 
 
 @query("l08_compare_classifiers")
 def _(t):
-    rows, _names = churn_rows(t)
-    return models.compare_classifiers({"logistic": models.logistic().fit,
-                                       "forest": models.forest_classifier(TREES).fit}, rows, "fold", 5)
+    weighted = BalancedWeights()
+    return models.compare_classifiers({
+        "logistic": lambda train: models.logistic().fit(weighted.fit(train).transform(train)),
+        "forest": lambda train: models.forest_classifier(QUICK_TREES).fit(weighted.fit(train).transform(train))},
+        churn_rows(t), "fold", 5, churn_preparation())
 
 
 @query("l08_compare_regressors")
 def _(t):
     return models.compare_regressors({
-        "linear": models.linear().fit, "forest": models.forest_regressor(TREES).fit,
-        "boosted": lambda train: models.fit_on_log(models.boosted_regressor(maxIter=5), train)}, value_rows(t), "fold", 5)
+        "linear": models.linear().fit, "forest": models.forest_regressor(QUICK_TREES).fit,
+        "boosted": lambda train: models.fit_on_log(
+            models.stopped_by_validation(models.boosted_regressor()), models.mark_validation(train, "customer_id"))},
+        value_rows(t), "fold", 5, value_preparation())
 
 
 @query("l09_kmeans_clusters")
 def _(t):
     rows = materialize(vectors(t), "vectors")
-    return models.best_kmeans(rows, 3, starts=3).transform(rows).select("vec_id", "cluster")
+    return models.best_kmeans(rows, 3, starts=STARTS).transform(rows).select("vec_id", "cluster")
 
 
 @query("l09_scan_k")
 def _(t):
-    return models.scan_k(materialize(vectors(t), "vectors"))
+    return models.scan_k(materialize(vectors(t), "vectors"), starts=3)
 
 
 @query("l10_pick_k")
 def _(t):
-    return models.pick_k(models.scan_k(materialize(vectors(t), "vectors"), range(2, 6)))
+    return models.pick_k(models.scan_k(materialize(vectors(t), "vectors"), starts=1))
+
+
+def _mixture(t):
+    """Customer vectors in the space of 95 % of the variance, and the mixture of five starts."""
+    points, _model, _explained = prep.pca_keeping(vectors(t), 0.95, output="point")
+    rows = materialize(points, "points")
+    return models.best_mixture(rows, 3, starts=5, features="point").transform(rows)
 
 
 @query("l11_gaussian_mixture")
 def _(t):
-    rows = materialize(prep.pca_points(vectors(t), 4, output="point"), "points")
-    model = models.best_mixture(rows, 3, starts=2, features="point")
-    return model.transform(rows).select("vec_id", "cluster_gmm", vector_to_array("cluster_gmm_probability")
-                                        .alias("probability"))
+    return _mixture(t).select("vec_id", "cluster_gmm", vector_to_array("cluster_gmm_probability").alias("probability"))
 
 
 # Given centres for the distance and inertia checks.
@@ -199,16 +237,65 @@ def _(t):
     return rounded(t.spark.createDataFrame([(models.silhouette(rows, "label"),)], "silhouette double"))
 
 
+# Memberships of the check: 0.7 in the cluster of the label modulo 4, 0.3 in the one after it.
+SOFT = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e, label % 4 AS c FROM embeddings),
+cells AS (SELECT vec_id, e, c, 0.7e0 AS w FROM v UNION ALL SELECT vec_id, e, (c + 1) % 4, 0.3e0 FROM v),
+far AS (
+  SELECT x.vec_id, y.c, sum(y.w * list_distance(x.e, y.e) ** 2) AS total,
+    sum(y.w) - coalesce(max(y.w) FILTER (WHERE x.vec_id = y.vec_id), 0) AS mass
+  FROM v x JOIN cells y ON true GROUP BY 1, 2)
+SELECT {value} AS silhouette FROM (
+  SELECT m.w, f.total / f.mass AS a,
+    (SELECT min(g.total / g.mass) FROM far g WHERE g.vec_id = m.vec_id AND g.c <> m.c) AS b
+  FROM cells m JOIN far f ON f.vec_id = m.vec_id AND f.c = m.c)"""
+
+
+@query("e10_soft_silhouette", SOFT.format(value=rnd("sum(w * (b - a) / greatest(a, b)) / sum(w)")))
+def _(t):
+    cluster = F.col("label") % 4
+    rows = vectors(t).withColumn("members", F.transform(F.sequence(F.lit(0), F.lit(3)), lambda c: F.when(
+        c == cluster, 0.7).when(c == (cluster + 1) % 4, 0.3).otherwise(0.0)))
+    return rounded(models.soft_silhouette(rows, "members"))
+
+
+@query("e10_mixture_silhouette")
+def _(t):
+    """Silhouette of the mixture by its probabilities and by its most likely clusters."""
+    rows = materialize(_mixture(t).select("point", vector_to_array("cluster_gmm_probability").alias("members"),
+                                          models.hard_members("cluster_gmm", 3).alias("hard")), "mixture")
+    return (models.soft_silhouette(rows, "members", "point").withColumn("labels", F.lit("soft"))
+            .unionByName(models.soft_silhouette(rows, "hard", "point").withColumn("labels", F.lit("hard"))))
+
+
 @query("e13_permutation_importance")
 def _(t):
-    rows, names = churn_rows(t)
-    model = models.logistic().fit(rows)
-    return explain.permutation_importance(model, rows, "customer_id", names)
+    """Loss of ROC area on held-out rows."""
+    train, test = hold_out(churn_rows(t))
+    prepared, _weights, model = models.fit_pipeline(churn_preparation(), models.logistic(), train, BalancedWeights()).stages
+    names = prep.preprocessed_names(prepared, NUMERIC, CATEGORICAL)
+    return explain.permutation_importance(model, materialize(prepared.transform(test), "held-out"), "customer_id", names)
 
 
 @query("e13_shapley_summary")
 def _(t):
-    rows, names = churn_rows(t)
-    model = models.logistic().fit(rows)
-    values = explain.shapley_values(model, rows, "customer_id", names, [0.0] * len(names))
-    return explain.shapley_summary(values)
+    """Mean absolute contribution to the boosted model's score on held-out rows, from the mean training row."""
+    train, test = hold_out(churn_rows(t))
+    fitted = fit_boosted(train)
+    prepared, model = fitted.stages
+    names = prep.preprocessed_names(prepared, NUMERIC, CATEGORICAL)
+    rows = prepared.transform(test).select("customer_id", "features")
+    start = explain.mean_point(prepared.transform(train), "features")
+    return explain.shapley_summary(explain.shapley_values(model, rows, "customer_id", names, start))
+
+
+@query("e13_shapley_adds_up")
+def _(t):
+    """Per held-out row: the sum of its contributions, its score and the score of the starting point."""
+    train, test = hold_out(churn_rows(t))
+    prepared, _weights, fitted = models.fit_pipeline(
+        churn_preparation(), models.logistic(), train, BalancedWeights()).stages
+    names = prep.preprocessed_names(prepared, NUMERIC, CATEGORICAL)
+    rows = materialize(prepared.transform(test).select("customer_id", "features"), "shapley-rows")
+    values = explain.shapley_values(fitted, rows, "customer_id", names, [0.0] * len(names))
+    return rounded(explain.additivity(fitted, rows, values, "customer_id", [0.0] * len(names)))

@@ -6,43 +6,52 @@ from pyspark.sql import functions as F
 
 from patrona.catalogue.aggregates import _histogram_sql
 from patrona.catalogue.common import rnd, rounded
-from patrona.catalogue.models import TREES, churn_rows
+from patrona.catalogue.models import QUICK_TREES, STARTS, TREES, churn_preparation, churn_rows, hold_out
 from patrona.catalogue.registry import REQUEST_CTE, on_base, query
 from patrona.catalogue.rules import TYPED
 from patrona.functions import rules
 from patrona.ml import metrics, models, prep
+from patrona.ml.preparation import BalancedWeights, with_model
 from patrona.operators import aggregates
 from patrona.plans import scoring
 from patrona.session import materialize
 
 
+def _forest(t):
+    """Balanced forest of the training folds, and all rows."""
+    rows = churn_rows(t)
+    train, test = hold_out(rows)
+    return models.fit_pipeline(churn_preparation(), models.forest_classifier(TREES), train, BalancedWeights()), rows, test
+
+
 @query("b01_score_all_customers")
 def _(t):
-    rows, _names = churn_rows(t)
-    model = models.forest_classifier(TREES).fit(rows.where(F.col("fold") != 0))
+    model, rows, _test = _forest(t)
     return models.score_rows(model, rows, "customer_id", threshold=0.6)
 
 
 @query("b02_hold_out_predictions")
 def _(t):
-    rows, _names = churn_rows(t)
-    model = models.forest_classifier(TREES).fit(rows.where(F.col("fold") != 0))
-    return models.score_rows(model, rows.where(F.col("fold") == 0), "customer_id").withColumnRenamed(
-        "customer_id", "Customer_ID")
+    model, _rows, test = _forest(t)
+    return models.score_rows(model, test, "customer_id").withColumnRenamed("customer_id", "Customer_ID")
+
+
+def _churn_scores(t):
+    """Churn probability of every customer by a pipeline fitted without the customer's fold."""
+    pipeline = with_model(churn_preparation(), models.logistic(), BalancedWeights())
+    return models.out_of_fold_scores(pipeline.fit, churn_rows(t), "customer_id", "fold", 5)
 
 
 @query("b03_out_of_fold_churn")
 def _(t):
-    rows, _names = churn_rows(t)
-    scores = models.out_of_fold_scores(models.logistic().fit, rows, "customer_id", "fold", 5)
-    return t.base("customer_id", "cltv").join(scores, "customer_id", "left")
+    return t.base("customer_id", "cltv").join(_churn_scores(t), "customer_id", "left")
 
 
 def _segments(t):
     numeric = ["age", "tenure_in_months", "monthly_charge", "total_revenue", "cltv"]
     rows = materialize(t.base("customer_id", *numeric, "contract"), "segment-rows")
     prepared = prep.preprocessor(rows, numeric, ["contract"], impute=True).fit(rows).transform(rows)
-    model = models.best_kmeans(prepared, 3, starts=3)
+    model = models.best_kmeans(materialize(prepared, "segment-vectors"), 3, starts=STARTS)
     return scoring.labelled_segments(prepared, model, "customer_id", ["contract", "monthly_charge"])
 
 
@@ -55,8 +64,7 @@ def _(t):
 def _(t):
     """Total charges from customer columns, cluster, centre distance and out-of-fold churn probability."""
     numeric = ["age", "tenure_in_months", "monthly_charge", "satisfaction_score"]
-    churn, _names = churn_rows(t)
-    scores = models.out_of_fold_scores(models.logistic().fit, churn, "customer_id", "fold", 5)
+    scores = _churn_scores(t)
     base = t.base("customer_id", *numeric, "gender", "payment_method", "total_charges").where(
         F.col("total_charges").isNotNull()).withColumnRenamed("total_charges", "label")
     rows = materialize(prep.fold_column(scoring.enriched_value_rows(base, _segments(t), scores, "customer_id"),
@@ -64,7 +72,7 @@ def _(t):
     train, test = rows.where(F.col("fold") != 0), rows.where(F.col("fold") == 0)
     prepare = prep.preprocessor(train, [*numeric, "churn_proba", "dist_to_centroid"],
                                 ["gender", "payment_method", "cluster_kmeans"], impute=True)
-    model = models.fit_pipeline(prepare, models.forest_regressor(TREES), train)
+    model = models.fit_pipeline(prepare, models.forest_regressor(QUICK_TREES), train)
     return metrics.regression_metrics(model.transform(test), "label", "prediction")
 
 

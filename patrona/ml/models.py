@@ -5,20 +5,23 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, Evaluator, RegressionEvaluator
-from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.feature import SQLTransformer, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patrona.ml import metrics, prep
-from patrona.scale import hash_sample, row_value
+from patrona.ml import metrics
+from patrona.ml.preparation import PositiveWeight, prepared_fold, with_model
+from patrona.scale import hash_sample, hash_unit, row_value
+from patrona.session import materialize
 
 SEED = 42
 
@@ -71,13 +74,14 @@ def boosted_regressor(**params) -> GBTRegressor:
     return GBTRegressor(featuresCol="features", labelCol="label", seed=SEED, **params)
 
 
-def fit_on_log(estimator: Estimator, train: DataFrame) -> PipelineModel:
+def fit_on_log(estimator: Estimator, train: DataFrame,
+               fit: Callable[[Estimator, DataFrame], Model] = lambda e, rows: e.fit(rows)) -> PipelineModel:
     """Fit on ln(1 + label) and turn predictions back with exp(x) - 1.
 
     Rows with a label of -1 or less have no logarithm and take no part in the fit.
     """
     logged = train.where(F.col("label") > -1).withColumn("_log_label", F.log1p("label"))
-    fitted = estimator.copy().setLabelCol("_log_label").setPredictionCol("_log_prediction").fit(logged)
+    fitted = fit(estimator.copy().setLabelCol("_log_label").setPredictionCol("_log_prediction"), logged)
     back = SQLTransformer(statement="SELECT *, expm1(`_log_prediction`) AS prediction FROM __THIS__")
     return PipelineModel(stages=[fitted, back])
 
@@ -133,40 +137,85 @@ def draw_params(space: Mapping, n: int, seed: int = SEED) -> list[dict]:
     return [{name: draw(choice) for name, choice in space.items()} for _ in range(n)]
 
 
-def random_search(build: Callable[[dict], Estimator], draws: Sequence[dict], df: DataFrame, fold: str, k: int,
-                  evaluator: Evaluator, parallelism: int = 4) -> tuple[Model, DataFrame]:
+def mark_validation(df: DataFrame, key: str, share: float = 0.2, seed: int = SEED) -> DataFrame:
+    """Marks the training rows that decide when boosting stops."""
+    return df.withColumn("validation", hash_unit(key, seed=f"validation:{seed}") < share)
+
+
+def stopped_by_validation(estimator: Estimator, rounds: int = 400) -> Estimator:
+    """Boosting of at most ``rounds`` trees that ends as soon as the marked rows no longer gain."""
+    return estimator.copy().setMaxIter(rounds).setValidationIndicatorCol("validation").setParams(validationTol=0.0)
+
+
+def rounds_by_validation(estimator: Estimator, df: DataFrame, rounds: Sequence[int] = (100, 200, 400)) -> Model:
+    """Boosting whose number of trees is the best one on the marked rows.
+
+    The loss of the marked rows is taken after every round. More rounds are tried while the
+    best is within the last tenth of them; the seed makes the shorter run a prefix of the
+    longer. The model returned is fitted on the unmarked rows.
+    """
+    fit_rows, valid = df.where("not validation"), df.where("validation")
+    best = rounds[0]
+    for limit in rounds:
+        model = estimator.copy().setMaxIter(limit).fit(fit_rows)
+        losses = _losses(model, valid)
+        best = min(range(len(losses)), key=losses.__getitem__) + 1
+        if best <= 0.9 * limit:
+            break
+    return model if best == limit else estimator.copy().setMaxIter(best).fit(fit_rows)
+
+
+def _losses(model: Model, valid: DataFrame) -> list[float]:
+    if isinstance(model, GBTRegressionModel):
+        return model.evaluateEachIteration(valid, "squared")
+    return model.evaluateEachIteration(valid)
+
+
+def _parts(build: Callable[[dict], Estimator], draw: Mapping) -> tuple[Estimator, Estimator | None]:
+    """Estimator of a draw, and its class weights: ``positiveWeight`` is no parameter of the estimator."""
+    params = {p: v for p, v in draw.items() if p != "positiveWeight"}
+    weight = draw.get("positiveWeight")
+    if weight is None:
+        return build(params), None
+    return build({**params, "weight": "weight"}), PositiveWeight(weight)
+
+
+def random_search(prepare: Estimator | None, build: Callable[[dict], Estimator], draws: Sequence[dict], df: DataFrame,
+                  fold: str, k: int, evaluator: Evaluator, parallelism: int = 4,
+                  held_out: DataFrame | None = None) -> tuple[PipelineModel | Model, DataFrame]:
     """Cross-validate each draw on the given folds, refit the best one on all rows.
 
-    Returns the refitted model and a table (draw, params, mean, std). Draws that the
-    estimator takes as parameters run through ``CrossValidator``; ``positiveWeight``
-    is not one of them, so draws are grouped by it and weighted per group.
+    The preparation is fitted on the training rows of each fold, once for all draws, and
+    again on all rows of ``df`` for the refit. Returns the refitted pipeline and a table
+    (draw, params, mean, std, best, held_out): the last is the metric of the refitted
+    model on rows that took no part in the search, for the best draw only.
     """
-    results: list[tuple[int, dict, float, float]] = []
-    groups: dict[float | None, list[int]] = {}
-    for i, d in enumerate(draws):
-        groups.setdefault(d.get("positiveWeight"), []).append(i)
-
-    def weighted(frame: DataFrame, weight):
-        return frame if weight is None else frame.withColumn("weight", prep.positive_weight("label", weight))
-
-    for weight, members in groups.items():
-        estimator = build({} if weight is None else {"weight": "weight"})
-        maps = [{estimator.getParam(p): v for p, v in draws[i].items() if p != "positiveWeight"} for i in members]
-        search = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, numFolds=k,
-                                foldCol=fold, parallelism=parallelism, seed=SEED)
-        fitted = search.fit(weighted(df, weight))
-        results += [(i, draws[i], float(m), float(s)) for i, m, s in
-                    zip(members, fitted.avgMetrics, fitted.stdMetrics)]
-    results.sort(key=lambda r: r[0])
+    scores = [[0.0] * k for _ in draws]
+    for i in range(k):
+        train, test = prepared_fold(prepare, df, fold, i)
+
+        def evaluate(d, train=train, test=test):
+            estimator, weights = _parts(build, draws[d])
+            rows = weights.fit(train).transform(train) if weights else train
+            return d, float(evaluator.evaluate(estimator.fit(rows).transform(test)))
+        with ThreadPool(min(parallelism, len(draws))) as pool:
+            for d, value in pool.imap_unordered(
+                    inheritable_thread_target(df.sparkSession)(evaluate), range(len(draws))):
+                scores[d][i] = value
+    mean = [sum(s) / k for s in scores]
+    std = [math.sqrt(sum((v - m) ** 2 for v in s) / k) for s, m in zip(scores, mean)]
     sign = 1 if evaluator.isLargerBetter() else -1
-    best = max(results, key=lambda r: (sign * r[2], -r[0]))
-    weight = best[1].get("positiveWeight")
-    estimator = build({} if weight is None else {"weight": "weight"})
-    params = {estimator.getParam(p): v for p, v in best[1].items() if p != "positiveWeight"}
-    model = estimator.fit(weighted(df, weight), params)
+    best = max(range(len(draws)), key=lambda d: (sign * mean[d], -d))
+    estimator, weights = _parts(build, draws[best])
+    if prepare is None:
+        model = estimator.fit(weights.fit(df).transform(df) if weights else df)
+    else:
+        model = with_model(prepare, estimator, weights).fit(df)
+    final = float(evaluator.evaluate(model.transform(held_out))) if held_out is not None else None
     table = df.sparkSession.createDataFrame(
-        [(i, {p: str(v) for p, v in d.items()}, m, s, i == best[0]) for i, d, m, s in results],
-        "draw int, params map<string,string>, mean double, std double, best boolean")
+        [(d, {p: str(v) for p, v in draw.items()}, mean[d], std[d], d == best, final if d == best else None)
+         for d, draw in enumerate(draws)],
+        "draw int, params map<string,string>, mean double, std double, best boolean, held_out double")
     return model, table
 
 
@@ -183,27 +232,50 @@ def _fold_summary(df: DataFrame, rows: list[tuple]) -> DataFrame:
     return table.groupBy("model", "metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 
 
-def compare_classifiers(fits: Mapping[str, Callable[[DataFrame], Model]], df: DataFrame, fold: str, k: int) -> DataFrame:
-    """(model, metric, mean, std) over folds: ROC area, average precision, precision, recall, F1."""
+def _scored_folds(fits: Mapping[str, Callable[[DataFrame], Model]], df: DataFrame, fold: str, k: int,
+                  prepare: Estimator | None, metric: Callable[[DataFrame], DataFrame]) -> DataFrame:
     rows = []
-    for name, fit in fits.items():
-        for i in range(k):
-            scored = fit(df.where(F.col(fold) != i)).transform(df.where(F.col(fold) == i)).select(
-                "label", F.col("prediction").cast("int").alias("prediction"), probability().alias("score"))
-            point = metrics.classification_metrics(scored, "label", "prediction").select("precision", "recall", "f1")
-            ranking = row_value(metrics.ranking_metrics(scored, "label", "score"))
-            rows.append((name, i, point.withColumn("_r", ranking).select("*", "_r.*").drop("_r").first()))
+    for i in range(k):
+        train, test = prepared_fold(prepare, df, fold, i)
+        for name, fit in fits.items():
+            rows.append((name, i, metric(fit(train).transform(test)).first()))
     return _fold_summary(df, rows)
 
 
-def compare_regressors(fits: Mapping[str, Callable[[DataFrame], Model]], df: DataFrame, fold: str, k: int) -> DataFrame:
-    """(model, metric, mean, std) over folds: MAE, RMSE, R2, MAPE."""
-    rows = []
-    for name, fit in fits.items():
-        for i in range(k):
-            scored = fit(df.where(F.col(fold) != i)).transform(df.where(F.col(fold) == i))
-            rows.append((name, i, metrics.regression_metrics(scored, "label", "prediction").first()))
-    return _fold_summary(df, rows)
+def compare_classifiers(fits: Mapping[str, Callable[[DataFrame], Model]], df: DataFrame, fold: str, k: int,
+                        prepare: Estimator | None = None) -> DataFrame:
+    """(model, metric, mean, std) over folds: ROC area, average precision, precision, recall, F1.
+
+    ``prepare`` is fitted on the training rows of each fold.
+    """
+    def metric(found):
+        scored = found.select("label", F.col("prediction").cast("int").alias("prediction"),
+                              probability().alias("score"))
+        point = metrics.classification_metrics(scored, "label", "prediction").select("precision", "recall", "f1")
+        ranking = row_value(metrics.ranking_metrics(scored, "label", "score"))
+        return point.withColumn("_r", ranking).select("*", "_r.*").drop("_r")
+    return _scored_folds(fits, df, fold, k, prepare, metric)
+
+
+def compare_regressors(fits: Mapping[str, Callable[[DataFrame], Model]], df: DataFrame, fold: str, k: int,
+                       prepare: Estimator | None = None) -> DataFrame:
+    """(model, metric, mean, std) over folds: MAE, RMSE, R2, MAPE; ``prepare`` as above."""
+    return _scored_folds(fits, df, fold, k, prepare,
+                         lambda scored: metrics.regression_metrics(scored, "label", "prediction"))
+
+
+def refit_on_top_slots(prepare: Estimator, estimator: Estimator, train: DataFrame, k: int = 20) -> PipelineModel:
+    """Fit, keep the k slots of highest importance, and fit again on these alone.
+
+    The result is one pipeline: preparation, slicer of the chosen slots, model.
+    """
+    fitted = prepare.fit(train)
+    rows = materialize(fitted.transform(train), "top-slots")
+    importances = estimator.fit(rows).featureImportances.toArray()
+    order = sorted(range(len(importances)), key=lambda i: (-importances[i], i))[:k]
+    slicer = VectorSlicer(inputCol="features", outputCol="top_features", indices=sorted(order))
+    again = estimator.copy().setFeaturesCol("top_features").fit(slicer.transform(rows))
+    return PipelineModel(stages=[fitted, slicer, again])
 
 
 def importance_table(df: DataFrame, names: Sequence[str], importances: Sequence[float], k: int | None = None) -> DataFrame:
@@ -230,7 +302,58 @@ def silhouette(df: DataFrame, cluster: str = "cluster", features: str = "feature
     return ClusteringEvaluator(predictionCol=cluster, featuresCol=features, distanceMeasure=distance).evaluate(df)
 
 
-def scan_k(df: DataFrame, ks: Sequence[int] = range(2, 11), starts: int = 1, features: str = "features",
+def mean_distances(df: DataFrame, members: str, features: str = "features") -> DataFrame:
+    """Adds ``_mass`` and ``_far``: weight of each cluster, and mean squared distance of the row to it, itself left out.
+
+    ``members`` is an array of membership weights, one per cluster. A distance follows
+    from three sums per cluster (weights, weighted vectors, weighted squared lengths), so
+    no pair of rows is formed.
+    """
+    rows = df.withColumn("_x", vector_to_array(features))
+    square = F.aggregate("_x", F.lit(0.0), lambda s, v: s + v * v)
+    cells = rows.select(F.posexplode(members).alias("_c", "_w"), "_x", square.alias("_q")).where("_w > 0")
+    masses = cells.groupBy("_c").agg(F.sum("_w").alias("mass"), F.sum(F.col("_w") * F.col("_q")).alias("square"))
+    sums = (cells.select("_c", "_w", F.posexplode("_x").alias("_i", "_v")).groupBy("_c", "_i")
+            .agg(F.sum(F.col("_w") * F.col("_v")).alias("s")).groupBy("_c")
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "s"))), lambda t: t["s"]).alias("sums")))
+    table = masses.join(sums, "_c").agg(F.map_from_entries(F.collect_list(F.struct(
+        "_c", F.struct("mass", "square", "sums")))).alias("table"))  # one row per cluster
+    far = F.transform(members, lambda w, c: _far(F.col("_t.table")[c], F.col("_x"), F.col("_q"), w))
+    mass = F.transform(members, lambda w, c: F.coalesce(F.col("_t.table")[c]["mass"], F.lit(0.0)))
+    return (rows.withColumn("_q", square).withColumn("_t", row_value(table))
+            .withColumns({"_far": far, "_mass": mass}).drop("_x", "_q", "_t"))
+
+
+def _far(cluster: Column, x: Column, square: Column, own: Column) -> Column:
+    dot = F.aggregate(F.zip_with(x, cluster["sums"], lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    total = cluster["mass"] * square - 2 * dot + cluster["square"]  # the row itself adds nothing to it
+    others = cluster["mass"] - own
+    return F.when(others > 0, F.greatest(total, F.lit(0.0)) / others)
+
+
+def soft_silhouette(df: DataFrame, members: str, features: str = "features") -> DataFrame:
+    """(silhouette) of soft labels: the silhouette of a row in each cluster, weighted by its membership.
+
+    Squared distances. With memberships of 0 and 1 this is the plain mean silhouette. A
+    row in a cluster of its own, or with no other cluster, counts as 0.
+    """
+    scored = mean_distances(df, members, features)
+    others = F.transform("_far", lambda f, c: F.array_min(F.filter(
+        F.col("_far"), lambda g, d: (d != c) & (F.get("_mass", d) > 0))))
+    value = F.zip_with("_far", "_others", lambda a, b: F.coalesce(
+        F.when(F.greatest(a, b) > 0, (b - a) / F.greatest(a, b)), F.lit(0.0)))
+    total = F.aggregate(F.zip_with(members, "_value", lambda w, s: w * s), F.lit(0.0), lambda s, v: s + v)
+    mass = F.aggregate(members, F.lit(0.0), lambda s, v: s + v)
+    return (scored.withColumn("_others", others).withColumn("_value", value)
+            .agg((F.sum(total) / F.sum(mass)).alias("silhouette")))
+
+
+def hard_members(cluster: str, k: int) -> Column:
+    """Membership array of a cluster number 0..k-1."""
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda c: (c == F.col(cluster)).cast("double"))
+
+
+def scan_k(df: DataFrame, ks: Sequence[int] = range(2, 11), starts: int = 10, features: str = "features",
            sample: int | None = None, key: str | None = None) -> DataFrame:
     """(k, inertia, silhouette) for each k, on all rows or on a capped sample."""
     rows = []
@@ -281,6 +404,7 @@ def inertia(df: DataFrame, centers: Sequence[Sequence[float]], features: str = "
         F.sum(F.col("dist_to_centroid") * F.col("dist_to_centroid")).alias("inertia"))
 
 
-def fit_pipeline(prepare: Pipeline, estimator: Estimator, train: DataFrame) -> PipelineModel:
-    """Preparation and model as one pipeline model, to be saved and applied as a whole."""
-    return Pipeline(stages=[prepare, estimator]).fit(train)
+def fit_pipeline(prepare: Estimator, estimator: Estimator, train: DataFrame,
+                 weights: Estimator | None = None) -> PipelineModel:
+    """Preparation, class weights if any, and model as one pipeline model, to be saved and applied as a whole."""
+    return with_model(prepare, estimator, weights).fit(train)

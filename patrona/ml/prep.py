@@ -1,25 +1,20 @@
-"""Preparation for models: scaling, encoding, imputation, splits, folds, weights, oversampling."""
+"""Preparation for models: scaling, encoding, imputation, splits, folds, weights."""
 
 from __future__ import annotations
 
-import random
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import (PCA, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
-                                VarianceThresholdSelector, VectorAssembler, VectorSlicer)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import PCA, StandardScaler, VarianceThresholdSelector, VectorSlicer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patrona.ml.preparation import Preparation
 from patrona.operators.distribution import exact_quantiles
 from patrona.operators.schema import numeric_columns, text_columns
 from patrona.scale import hash_long, hash_unit, lookup_join, long_values, row_value, running_totals
 
-HASH_SPACE = 1 << 52
-
 
 def standard_scale(df: DataFrame, columns: Sequence[str], population: bool = True) -> DataFrame:
     """(x - mean) / standard deviation, divisor 1 where the deviation is 0."""
@@ -76,65 +71,22 @@ def impute_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def preprocessor(train: DataFrame, numeric: Sequence[str] | None = None, categorical: Sequence[str] | None = None,
                  impute: bool = False, scale: bool = True, exclude: Sequence[str] = (),
-                 output: str = "features", max_levels: int = 10_000) -> Pipeline:
-    """Numeric branch (median, scaling) and text branch (mode, one-hot); other columns take no part.
+                 output: str = "features", max_levels: int = 10_000) -> Preparation:
+    """The preparation of these columns, by default all numeric and all text ones of ``train``.
 
-    The one-hot encoding keeps every known level and gives all zeros to unknown
-    and null values. With ``impute`` the text modes of ``train`` are fixed here.
-    Levels become vector slots and are held by the driver, so a category with more
-    than about ``max_levels`` is an error; frequency-encode it instead.
+    Nothing is learnt here; ``fit`` learns from the rows it is given.
     """
     if numeric is None:
         numeric = numeric_columns(train, exclude)
     if categorical is None:
         categorical = text_columns(train, exclude)
-    numeric, categorical = list(numeric), list(categorical)
-    if categorical:
-        sizes = train.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in categorical]).first().asDict()
-        large = [c for c, n in sizes.items() if n > max_levels]
-        if large:
-            raise ValueError(f"too many levels to one-hot encode: {', '.join(large)}")
-    stages, parts = [], []
-    if numeric:
-        doubles = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `_num_{i}`" for i, c in enumerate(numeric))
-        stages.append(SQLTransformer(statement=f"SELECT *, {doubles} FROM __THIS__"))
-        inputs = [f"_num_{i}" for i in range(len(numeric))]
-        if impute:
-            filled = [f"_fill_{i}" for i in range(len(numeric))]
-            stages.append(Imputer(strategy="median", inputCols=inputs, outputCols=filled, relativeError=0.0001))
-            inputs = filled
-        stages.append(VectorAssembler(inputCols=inputs, outputCol="_numbers", handleInvalid="error"))
-        parts.append("_numbers")
-        if scale:
-            stages.append(StandardScaler(withMean=True, withStd=True, inputCol="_numbers", outputCol="_scaled"))
-            parts[-1] = "_scaled"
-    if categorical:
-        names = categorical
-        if impute:
-            found = {r["column"]: r["mode"] for r in modes(train, categorical).collect()}  # one row per column
-            fills = ", ".join("coalesce(CAST(`{}` AS STRING), '{}') AS `_cat_{}`".format(
-                c, str(found.get(c, "")).replace("\\", "\\\\").replace("'", "\\'"), i)
-                for i, c in enumerate(categorical))
-            stages.append(SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__"))
-            names = [f"_cat_{i}" for i in range(len(categorical))]
-        index = [f"_index_{i}" for i in range(len(names))]
-        hot = [f"_hot_{i}" for i in range(len(names))]
-        stages.append(StringIndexer(inputCols=names, outputCols=index, handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=index, outputCols=hot, handleInvalid="error", dropLast=True))
-        parts += hot
-    stages.append(VectorAssembler(inputCols=parts, outputCol=output))
-    return Pipeline(stages=stages)
+    return Preparation(numeric, categorical, impute, scale, output, max_levels)
 
 
 def preprocessed_names(model, numeric: Sequence[str], categorical: Sequence[str]) -> list[str]:
     """Names of the slots of the assembled vector, from the fitted stages."""
-    names = list(numeric)
-    for stage in model.stages:
-        if hasattr(stage, "labelsArray"):
-            for c, labels in zip(categorical, stage.labelsArray):
-                names += [f"{c}_{level}" for level in labels]
-    return names
+    levels = [labels for stage in model.stages if hasattr(stage, "labelsArray") for labels in stage.labelsArray]
+    return [*numeric, *[f"{c}_{level}" for c, labels in zip(categorical, levels) for level in labels]]
 
 
 def vector_names(df: DataFrame, features: str = "features") -> list[str]:
@@ -265,118 +217,6 @@ def positive_weight(label: str, weight: float) -> Column:
     return F.when(F.col(label) == 1, float(weight)).otherwise(1.0)
 
 
-Z_DIRECTIONS, Z_BITS = 3, 10
-
-
-def _z_places(values: str, size: int, seed: int) -> Column:
-    """Places 0..1023 of a vector along a few random directions."""
-    rng = random.Random(seed)
-    places = []
-    for _ in range(Z_DIRECTIONS):
-        weights = [rng.gauss(0, 1) / size ** 0.5 for _ in range(size)]
-        projected = F.aggregate(F.zip_with(values, F.lit(weights), lambda x, w: x * w), F.lit(0.0), lambda s, x: s + x)
-        places.append(F.floor((1 / (1 + F.exp(-projected))) * ((1 << Z_BITS) - 1)).cast("long"))
-    return F.array(*places)
-
-
-def _z_order(places: str) -> Column:
-    """Interleaved bits of the places: near points get near numbers."""
-    order = F.lit(0).cast("long")
-    for d in range(Z_DIRECTIONS):
-        for b in range(Z_BITS):
-            bit = F.shiftright(F.col(places)[d], b).bitwiseAND(F.lit(1).cast("long"))
-            order = order + F.shiftleft(bit, b * Z_DIRECTIONS + d)
-    return order
-
-
-COPIES_PER_CHUNK = 256
-
-
-def _nearest_in_block(k: int):
-    """Function giving the k nearest rows of each row of one bounded block.
-
-    It is a closure, so it travels to the workers by value and they need not have this package.
-    """
-    def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rank").reset_index(drop=True)
-        points = np.stack(pdf["values"].to_numpy())
-        wanted = min(k, len(points) - 1)
-        squares = (points ** 2).sum(axis=1)
-        near = [[] for _ in range(len(points))]
-        for start in range(0, len(points) if wanted > 0 else 0, 512):
-            rows = np.arange(start, min(start + 512, len(points)))
-            distance = squares[rows, None] + squares[None, :] - 2 * points[rows] @ points.T
-            distance[np.arange(len(rows)), rows] = np.inf
-            for row, picked in zip(rows, np.argsort(distance, axis=1, kind="stable")[:, :wanted]):
-                near[row] = points[picked].tolist()
-        return pdf[["rank", "copies", "values"]].assign(near=near)
-    return nearest
-
-
-def smote(df: DataFrame, key: str, label: str = "label", features: str = "features", k: int = 5, seed: int = 42,
-          block_rows: int = 2048) -> DataFrame:
-    """(synthetic_key, label, features): new rows that lift every class to the size of the largest.
-
-    Each new row lies between a row of its class and one of its k nearest rows. The
-    rows of a class are ranked along a space-filling order and cut into blocks of
-    at most ``block_rows``; neighbours are exact inside a block, and exact overall
-    while the class fits one block. Ties in the order are broken by key hash, so
-    copies of one row spread over blocks. A row's number of new rows follows from
-    its rank, so the total is exact. Rows of a very small class that need many new
-    rows are spread over tasks in chunks before the new rows are made.
-    """
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().limit(1001).collect()}
-    if len(counts) > 1000:
-        raise ValueError("the label has more than 1000 classes")
-    largest = max(counts.values())
-    size = len(df.select(features).first()[0])
-    parts = []
-    for value in sorted(counts):
-        n, need = counts[value], largest - counts[value]
-        if need == 0:
-            continue
-        rows = df.where(F.col(label) == value).select(key, vector_to_array(features).alias("values"))
-        low_bits = F.shiftright(hash_long(key, seed=seed), 20)
-        placed = rows.withColumn("_places", _z_places("values", size, seed))
-        ordered = placed.select("values", (F.shiftleft(_z_order("_places"), 32) + low_bits).alias("_order"),
-                                F.lit(1).cast("long").alias("n"))
-        rank = F.col("cum_n")
-        blocks = -(-n // block_rows)
-        ranked = running_totals(ordered, "_order", ["n"]).select(
-            "values", rank.alias("rank"),
-            (F.floor(rank * need / n) - F.floor((rank - 1) * need / n)).cast("long").alias("copies"),
-            F.floor((rank - 1) * blocks / n).cast("long").alias("block"))
-        around = ranked.groupBy("block").applyInPandas(
-            _nearest_in_block(k),
-            "rank long, copies long, values array<double>, near array<array<double>>").where(F.col("copies") > 0)
-        last = F.floor((F.col("copies") - 1) / COPIES_PER_CHUNK)
-        chunked = around.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-        if need > n * COPIES_PER_CHUNK:
-            chunked = chunked.repartition("rank", "chunk")
-        first = F.col("chunk") * COPIES_PER_CHUNK
-        turned = chunked.withColumn("turn", F.explode(F.sequence(
-            first, F.least(first + COPIES_PER_CHUNK, F.col("copies")) - 1)))
-        pick = F.floor(hash_unit("rank", "turn", seed=seed + 1) * F.size("near")).cast("int")
-        new = turned.withColumns({"_other": F.coalesce(F.get("near", pick), F.col("values")),
-                                  "_u": hash_unit("rank", "turn", seed=seed + 2)})
-        parts.append(new.select(
-            F.concat_ws("-", F.lit("synthetic"), F.lit(str(value)), "rank", "turn").alias("synthetic_key"),
-            F.lit(value).alias(label),
-            array_to_vector(F.zip_with("values", "_other", lambda x, y: x + F.col("_u") * (y - x))).alias(features)))
-    if not parts:
-        return df.select(F.col(key).cast("string").alias("synthetic_key"), label, features).limit(0)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def oversample(df: DataFrame, key: str, label: str = "label", features: str = "features", **options) -> DataFrame:
-    """The given rows together with their synthetic rows."""
-    own = df.select(F.col(key).cast("string").alias(key), label, features)
-    return own.unionByName(smote(df, key, label, features, **options).withColumnRenamed("synthetic_key", key))
-
-
 def top_slots(names: Sequence[str], importances: Sequence[float], k: int = 20) -> list[int]:
     """Positions of the k most important slots, ties by position."""
     order = sorted(range(len(names)), key=lambda i: (-importances[i], i))

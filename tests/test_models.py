@@ -2,10 +2,12 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from patrona.ml import explain, metrics, models, prep
+from patrona.ml.preparation import BalancedWeights, prepared_fold, with_model
 
 
 def value(df):
@@ -132,7 +134,121 @@ def test_preprocessor_imputes(spark):
 def test_preprocessor_refuses_many_levels(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("c"))
     with pytest.raises(ValueError):
-        prep.preprocessor(df, [], ["c"], max_levels=100)
+        prep.preprocessor(df, [], ["c"], max_levels=100).fit(df)
+
+
+def _numbers(model):
+    """Every number and level that a fitted pipeline holds."""
+    out = []
+    for stage in model.stages:
+        if hasattr(stage, "stages"):
+            out += _numbers(stage)
+        elif hasattr(stage, "coefficients"):
+            out += [stage.intercept, *stage.coefficients.toArray().tolist()]
+        elif hasattr(stage, "labels"):
+            out += stage.labels
+        else:
+            out += [v for p, v in stage.extractParamMap().items() if p.name in ("statement", "table")]
+    return out
+
+
+def test_only_training_rows_are_learnt_from(spark):
+    """Other test rows, even absurd ones with new levels, leave every fitted number as it was."""
+    rows = prep.fold_column(_rows(spark).withColumns({
+        "a": F.when(F.col("id") % 7 != 0, F.col("a")), "c": F.when(F.col("id") % 11 != 0, F.col("c"))}), "id")
+    odd = rows.withColumns({
+        "a": F.when(F.col("fold") == 0, F.col("id") * 1e6).otherwise(F.col("a")),
+        "c": F.when(F.col("fold") == 0, F.lit("new")).otherwise(F.col("c")),
+        "label": F.when(F.col("fold") == 0, 1.0).otherwise(F.col("label"))})
+    pipeline = with_model(prep.Preparation(["a", "b"], ["c"], impute=True), models.logistic(), BalancedWeights())
+    fitted = [pipeline.fit(df.where("fold <> 0")) for df in (rows, odd)]
+    assert _numbers(fitted[0]) == _numbers(fitted[1]) and len(_numbers(fitted[0])) > 8
+    train, test = prepared_fold(prep.Preparation(["a", "b"], ["c"], impute=True), odd, "fold", 0)
+    plain, _test = prepared_fold(prep.Preparation(["a", "b"], ["c"], impute=True), rows, "fold", 0)
+    vectors = [sorted((r["id"], *r["features"].toArray()) for r in df.select("id", "features").collect())
+               for df in (train, plain)]
+    assert vectors[0] == vectors[1] and {len(v) for v in vectors[0]} == {6}
+    assert all(r["features"].toArray()[2:].sum() == 0 for r in test.collect())  # an unknown level has no slot
+
+
+def test_preparation_equals_numpy(spark):
+    rng = np.random.default_rng(2)
+    x = rng.exponential(3, 501)
+    x[::5] = np.nan
+    df = spark.createDataFrame([(None if np.isnan(v) else float(v), 7.0, None) for v in x], "x double, k double, e double")
+    got = np.array([r[0] for r in prep.Preparation(["x", "k", "e"], [], impute=True).fit(df).transform(df).select(
+        vector_to_array("features")).collect()])
+    filled = np.where(np.isnan(x), np.sort(x[~np.isnan(x)])[(~np.isnan(x)).sum() // 2 - 1], x)
+    assert got[:, 0] == pytest.approx((filled - filled.mean()) / filled.std(ddof=1))
+    assert (got[:, 1:] == 0).all()
+
+
+def test_pipeline_is_saved_and_read(spark, tmp_path):
+    df = _rows(spark)
+    model = with_model(prep.Preparation(["a", "b"], ["c"]), models.logistic(), BalancedWeights()).fit(df)
+    model.write().overwrite().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    rows = df.drop("label")  # a scored row needs no label
+    first, second = (sorted(map(tuple, models.score_rows(m, rows, "id").collect())) for m in (model, again))
+    assert first == second
+
+
+def test_search_reports_held_out_rows(spark):
+    rows = prep.fold_column(_rows(spark), "id", k=4)
+    train, test = rows.where("fold <> 3"), rows.where("fold = 3")
+    draws = [{"regParam": 0.0}, {"regParam": 5.0}]
+    model, table = models.random_search(
+        prep.Preparation(["a", "b"], ["c"]), lambda p: models.logistic(weight=None, **p), draws, train, "fold", 3,
+        models.ScoreEvaluator("roc_auc"), held_out=test)
+    found = {r["draw"]: r for r in table.collect()}
+    assert [found[d]["best"] for d in (0, 1)] == [found[d]["mean"] == max(f["mean"] for f in found.values()) for d in (0, 1)]
+    best = next(r for r in found.values() if r["best"])
+    assert best["held_out"] == models.ScoreEvaluator("roc_auc").evaluate(model.transform(test))
+    assert [r["held_out"] for r in found.values() if not r["best"]] == [None]
+
+
+def test_rounds_are_chosen_by_validation(spark):
+    df = models.mark_validation(prep.Preparation(["a", "b"], ["c"]).fit(_rows(spark)).transform(_rows(spark)), "id").cache()
+    estimator = models.boosted_classifier(maxDepth=2, stepSize=0.5)
+    model = models.rounds_by_validation(estimator, df, rounds=(4, 12))
+    losses = estimator.setMaxIter(12).fit(df.where("not validation")).evaluateEachIteration(df.where("validation"))
+    best = int(np.argmin(losses)) + 1
+    assert model.getNumTrees == (best if int(np.argmin(losses[:4])) + 1 > 3.6 else int(np.argmin(losses[:4])) + 1)
+
+
+def test_soft_silhouette_equals_pairs(spark):
+    rng = np.random.default_rng(3)
+    points = rng.normal(0, 1, (40, 3)) + np.arange(40)[:, None] % 3
+    weights = rng.dirichlet([0.5] * 3, 40)
+    weights[0] = [1, 0, 0]
+    df = spark.createDataFrame([(p.tolist(), w.tolist()) for p, w in zip(points, weights)],
+                               "v array<double>, m array<double>").select(array_to_vector("v").alias("features"), "m")
+    far = ((points[:, None] - points[None]) ** 2).sum(-1)
+    mean = (far @ weights) / (weights.sum(0) - weights)
+    total = 0.0
+    for i in range(40):
+        for c in range(3):
+            a, b = mean[i, c], min(mean[i, d] for d in range(3) if d != c)
+            total += weights[i, c] * (b - a) / max(a, b)
+    assert value(models.soft_silhouette(df, "m")) == pytest.approx(total / weights.sum())
+    hard = df.withColumn("c", F.array_position("m", F.array_max("m")).cast("int") - 1)
+    plain = models.silhouette(hard.withColumn("c", F.col("c").cast("double")), "c")
+    assert value(models.soft_silhouette(hard.withColumn("h", models.hard_members("c", 3)), "h")) == pytest.approx(plain)
+
+
+def test_walks_are_antithetic_and_need_no_shuffle(prepared):
+    df, _model = prepared
+    walks = explain.walks_of(5, 4)
+    assert walks[1] == walks[0][::-1] and walks[3] == walks[2][::-1]
+    model = models.logistic(weight=None).fit(df)
+    values = explain.shapley_values(model, df, "id", list("abcde"), [0.0] * 5)
+    assert "Exchange" not in values._jdf.queryExecution().executedPlan().toString()
+
+
+def test_top_slots_refit(spark):
+    df = _rows(spark).withColumn("label", F.col("a") * 3 + F.col("b"))
+    model = models.refit_on_top_slots(prep.Preparation(["a", "b"], ["c"]), models.forest_regressor(10), df, k=2)
+    assert model.stages[1].getIndices() == [0, 1] and model.stages[2].numFeatures == 2
 
 
 def test_splits_keep_rows_and_shares(spark):
@@ -245,7 +361,7 @@ def test_positive_weight_search(prepared):
     df, _model = prepared
     folded = prep.stratified_folds(df, "id", "label", k=2)
     draws = [{"maxIter": 2, "maxDepth": 2, "positiveWeight": 1}, {"maxIter": 3, "maxDepth": 2, "positiveWeight": 5}]
-    model, table = models.random_search(lambda p: models.boosted_classifier(**p), draws, folded, "fold", 2,
+    model, table = models.random_search(None, lambda p: models.boosted_classifier(**p), draws, folded, "fold", 2,
                                         models.ScoreEvaluator("roc_auc"), parallelism=2)
     rows = table.collect()
     assert len(rows) == 2 and sum(r["best"] for r in rows) == 1 and model.getNumTrees in (2, 3)

@@ -1,12 +1,13 @@
 """Skew, ties and block bounds of the shared building blocks."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from patrona import scale
-from patrona.ml import prep
+from patrona.ml import oversampling, prep
 from patrona.operators.distribution import box_stats, exact_quantiles, histogram
 from patrona.operators.joins import frequency_encode
 
@@ -100,19 +101,18 @@ def _imbalanced(spark, n_minor=400):
     return df.select("id", "label", array_to_vector("v").alias("features"))
 
 
-@pytest.mark.parametrize("block_rows", [2048, 64])
-def test_smote_counts_and_range(spark, block_rows):
+def test_smote_counts_and_range(spark):
     df = _imbalanced(spark)
-    made = prep.smote(df, "id", block_rows=block_rows)
+    made = oversampling.smote(df, "id")
     out = made.select("synthetic_key", "label", vector_to_array("features").alias("v")).collect()
     assert len(out) == 600 and len({r["synthetic_key"] for r in out}) == 600
     assert {r["label"] for r in out} == {1.0}
     minority = np.array([r["v"] for r in df.where("label = 1").select(vector_to_array("features").alias("v")).collect()])
     points = np.array([r["v"] for r in out])
     assert (points >= minority.min(axis=0) - 1e-9).all() and (points <= minority.max(axis=0) + 1e-9).all()
-    again = prep.smote(df.repartition(5), "id", block_rows=block_rows)
+    again = oversampling.smote(df.repartition(5), "id")
     assert rows(again.select("synthetic_key")) == rows(made.select("synthetic_key"))
-    balanced = {r[0]: r[1] for r in prep.oversample(df, "id", block_rows=block_rows).groupBy("label").count().collect()}
+    balanced = {r[0]: r[1] for r in oversampling.oversample(df, "id").groupBy("label").count().collect()}
     assert balanced == {0.0: 1000, 1.0: 1000}
 
 
@@ -120,7 +120,7 @@ def test_smote_neighbours_are_the_nearest(spark):
     df = _imbalanced(spark, 60)
     minority = np.array([r["v"] for r in df.where("label = 1").select(vector_to_array("features").alias("v")).collect()])
     near = np.argsort(((minority[:, None] - minority[None]) ** 2).sum(-1) + np.eye(len(minority)) * 1e9, axis=1)[:, :5]
-    made = prep.smote(df, "id").select(vector_to_array("features").alias("v")).collect()
+    made = oversampling.smote(df, "id").select(vector_to_array("features").alias("v")).collect()
     for r in made[::25]:
         p = np.array(r["v"])
         gap = min(np.linalg.norm(np.cross(minority[j] - minority[i], p - minority[i]))
@@ -129,12 +129,27 @@ def test_smote_neighbours_are_the_nearest(spark):
         assert gap < 1e-6
 
 
+def test_nearest_rows_of_a_large_class(spark):
+    """Recall of the true five nearest rows in a class of 20,000 rows of eight dimensions."""
+    points = np.random.default_rng(8).normal(0, 300.0, (20_000, 8))
+    frame = pd.DataFrame({"id": [str(i) for i in range(len(points))], "label": 1.0, "values": points.tolist()})
+    found = oversampling.nearest_rows(spark.createDataFrame(frame, "id string, label double, values array<double>"), 5)
+    got = {int(r["id"]): {int(m["id"]) for m in r["near"]} for r in found.collect()}
+    assert len(got) == 20_000 and all(len(v) == 5 and i not in v for i, v in got.items())
+    hits = 0
+    for i in range(0, 20_000, 100):
+        distance = ((points - points[i]) ** 2).sum(axis=1)
+        distance[i] = np.inf
+        hits += len(got[i] & set(np.argsort(distance)[:5].tolist()))
+    assert hits / 1000 >= 0.9, hits
+
+
 def test_smote_of_a_tiny_class(spark):
     """Two rows and one row that need many copies: made in chunks, all distinct or equal to the single row."""
     data = [(i, 0.0, [0.0]) for i in range(1500)] + [(2000, 1.0, [1.0]), (2001, 1.0, [2.0]), (3000, 2.0, [9.0])]
     df = spark.createDataFrame(data, "id long, label double, v array<double>").select(
         "id", "label", array_to_vector("v").alias("features"))
-    made = prep.smote(df, "id").select("synthetic_key", "label", vector_to_array("features")[0].alias("x")).collect()
+    made = oversampling.smote(df, "id").select("synthetic_key", "label", vector_to_array("features")[0].alias("x")).collect()
     pair, single = [r for r in made if r["label"] == 1.0], [r for r in made if r["label"] == 2.0]
     assert len(pair) == 1498 and len(single) == 1499 and len({r["synthetic_key"] for r in made}) == 2997
     assert all(1.0 <= r["x"] <= 2.0 for r in pair) and len({r["x"] for r in pair}) == 1498
@@ -144,7 +159,7 @@ def test_smote_of_a_tiny_class(spark):
 def test_smote_of_balanced_classes_is_empty(spark):
     df = spark.createDataFrame([(1, 0.0, [1.0]), (2, 1.0, [2.0])], "id long, label double, v array<double>").select(
         "id", "label", array_to_vector("v").alias("features"))
-    assert prep.smote(df, "id").count() == 0
+    assert oversampling.smote(df, "id").count() == 0
 
 
 def test_hot_part_is_split_by_adaptive_execution(spark):
