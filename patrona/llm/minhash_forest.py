@@ -1,24 +1,26 @@
 """Near-duplicate detection with an LSH forest over MinHash signatures.
 
-A tree is a sorted order of the signatures that begins at its own place: four
-minima form the region of a document, the next four order it inside. Two documents
-of similarity 0.8 share a region in one of 32 trees but for a chance of 5e-8, and
-all rows of a region, however many, are compared with one another.
+A tree is a sorted order of the signatures that begins at its own place: four minima
+make the least depth, a region, and eight more order the rows inside it, so that
+neighbours in a crowded region agree on the longest prefix there is. Two documents of
+similarity 0.8 share a region in one of 32 trees but for a chance of 5e-8.
 
 1. Documents with equal shingle sets form classes; one of each goes on.
-2. Two rows of a region are paired unless their sketches (two bits of each minimum)
-   or their numbers of shingles rule out a link. A large region is cut into blocks,
-   and each two of them meet in a task of their own.
-3. Pairs are confirmed on full shingle sets; a filter of fixed size keeps the texts
-   of other documents out of that join.
-4. Confirmed links are contracted to components. Two rounds only save work: the
-   first pairs neighbours in the sorted order, the second all rows with the document
-   of most links of each component, so that most copies are joined before the others
-   pair all rows of components still apart. No round compares a pair again.
+2. Longest-common-prefix neighbours of the first trees are candidates, unless their
+   sketches (two bits of each minimum) rule out a link. They are confirmed on full
+   shingle sets, and confirmed links are contracted to components.
+3. Where a region of any tree still holds several components, its rows are compared with
+   one document for the largest of them, that of most links: linear in the rows.
+4. What is left is compared in full. In a region of at most ``SMALL`` rows the pairs of
+   different components are candidates as above. Larger ones are put together where they
+   share rows; the sets of such a cluster meet in tasks of two blocks of ``BLOCK`` rows,
+   where all similarities are computed exactly and a task returns only links that join
+   components, fewer than it has rows. No list of pairs of a crowded region is ever made.
 
 Defined cases: a null or empty text has no shingle and links with nothing; rows
 with a null id link with nothing and are kept; rows that repeat an id count as one
-document of the shingles of each; other columns are ignored.
+document of the shingles of each; very long texts are compared whole; an empty table
+has no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,10 +39,14 @@ from patrona.llm.components import components
 from patrona.session import materialize
 
 TREES, DEPTH = 32, 4
-#: Rounds of trees (first, one past the last, rows paired). The last ones pair all rows of every tree.
-ROUNDS = ((0, 4, "neighbours"), (0, TREES, "hubs"), (0, 16, "all"), (16, TREES, "all"))
-#: Rows of a region that meet as many others in one task, about.
-BLOCK = 1024
+#: Trees whose neighbours are candidates at first.
+FIRST_TREES = 8
+#: Rows of a region up to which its pairs are listed.
+SMALL = 32
+#: Rows of a cluster that meet as many others in one task, about; shingles of one matrix product there.
+BLOCK, COLUMNS = 512, 4096
+#: Parts of a class of equal documents in the join with its first one.
+SALTS = 16
 #: Minima of 128 whose two bits may differ, at any distance. At a similarity of 0.8 they number 19.2, with a
 #: deviation of 4: the limit passes all but a few in a million such pairs.
 MOST_BITS = 39
@@ -78,13 +85,15 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def regions(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Region hash of each tree, and the next minima of its order (16 bits of each of four)."""
+    """Region hash of each tree, and the next minima of its order (8 bits of each of eight)."""
     rows = sig.reshape(TREES, DEPTH)
     region = np.zeros(TREES, np.uint64)
     for j in range(DEPTH):
         region = T.mix(region + rows[:, j] + np.arange(TREES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    further = np.roll(rows, -1, axis=0) >> np.uint64(16)
-    deep = (further[:, 0] << np.uint64(48)) | (further[:, 1] << np.uint64(32)) | (further[:, 2] << np.uint64(16)) | further[:, 3]
+    further = np.concatenate([np.roll(rows, -1, axis=0), np.roll(rows, -2, axis=0)], axis=1) >> np.uint64(24)
+    deep = np.zeros(TREES, np.uint64)
+    for j in range(2 * DEPTH):
+        deep = deep << np.uint64(8) | further[:, j]
     return region, deep
 
 
@@ -197,37 +206,123 @@ def candidates(rows: DataFrame, reach: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def region_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: all rows of one region that may be linked.
+def mixed_regions(rows: DataFrame) -> DataFrame:
+    """(region, n): regions that hold rows of several components, and how many rows."""
+    return (rows.groupBy("region").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .where("lo < hi").select("region", "n"))
 
-    ``rows`` has (region, doc_id, comp, n_shingles, hub, sketch1, ...); a pair has one row with ``hub`` at least.
-    """
-    sizes = (rows.groupBy("region").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                        F.max("hub").alias("any"))
-             .where("lo < hi and any").select(F.col("region").alias("r"), F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    own = rows.join(sizes, F.col("region") == F.col("r")).drop("r").withColumn(
-        "block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
-    zero = F.lit(0).cast("long")
-    left = own.withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1))).withColumnRenamed("block", "i")
-    right = own.withColumn("i", F.explode(F.sequence(zero, "block"))).withColumnRenamed("block", "j")
-    right = right.select(*[F.col(c).alias(f"{c}_b") for c in
-                           ("region", "i", "j", "doc_id", "comp", "n_shingles", "hub", *SKETCH)])
-    differ = [F.col(c).bitwiseXOR(F.col(f"{c}_b")) for c in SKETCH]
+
+def sketched(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches and numbers of shingles allow a link."""
+    sketches = signed.where("doc_id is not null").select("doc_id", "n_shingles", *SKETCH)
+    left = sketches.select(*[F.col(c).alias(f"{c}_a") for c in sketches.columns]).withColumnRenamed("doc_id_a", "a")
+    right = sketches.select(*[F.col(c).alias(f"{c}_b") for c in sketches.columns]).withColumnRenamed("doc_id_b", "b")
+    differ = [F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b")) for c in SKETCH]
     count = F.bit_count(differ[0].bitwiseOR(differ[2])) + F.bit_count(differ[1].bitwiseOR(differ[3]))
-    once = F.expr("i < j or doc_id < doc_id_b or (doc_id = doc_id_b and comp < comp_b)")
-    sized = F.expr(f"100 * least(n_shingles, n_shingles_b) >= {percent} * greatest(n_shingles, n_shingles_b)")
-    met = left.join(right, (F.col("region") == F.col("region_b")) & (F.col("i") == F.col("i_b"))
-                    & (F.col("j") == F.col("j_b")) & (F.col("comp") != F.col("comp_b")) & once
-                    & (F.col("hub") | F.col("hub_b")) & sized & (count <= MOST_BITS))
-    return met.select(F.least("doc_id", "doc_id_b").alias("a"), F.greatest("doc_id", "doc_id_b").alias("b")).distinct()
+    sized = F.expr(f"100 * least(n_shingles_a, n_shingles_b) >= {percent} * greatest(n_shingles_a, n_shingles_b)")
+    return (pairs.join(left, "a").join(right, "b").where(sized & (count <= MOST_BITS)).select("a", "b").distinct())
+
+
+def hub_pairs(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(a, b), a < b: each row of a mixed region with the hub of the component that has most rows there.
+
+    ``rows`` has (region, doc_id, comp), ``hubs`` has (comp, hub). One pair a row and region at most.
+    """
+    counts = rows.groupBy("region", "comp").count()
+    largest = (counts.groupBy("region").agg(F.max(F.struct("count", (-F.col("comp")).alias("id"))).alias("most"),
+                                            F.count("*").alias("n")).where("n > 1")
+               .select("region", (-F.col("most.id")).alias("main")))
+    met = rows.join(largest, "region").where("comp <> main").select("doc_id", "main").distinct()
+    met = met.join(hubs.withColumnRenamed("comp", "main"), "main", "left").select(
+        "doc_id", F.coalesce("hub", "main").alias("hub"))
+    return met.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
+
+
+def small_pairs(rows: DataFrame) -> DataFrame:
+    """(a, b), a < b: all rows of different components of a region; regions are small."""
+    right = rows.select("region", F.col("doc_id").alias("b"), F.col("comp").alias("comp_b"))
+    return (rows.withColumnRenamed("doc_id", "a").join(right, "region").where("a < b and comp <> comp_b")
+            .select("a", "b").distinct())
+
+
+def _block_links(percent: int):
+    """Function giving links between two blocks of rows that join their components; a closure, sent by value."""
+    columns = COLUMNS
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        first, second = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+        pdf = pdf.sort_values("doc_id", kind="stable").reset_index(drop=True)
+        block = pdf["block"].to_numpy()
+        left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
+        ids, comps = pdf["doc_id"].to_numpy(), pdf["comp"].to_numpy()
+        none = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        if not len(left) or not len(right) or len(np.unique(comps)) < 2:
+            return none
+        sets = pdf["shingles"].tolist()
+        size = np.array([len(s) for s in sets])
+        owner = np.repeat(np.arange(len(sets)), size)
+        _values, word, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = often[word] > 1
+        renumbered = np.cumsum(often > 1) - 1
+        owner, word = owner[shared], renumbered[word[shared]]
+        order = np.argsort(word, kind="stable")
+        owner, word = owner[order], word[order]
+        common = np.zeros((len(left), len(right)), np.float32)
+        for start in range(0, int(word[-1]) + 1 if len(word) else 0, columns):
+            a, b = np.searchsorted(word, [start, start + columns])
+            cells = np.zeros((len(sets), columns), np.float32)
+            cells[owner[a:b], word[a:b] - start] = 1
+            common += cells[left] @ cells[right].T
+        common = np.rint(common).astype(np.int64)
+        union = size[left][:, None] + size[right][None, :] - common
+        linked = (100 * common >= percent * union) & (comps[left][:, None] != comps[right][None, :])
+        if first == second:
+            linked &= np.triu(np.ones_like(linked), 1)
+        root = {int(c): int(c) for c in comps}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+        out = []
+        for x, y in zip(*(v.tolist() for v in np.nonzero(linked))):
+            u, v = find(int(comps[left[x]])), find(int(comps[right[y]]))
+            if u != v:
+                root[max(u, v)] = min(u, v)
+                out.append((ids[left[x]], ids[right[y]]))
+        return pd.DataFrame(out, columns=["a", "b"]) if out else none
+    return links
+
+
+def cluster_links(rows: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): links that join the components of large mixed regions.
+
+    ``rows`` has (region, doc_id, comp). Rows of a region belong together, and so do
+    regions that share a row.
+    """
+    least = rows.groupBy("region").agg(F.min("doc_id").alias("v"))
+    edges = rows.join(least, "region").select(F.col("doc_id").alias("u"), "v").where("u <> v").distinct()
+    cluster = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+    members = (rows.select("doc_id", "comp").distinct().join(cluster, "doc_id", "left")
+               .withColumn("cluster", F.coalesce("cluster", "doc_id")))
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    placed = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    placed = materialize(placed, "forest-members")
+    sets = _sets(docs, placed.select("doc_id").distinct(), k)
+    held = materialize(placed.join(sets, "doc_id"), "forest-sets")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    met = held.withColumn("other", other).select(
+        "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "block", "doc_id", "comp", "shingles")
+    return met.groupBy("cluster", "i", "j").applyInPandas(_block_links(percent), "a long, b long")
 
 
 def _hubs(links: DataFrame, label: DataFrame) -> DataFrame:
-    """(doc_id): the document of most links of each component that has any, the smallest id of those."""
+    """(comp, hub): the document of most links of each component that has any, the smallest id of those."""
     ends = links.select(F.col("a").alias("doc_id")).unionByName(links.select(F.col("b").alias("doc_id")))
     most = (ends.groupBy("doc_id").count().join(label, "doc_id").groupBy("comp")
             .agg(F.max(F.struct("count", (-F.col("doc_id")).alias("id"))).alias("most")))
-    return most.select((-F.col("most.id")).alias("doc_id")).distinct()
+    return most.select("comp", (-F.col("most.id")).alias("hub"))
 
 
 def _filter_words(ids: DataFrame) -> np.ndarray:
@@ -252,14 +347,19 @@ def _set_task(wanted, k: int):
     return task
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have at least ``percent`` % of their union in common."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+def _sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(doc_id, shingles) of the documents with these ids."""
     wanted = docs.sparkSession.sparkContext.broadcast(_filter_words(ids))
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    sets = (docs.select("doc_id", "text", bit.alias("bit"))
+    return (docs.select("doc_id", "text", bit.alias("bit"))
             .mapInArrow(_set_task(wanted, k), "doc_id long, shingles array<long>")
             .join(ids, "doc_id", "left_semi"))
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets have at least ``percent`` % of their union in common."""
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = _sets(docs, ids, k)
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
@@ -267,6 +367,25 @@ def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
             .where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b"))
 
 
+def _classes(linkable: DataFrame) -> DataFrame:
+    """(doc_id, comp): the smallest id of the documents with an equal set; large classes are joined in parts."""
+    same = ["n_shingles", "key1", "key2"]
+    several = (linkable.groupBy(*same).agg(F.min("doc_id").alias("comp"), F.count("*").alias("n")).where("n > 1")
+               .select(*same, "comp", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    return (linkable.select("doc_id", *same, salt.alias("salt")).join(several, [*same, "salt"], "left")
+            .select("doc_id", F.coalesce("comp", "doc_id").alias("comp")))
+
+
+def _contracted(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels (doc_id, comp) after joining the components that links (a, b) connect."""
+    ends = (links.join(label.select(F.col("doc_id").alias("a"), F.col("comp").alias("u")), "a")
+            .join(label.select(F.col("doc_id").alias("b"), F.col("comp").alias("v")), "b").select("u", "v"))
+    merged = components(ends).withColumnRenamed("node", "comp")
+    return materialize(label.join(merged, "comp", "left")
+                       .select("doc_id", F.coalesce("component", "comp").alias("comp")).distinct(), "forest-label")
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every document (doc_id, text).
 
@@ -276,36 +395,34 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = materialize(docs.mapInArrow(_sign_task(shingle_words), f"doc_id long, {_SIGNED}"), "forest-signed")
     linkable = signed.where("n_shingles > 0 and doc_id is not null")
-    same = ["n_shingles", "key1", "key2"]
-    firsts = linkable.groupBy(*same).agg(F.min("doc_id").alias("comp"))
-    classes = materialize(linkable.select("doc_id", *same).join(firsts, same).select("doc_id", "comp"),
-                          "forest-classes")
-    label = classes
     own = docs.where("doc_id is not null")
-    seen = None
-    for first, last, paired in ROUNDS:
-        trees = linkable.select("doc_id", "n_shingles", *SKETCH, *[
-            F.slice(c, first + 1, last - first).alias(c) for c in ("region", "deep")])
-        chosen = label.join(classes.where("doc_id = comp").select("doc_id"), "doc_id", "left_semi")
-        rows = trees.join(chosen, "doc_id").select(
-            "doc_id", "comp", "n_shingles", *SKETCH, F.inline(F.arrays_zip("region", "deep")))
-        if paired == "neighbours":
-            pairs = candidates(rows, 1)
-        elif paired == "hubs":
-            hubs = _hubs(links, label).withColumn("hub", F.lit(True))
-            pairs = region_pairs(rows.join(hubs, "doc_id", "left").withColumn(
-                "hub", F.coalesce("hub", F.lit(False))), percent)
-        else:
-            pairs = region_pairs(rows.withColumn("hub", F.lit(True)), percent)
-        unseen = pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = materialize(unseen, "forest-candidates")
-        seen = pairs if seen is None else seen.unionByName(pairs)
-        links = materialize(confirmed(own, pairs, shingle_words, percent), "forest-links")
-        ends = (links.join(label.select(F.col("doc_id").alias("a"), F.col("comp").alias("u")), "a")
-                .join(label.select(F.col("doc_id").alias("b"), F.col("comp").alias("v")), "b").select("u", "v"))
-        merged = components(ends).withColumnRenamed("node", "comp")
-        label = materialize(label.join(merged, "comp", "left")
-                            .select("doc_id", F.coalesce("component", "comp").alias("comp")).distinct(), "forest-label")
+    classes = label = materialize(_classes(linkable), "forest-classes")
+    firsts = classes.where("doc_id = comp").select("doc_id")
+
+    def in_trees(label: DataFrame, trees: int, *columns: str) -> DataFrame:
+        chosen = label.join(firsts, "doc_id", "left_semi")
+        cut = linkable.select("doc_id", *SKETCH, *[F.slice(c, 1, trees).alias(c) for c in ("region", "deep")])
+        return cut.join(chosen, "doc_id").select(
+            "doc_id", "comp", *SKETCH, F.inline(F.arrays_zip("region", "deep"))).select(*columns)
+
+    seen = materialize(candidates(in_trees(label, FIRST_TREES, *_CARRIED, "deep"), 1), "forest-candidates")
+    links = materialize(confirmed(own, seen, shingle_words, percent), "forest-links")
+    label = _contracted(label, links)
+
+    rows = in_trees(label, TREES, "region", "doc_id", "comp")
+    rows = materialize(rows.join(mixed_regions(rows), "region").drop("n"), "forest-rows")
+    near = sketched(hub_pairs(rows, _hubs(links, label)), signed, percent)
+    near = materialize(near.join(seen, ["a", "b"], "left_anti"), "forest-candidates")
+    label = _contracted(label, confirmed(own, near, shingle_words, percent))
+
+    rows = rows.drop("comp").join(label, "doc_id")
+    rows = materialize(rows.join(mixed_regions(rows), "region"), "forest-rows")
+    rest = sketched(small_pairs(rows.where(F.col("n") <= SMALL).drop("n")), signed, percent)
+    rest = materialize(rest.join(seen.unionByName(near), ["a", "b"], "left_anti"), "forest-candidates")
+    last = confirmed(own, rest, shingle_words, percent).unionByName(
+        cluster_links(rows.where(F.col("n") > SMALL).drop("n"), own, shingle_words, percent))
+    label = _contracted(label, last)
+
     whole = label.groupBy("doc_id").agg(F.min("comp").alias("component_id"))
     return signed.join(whole, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
