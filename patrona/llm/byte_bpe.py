@@ -12,7 +12,7 @@ Ranks come from a public rank file; a merge is any pair of parts whose joined
 bytes have a rank, lowest rank first and leftmost among equals.
 
 Defined cases: a null or empty text has no ids; repeated rows are encoded one by
-one; a null id stays null; other columns are ignored.
+one; a null id stays null; an empty table has no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import base64
 import gc
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 from itertools import chain
 
@@ -30,12 +31,12 @@ from pyspark.sql import DataFrame
 
 from patrona.llm import text as T
 
-#: Pieces remembered between calls, per kind, before they are forgotten.
-CACHE_PIECES = 200_000
+#: Bytes, about, of the pieces remembered between calls, per kind, before they are forgotten; and those of an entry.
+CACHE_BYTES, ENTRY_BYTES = 24 << 20, 250
 #: Pre-tokens up to this length are merged side by side, longer ones one by one.
 SHORT_BYTES = 64
 #: Text encoded at once inside a task.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 1 << 20
 #: A space beside other white space does not always begin a token.
 _OTHER_SPACE = re.compile(r" \s").search
 
@@ -215,10 +216,13 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.tokens: dict[str, list[int]] = {}
         self.spaced: dict[str, list[int]] = {}
+        self.held = [0, 0]
 
     def _learn(self, tokens: set[str]) -> None:
         short = []
-        for token in tokens - self.tokens.keys():
+        new = tokens - self.tokens.keys()
+        self.held[0] += sum(9 * len(token) + ENTRY_BYTES for token in new)  # a character is one id at most, as a rule
+        for token in new:
             raw = token.encode()
             whole = self.ranks.get(raw)
             if whole is not None:
@@ -231,10 +235,10 @@ class Codec:
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
-        if len(self.tokens) > CACHE_PIECES:
-            self.tokens.clear()
-        if len(self.spaced) > CACHE_PIECES:
-            self.spaced.clear()
+        for kind, cache in enumerate((self.tokens, self.spaced)):
+            if self.held[kind] > CACHE_BYTES:
+                cache.clear()
+                self.held[kind] = 0
         cut: list[tuple[list[str], list[str]]] = []
         for text in texts:
             if "  " in text or text[-1:] == " " or _OTHER_SPACE(text):
@@ -244,6 +248,7 @@ class Codec:
                 cut.append((self.split(first), rest))
         new = {p: self.split(" " + p) for p in set(chain.from_iterable(rest for _, rest in cut)) - self.spaced.keys()}
         self._learn({t for split in new.values() for t in split}.union(*(split for split, _ in cut)))
+        self.held[1] += sum(9 * len(piece) + ENTRY_BYTES for piece in new)
         known, spaced = self.tokens.__getitem__, self.spaced.__getitem__
         for piece, split in new.items():
             self.spaced[piece] = known(split[0]) if len(split) == 1 else list(chain.from_iterable(map(known, split)))
@@ -256,29 +261,45 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-def _codec_task(setup, with_ids: bool):
+#: The codec of a worker process, by the call it belongs to; the next task of the worker goes on with it.
+_CODEC: dict[str, tuple[Codec, list[str]]] = {}
+
+
+def _codec_task(setup, call: str, with_ids: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, pattern = setup.value
+        if call not in _CODEC:
+            ranks, pattern = setup.value
+            _CODEC.clear()
+            _CODEC[call] = Codec(ranks, pattern), [str(i) for i in range(max(ranks.values(), default=0) + 1)]
+        codec, number = _CODEC[call]
+        collecting = gc.isenabled()
         gc.disable()  # lists of ids hold no cycles; counting references frees them
-        codec, number = Codec(ranks, pattern), [str(i) for i in range(max(ranks.values(), default=0) + 1)]
-        for rows, _, _ in T.chunks(batches, max_bytes=CHUNK_BYTES):
-            counts, shas, back, kept = [], [], [], []
-            for ids in codec.encode_all([text or "" for text in rows.column("text").to_pylist()]):
-                counts.append(len(ids))
-                shas.append(hashlib.sha256(",".join(map(number.__getitem__, ids)).encode()).hexdigest())
-                back.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-                if with_ids:
-                    kept.append(pa.array(ids, pa.int32()))
-            columns = [rows.column("doc_id"), pa.array(counts, pa.int64()), pa.array(shas), pa.array(back)]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                offsets = pa.array([0, *_running(counts)], pa.int32())
-                columns.append(pa.ListArray.from_arrays(offsets, pa.concat_arrays(kept or [pa.array([], pa.int32())])))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        try:
+            for rows, _, _ in T.chunks(batches, max_bytes=CHUNK_BYTES):
+                yield _encoded(codec, number, rows, with_ids)
+        finally:
+            if collecting:
+                gc.enable()
     return task
 
 
+def _encoded(codec: Codec, number: list[str], rows: pa.RecordBatch, with_ids: bool) -> pa.RecordBatch:
+    counts, shas, back, kept = [], [], [], []
+    for ids in codec.encode_all([text or "" for text in rows.column("text").to_pylist()]):
+        counts.append(len(ids))
+        shas.append(hashlib.sha256(",".join(map(number.__getitem__, ids)).encode()).hexdigest())
+        back.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+        if with_ids:
+            kept.append(pa.array(ids, pa.int32()))
+    columns = [rows.column("doc_id"), pa.array(counts, pa.int64()), pa.array(shas), pa.array(back)]
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    if with_ids:
+        offsets = pa.array([0, *_running(counts)], pa.int32())
+        columns.append(pa.ListArray.from_arrays(offsets, pa.concat_arrays(kept or [pa.array([], pa.int32())])))
+        names.append("ids")
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def _running(counts: list[int]) -> list[int]:
     total, out = 0, []
     for n in counts:
@@ -295,7 +316,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, with_ids: bo
     setup = docs.sparkSession.sparkContext.broadcast((load_ranks(rank_file), pattern))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(_codec_task(setup, with_ids), schema)
+    return docs.select("doc_id", "text").mapInArrow(_codec_task(setup, uuid.uuid4().hex, with_ids), schema)
 
 
 def _decode_task(setup):
