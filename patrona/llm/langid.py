@@ -28,9 +28,12 @@ from pyspark.sql import functions as F
 from patrona.llm import text as T
 from patrona.scale import hash_unit
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Numerals that are word characters but neither digits nor letters, such as fractions and raised numbers.
+_NUMERALS = "".join(chr(c) for c in range(0x110000) if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal())
+_LETTER = rf"[^\W\d_{re.escape(_NUMERALS)}]"
+LETTERS = re.compile(rf"{_LETTER}+")
 MAX_WORD, MAX_PIECE = 32, 7
-WORDS = re.compile(rf"[^\W\d_]{{1,{MAX_WORD}}}")
+WORDS = re.compile(rf"{_LETTER}{{1,{MAX_WORD}}}")
 START = "▁"
 CACHE_WORDS = 150_000
 

@@ -3,15 +3,17 @@
 Rolling word k-gram hashes of every text are joined to the k-gram positions of the
 license templates. A match of text position p with template position t votes for
 the diagonal p - t. Votes are summed per diagonal, diagonals at most ``drift``
-apart are merged into one span, and a span is verified by the share of template
-words that its votes cover and by its length. Phrases are templates of two-word
+apart are merged into one run, a run of more than two template lengths is cut into
+overlapping parts of two, and a span is verified by the share of template
+words that its votes cover. Phrases are templates of two-word
 grams whose words must all stand on one diagonal.
 
 The template table has as many rows as the templates have words, whatever the
-corpus: this is the bound under which it is broadcast.
+corpus; it is counted before it is broadcast.
 
 Defined cases: a null or empty text has no word and no label; rows that repeat an
-id and a text are scanned as one and reported each; other columns are ignored.
+id and a text are scanned as one and reported each; an empty table has no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patrona.llm import text as T
+from patrona.scale import fits_broadcast
+from patrona.session import materialize
 
 #: Phrases that are looked for word by word, and their labels.
 PHRASES = {
@@ -94,7 +98,7 @@ def votes(docs: DataFrame, grams: DataFrame) -> DataFrame:
     rolled = (docs.mapInArrow(_gram_task, f"doc_id {kind}, version long, p int, g2 long, g3 long")
               .select("doc_id", "version", "p", F.expr(
                   f"inline(array(struct({_PHRASE_K} as k, g2 as gram), struct({_TEMPLATE_K} as k, g3 as gram)))")))
-    met = rolled.join(F.broadcast(grams), ["k", "gram"])
+    met = rolled.join(F.broadcast(grams) if fits_broadcast(grams) else grams, ["k", "gram"])
     return (met.groupBy("doc_id", "version", "template", "label", "base", "words", "k",
                         (F.col("p") - F.col("t")).alias("diagonal"))
             .agg(F.collect_set("t").alias("hits")))
@@ -104,17 +108,26 @@ def spans(voted: DataFrame, drift: int, least: float) -> DataFrame:
     """(doc_id, version, label, base, start, score): verified spans; phrases need every word in place."""
     exact = (voted.where("base and size(hits) = words - k + 1")
              .select("doc_id", "version", "label", "base", F.col("diagonal").alias("start"), F.lit(1.0).alias("score")))
-    along = W.partitionBy("doc_id", "version", "template").orderBy("diagonal")
+    text = ["doc_id", "version", "template"]
+    along = W.partitionBy(*text).orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(along) > drift
     runs = (voted.where("not base").withColumn("new", F.coalesce(gap, F.lit(True)).cast("int"))
             .withColumn("run", F.sum("new").over(along)))
-    merged = (runs.groupBy("doc_id", "version", "template", "label", "base", "words", "run")
-              .agg(F.min("diagonal").alias("start"), F.max("diagonal").alias("last"),
+    # A run of more than two template lengths is cut into parts of two, which overlap by one.
+    first = F.min("diagonal").over(W.partitionBy(*text, "run"))
+    last = F.max("diagonal").over(W.partitionBy(*text, "run"))
+    place = (F.col("diagonal") - F.col("first")) / F.col("words")
+    runs = runs.withColumns({"first": first, "last": last}).withColumn("part", F.explode(
+        F.when(F.col("last") - F.col("first") <= 2 * F.col("words"), F.array(F.lit(-1).cast("long")))
+        .otherwise(F.array(F.floor(place), F.floor(place) + 1))))
+    merged = (runs.groupBy(*text, "label", "base", "words", "run", "part")
+              .agg(F.min("diagonal").alias("start"),
                    F.array_distinct(F.flatten(F.collect_list(F.flatten(F.transform(
                        "hits", lambda t: F.sequence(t, t + _TEMPLATE_K - 1)))))).alias("covered")))
     score = F.size("covered") / F.col("words")
-    verified = merged.where((F.col("last") - F.col("start") <= F.col("words")) & (score >= least))
-    return exact.unionByName(verified.select("doc_id", "version", "label", "base", "start", score.alias("score")))
+    verified = merged.where(score >= least).groupBy(*text, "label", "base", "start").agg(F.max(score).alias("score"))
+    verified = verified.withColumn("score", F.least("score", F.lit(1.0)))
+    return exact.unionByName(verified.select("doc_id", "version", "label", "base", "start", "score"))
 
 
 def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, list[str]] = TEMPLATES,
@@ -124,7 +137,8 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates:
     ``score`` is the largest covered share of a verified span, 0 without one.
     """
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
-    found = spans(votes(docs, template_grams(docs.sparkSession, phrases, templates)), drift, least)
+    grams = template_grams(docs.sparkSession, phrases, templates)
+    found = spans(materialize(votes(docs, grams), "license-votes"), drift, least)
     base = F.col("base")
     found = found.groupBy("doc_id", "version").agg(
         F.count(F.when(base, 1)).alias("n_base"),

@@ -107,6 +107,8 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 150, rate: float =
     """
     vocabulary: dict[str, int] = {}
     ids = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], np.int64) for t in texts]
+    if not vocabulary:  # no text holds a word: nothing to learn from
+        return np.zeros(BUCKETS), 0.0
     bags = Bags(list(vocabulary))
     odds = _log_odds(bags, ids, labels, certain)
     live = (odds != 0)[:, None]
