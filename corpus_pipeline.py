@@ -28,7 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
-    copies = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    copies = near_duplicates(docs, shingle_words=4).where("not kept").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
