@@ -140,13 +140,24 @@ def _(t):
 @query("b08_rfm_segments")
 def _(t):
     rows = materialize(scoring.rfm(t("orders"), "o_custkey", "o_orderdate", "o_totalprice"), "rfm")
-    return scoring.score_segments(rows, scoring.fit_segments(rows, scoring.SEGMENT_FIELDS))
+    return scoring.score_segments(rows, scoring.fit_segments(rows, scoring.SEGMENT_FIELDS, scoring.SEGMENT_DIRECTION))
+
+
+@query("b08_segments_of_two_fits", """
+SELECT o_custkey AS customer_id, true AS same_segment FROM orders GROUP BY 1""")
+def _(t):
+    """Every customer keeps the segment when the model is fitted again from another seed."""
+    rows = materialize(scoring.rfm(t("orders"), "o_custkey", "o_orderdate", "o_totalprice"), "rfm")
+    first, second = (scoring.score_segments(rows, scoring.fit_segments(
+        rows, scoring.SEGMENT_FIELDS, scoring.SEGMENT_DIRECTION, k=2, seed=seed)) for seed in (42, 7))
+    return first.join(second.select("customer_id", F.col("segment_name").alias("again")), "customer_id").select(
+        "customer_id", (F.col("segment_name") == F.col("again")).alias("same_segment"))
 
 
 @query("b09_feedback_clusters")
 def _(t):
     rows = materialize(t.requests().select("request_id", *scoring.FEEDBACK_FIELDS), "feedback-rows")
-    return scoring.score_feedback(rows, scoring.fit_segments(rows, scoring.FEEDBACK_FIELDS))
+    return scoring.score_feedback(rows, scoring.fit_segments(rows, scoring.FEEDBACK_FIELDS, scoring.FEEDBACK_DIRECTION))
 
 
 @query("b10_churn_split", on_base("""

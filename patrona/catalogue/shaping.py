@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from patrona.catalogue.common import union_all
 from patrona.catalogue.registry import on_base, query
-from patrona.operators import quality, schema
+from patrona.operators import quality, schema, sketches
 from patrona.plans import star
 from patrona.scale import hash_sample
+from patrona.session import materialize
 from patrona.sources.tables import BASE_COLUMNS
 
 CUSTOMER = "SELECT c_custkey AS {0}, c_name AS {1}, c_mktsegment AS {2}, c_acctbal AS {3} FROM customer"
@@ -329,6 +330,37 @@ def _(t):
     return quality.approx_distinct_counts(t("lineitem"))
 
 
+SKETCHED = ["l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate"]
+
+
+@query("a07_distinct_sketches", union_all("""
+SELECT '{c}' AS "column", count({c}) AS n_rows, count(DISTINCT {c}) AS n_exact, true AS within_bound FROM lineitem""",
+                                          SKETCHED))
+def _(t):
+    """Distinct counts from states per return flag, beside the exact ones; the bound is four standard errors."""
+    states = materialize(sketches.distinct_states(t("lineitem"), SKETCHED, by=["l_returnflag"]), "distinct-states")
+    exact = quality.distinct_counts(t("lineitem"), SKETCHED, "n_exact")
+    bound = 4 * 1.04 / 2 ** (sketches.REGISTERS / 2)
+    return sketches.merged_distinct(states).join(exact, "column").select(
+        "column", "n_rows", "n_exact", (F.abs(F.col("n_distinct") - F.col("n_exact")) <= bound * F.col("n_exact"))
+        .alias("within_bound"))
+
+
+@query("a14_quantile_sketches", union_all("""
+SELECT '{0}' AS "column", {1}::DOUBLE AS probability, count({0}) AS n_rows, true AS within_bound FROM lineitem""",
+                                          [(c, p) for c in ("l_extendedprice", "l_quantity")
+                                           for p in (0.05, 0.25, 0.5, 0.75, 0.95)]))
+def _(t):
+    """Quantiles from states per ship mode; a rank lies within 2 % of the rows of what was asked for."""
+    columns = ["l_extendedprice", "l_quantity"]
+    states = materialize(sketches.quantile_states(t("lineitem"), columns, by=["l_returnflag"]), "quantile-states")
+    found = materialize(sketches.merged_quantiles(states, [0.05, 0.25, 0.5, 0.75, 0.95]), "quantiles")
+    ranks = sketches.ranks_of(t("lineitem"), found)
+    near = (F.col("below") <= F.col("probability") + 0.02) & (F.col("up_to") >= F.col("probability") - 0.02)
+    return ranks.join(found.select("column", "probability", "n_rows"), ["column", "probability"]).select(
+        "column", "probability", "n_rows", near.alias("within_bound"))
+
+
 @query("t04_null_counts_sorted", on_base("SELECT * FROM (" + union_all(
     "SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM base",
     ["offer", "internet_type", "churn_reason", "contract"]) + ") ORDER BY n_null DESC, \"column\""))

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Model, Pipeline
-from pyspark.ml.clustering import KMeans
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patrona.functions import rules
-from patrona.ml.models import probability, with_centroid_distance
+from patrona.ml.identity import ranked_clusters
+from patrona.ml.models import best_kmeans, probability, with_centroid_distance
 from patrona.operators.distribution import histogram
 from patrona.operators.joins import attach, map_label
+from patrona.session import materialize
 
 CHURN_FIELDS = ["tenure", "monthly_charges", "total_charges"]
 SEGMENT_FIELDS = ["recency", "frequency", "monetary", "tenure"]
 FEEDBACK_FIELDS = ["sentiment_score", "rating", "response_time", "resolution_time"]
+#: What makes a segment or a feedback level come first: the sign of each field.
+SEGMENT_DIRECTION = [-1, 1, 1, 1]
+FEEDBACK_DIRECTION = [1, 1, -1, -1]
 
 
 def _with_rejected(scored: DataFrame, rejected: DataFrame) -> DataFrame:
@@ -63,14 +67,21 @@ def rfm(orders: DataFrame, customer: str, order_date: str, amount: str) -> DataF
         (total / F.count("*")).alias("monetary"), (2 * F.count("*")).alias("tenure"))
 
 
-def fit_segments(rows: DataFrame, fields: Sequence[str], k: int = 5, seed: int = 42):
-    """Scaling and k-means over the given numeric fields; a missing field counts as 0."""
+def fit_segments(rows: DataFrame, fields: Sequence[str], direction: Sequence[float], k: int = 5, seed: int = 42,
+                 starts: int = 5) -> PipelineModel:
+    """Scaling and k-means over the given numeric fields; a missing field counts as 0.
+
+    Of several starts the one of least inertia is kept, and clusters are numbered by
+    their centres along ``direction``, the highest first, so that a name does not hang on
+    the seed.
+    """
     filled = ", ".join(f"nanvl(coalesce(double(`{c}`), 0D), 0D) AS `_{c}`" for c in fields)
     stages = [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
               VectorAssembler(inputCols=[f"_{c}" for c in fields], outputCol="_raw"),
-              StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_scaled"),
-              KMeans(k=k, seed=seed, featuresCol="_scaled", predictionCol="cluster")]
-    return Pipeline(stages=stages).fit(rows)
+              StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_scaled")]
+    prepared = Pipeline(stages=stages).fit(rows)
+    model = best_kmeans(materialize(prepared.transform(rows).select("_scaled"), "segment-rows"), k, starts, "_scaled", seed)
+    return ranked_clusters(PipelineModel(stages=[*prepared.stages, model]), direction)
 
 
 def score_segments(rows: DataFrame, model: Model, key: str = "customer_id") -> DataFrame:

@@ -104,6 +104,32 @@ def running_totals(df: DataFrame, order_col: str, totals: Sequence[str], by: Seq
     return joined
 
 
+def level_code(value: Column, levels: Sequence[str]) -> Column:
+    """Place of a text among its known levels, from 1 on; 0 for null, an error for any other text."""
+    code = F.array_position(F.array(*map(F.lit, levels)), value)
+    return F.when(value.isNull(), 0).when(code > 0, code).otherwise(F.raise_error(F.concat(F.lit("unknown level "), value)))
+
+
+def level_of(code: Column, levels: Sequence[str]) -> Column:
+    """The level of a code of :func:`level_code`."""
+    return F.get(F.array(*map(F.lit, levels)), (code - 1).cast("int"))
+
+
+def latest_level(value: Column, order: Column, levels: Sequence[str]) -> Column:
+    """Aggregate: the level of the row with the highest order key, as ``max_by``.
+
+    Order and level code are packed into one long, so that it is a plain maximum in a hash
+    aggregate; a maximum over text would sort every row. The order key is whole, below 2**55.
+    """
+    packed = F.max(F.shiftleft(order.cast("long"), 8).bitwiseOR(level_code(value, levels).cast("long")))
+    return level_of(packed.bitwiseAND(255), levels)
+
+
+def least_level(value: Column, levels: Sequence[str]) -> Column:
+    """Aggregate: the first of the sorted levels that occurs, as ``min``."""
+    return level_of(F.min(F.when(value.isNotNull(), level_code(value, levels))), levels)
+
+
 def hash_long(*key: str | Column, seed: int | str = 42) -> Column:
     """52-bit hash of the key and the seed, the same on every run and engine.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patrona.scale import latest_level, least_level
+
 SERVICE_TYPES = {
     "streaming_tv": "ECONOMY",
     "streaming_movies": "LARGE",
@@ -13,6 +15,10 @@ SERVICE_TYPES = {
     "device_protection_plan": "SMALL",
     "online_security": "STANDARD",
 }
+# Levels of the given tables, sorted.
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+STATUSES = ["F", "O", "P"]
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 SERVICES = [*SERVICE_TYPES, "online_backup"]
 LINE_COLUMNS = {"total_charges", *SERVICES}
 EVENT_COLUMNS = {"avg_monthly_gb_download", "internet_type", "internet_service"}
@@ -42,9 +48,9 @@ class Tables:
             (F.sum(cents("o_totalprice")) / F.lit(100.0)).alias("total_revenue"),
             F.max("o_orderdate").alias("last_order"),
             F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("number_of_referrals"),
-            F.min(F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority"))).alias("offer"),
-            F.max_by("o_orderpriority", "o_orderkey").alias("payment_method"),
-            F.max_by("o_orderstatus", "o_orderkey").alias("last_status")))
+            least_level(F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority")), PRIORITIES).alias("offer"),
+            latest_level(F.col("o_orderpriority"), F.col("o_orderkey"), PRIORITIES).alias("payment_method"),
+            latest_level(F.col("o_orderstatus"), F.col("o_orderkey"), STATUSES).alias("last_status")))
 
     def line_facts(self, services: bool) -> DataFrame:
         """Per customer totals of line items, summed per order before the join to orders."""
@@ -70,7 +76,7 @@ class Tables:
     def event_facts(self) -> DataFrame:
         return (self("events").groupBy(F.col("user_id").alias("customer_id")).agg(
             (F.sum(cents("value")) / F.lit(100.0) / F.count("value")).alias("avg_monthly_gb_download"),
-            F.max_by("event_type", "event_id").alias("internet_type")))
+            latest_level(F.col("event_type"), F.col("event_id"), EVENT_TYPES).alias("internet_type")))
 
     def base(self, *columns: str) -> DataFrame:
         """One row per customer. Only the facts that ``columns`` need are joined."""
