@@ -8,14 +8,17 @@ sequence: of the first 2n steps of a text of n characters, those with the smalle
 hashes, the same for all texts of a length and mostly the same for near lengths.
 Likeness is the share of agreeing samples at steps that both fingerprints sampled.
 
-Candidate pairs come from banding the samples; neighbours inside a band's bucket
-are verified by bounded edit distance.
+Candidate pairs come from bit-sampled bands: each band draws four sampled steps by
+their number, and documents that read the same there meet in a bucket. Large buckets are
+split by further bands until they are small; pairs are verified by bounded edit distance
+on whole texts, and groups are what verified pairs connect.
 
 Texts are walked side by side, sorted by length; a walk covers the whole text.
 
 Defined cases: a null text is an empty one; an empty text has an empty sample, two
 of them are alike (1) and one is unlike any other text (0); rows that repeat an id
-are documents of their own, in the order of their text; null ids come last.
+are documents of their own, in the order of their text; null ids come last; very long
+texts are walked whole; an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from patrona.llm import text as T
+from patrona.llm.components import components
 from patrona.session import materialize
 
 SAMPLES = 64
@@ -212,22 +217,96 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return found.where("edge = 0").drop("part", "edge", "text").unionByName(last)
 
 
-def near_pairs(docs: DataFrame, prints: DataFrame, bands: int = 16, most: int = 40) -> DataFrame:
-    """(a, b, distance): documents that share a band of samples next to each other and are within ``most`` edits.
+def band_values(fingerprint: str, bands: int, width: int) -> list[int | None]:
+    """One hash per band: of the (step, sample) pairs at the ``width`` sampled steps that the band draws first.
 
-    Buckets are read in fingerprint order; each document is paired with the one
-    before it there, so a bucket of any size yields as many pairs as it has rows.
+    A band draws by step number, so texts of near lengths, which sample mostly the same
+    steps, read the same ones. A text of fewer samples has one band, of all of them.
     """
-    width = 2 * SAMPLES // bands
-    samples = F.substring_index("fingerprint", ":", -1)
-    cut = F.array(*[F.substring(samples, 1 + i * width, width) for i in range(bands)])
-    buckets = (prints.where("n_chars > 0").select("doc_id", "fingerprint", F.posexplode(cut).alias("band", "value"))
-               .where("value <> ''"))
-    before = F.lag("doc_id").over(W.partitionBy("band", "value").orderBy("fingerprint", "doc_id"))
-    pairs = buckets.select(F.col("doc_id").alias("x"), before.alias("y")).where("y is not null").select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
-    texts = docs.select("doc_id", "text")
-    both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("s")), "a")
-            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("t")), "b"))
-    return (both.where(F.abs(F.length("s") - F.length("t")) <= most)
-            .select("a", "b", F.levenshtein("s", "t", most).alias("distance")).where("distance >= 0"))
+    n, samples = fingerprint.split(":")
+    read = np.frombuffer(bytes.fromhex(samples), np.uint8).astype(np.uint64)
+    if not len(read):
+        return [None] * bands
+    steps = sampled_steps(int(n)).astype(np.uint64)
+    cells = T.mix(steps * np.uint64(257) + read + np.uint64(1))
+    if len(read) <= width:
+        return [int(cells.sum(dtype=np.uint64).view(np.int64)), *[None] * (bands - 1)]
+    draw = T.mix(steps[None, :] + np.arange(1, bands + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15))
+    picked = np.argpartition(draw, width - 1, axis=1)[:, :width]
+    sums = cells[picked].sum(axis=1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)
+    return T.mix(sums).view(np.int64).tolist()
+
+
+def _band_task(bands: int, width: int):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [band_values(f, bands, width) for f in batch.column("fingerprint").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.list_(pa.int64()))],
+                                             names=["doc_id", "bands"])
+    return task
+
+
+def banded(prints: DataFrame, bands: int, width: int, small: int) -> DataFrame:
+    """(a, b), a < b: documents that meet in a bucket; ``prints`` has (doc_id, fingerprint), each id once.
+
+    A bucket of more than ``small`` documents pairs each of them with its first one, and is
+    split by the values of the bands after its own, one more at a time, until its parts
+    are small. So a bucket of any size gives a few pairs a row, and none of its rows is dropped.
+    """
+    cut = materialize(prints.select(F.col("doc_id").cast("long").alias("doc_id"), "fingerprint").mapInArrow(
+        _band_task(bands, width), "doc_id long, bands array<long>"), "edit-bands")
+    rows = cut.select("doc_id", "bands", F.posexplode("bands").alias("band", "key")).where("key is not null")
+    found = cut.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
+    for depth in range(1, bands + 1):
+        sizes = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1")
+        rows = materialize(rows.join(sizes, ["band", "key"]), "edit-buckets")
+        few = rows.where(F.col("n") <= small).select("band", "key", "doc_id")
+        pairs = (few.withColumnRenamed("doc_id", "a").join(few.withColumnRenamed("doc_id", "b"), ["band", "key"])
+                 .where("a < b").select("a", "b"))
+        rows = rows.where(F.col("n") > small)
+        found = found.unionByName(pairs).unionByName(rows.where("doc_id <> first").select(
+            F.col("first").alias("a"), F.col("doc_id").alias("b")))
+        if depth == bands or rows.isEmpty():
+            break
+        further = F.coalesce(F.get("bands", F.pmod(F.col("band") + depth, F.lit(bands))), F.lit(0))
+        rows = rows.select("doc_id", "bands", "band", F.xxhash64("key", further).alias("key"))
+    return found.distinct()
+
+
+def near_pairs(docs: DataFrame, prints: DataFrame, bands: int = 48, width: int = 4, most: int = 40,
+               small: int = 256) -> DataFrame:
+    """(a, b, distance), a < b: documents within ``most`` edits of each other, found by bands and verified on whole texts.
+
+    In a bucket of more than ``small`` documents not every link is listed, but each document
+    is compared with the first one and with those that agree with it in further bands.
+    Of documents with equal texts the smallest id stands for all; they are not listed.
+    Null ids, empty texts and rows that repeat an id of another text take no part.
+    """
+    texts = (docs.where("doc_id is not null and text <> ''").groupBy(F.sha2("text", 256).alias("_text"))
+             .agg(F.min("doc_id").alias("doc_id")))
+    own = docs.select("doc_id", "text").join(texts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    firsts = prints.join(texts.select("doc_id").distinct(), "doc_id", "left_semi").where("n_chars > 0")
+    firsts = firsts.select("doc_id", "fingerprint", "n_chars").dropDuplicates(["doc_id"])
+    sizes = firsts.select("doc_id", "n_chars")
+    pairs = (banded(firsts, bands, width, small)
+             .join(sizes.select(F.col("doc_id").alias("a"), F.col("n_chars").alias("n")), "a")
+             .join(sizes.select(F.col("doc_id").alias("b"), F.col("n_chars").alias("m")), "b")
+             .where(F.abs(F.col("n") - F.col("m")) <= most).select("a", "b"))
+    both = (pairs.join(own.select(F.col("doc_id").alias("a"), F.col("text").alias("s")), "a")
+            .join(own.select(F.col("doc_id").alias("b"), F.col("text").alias("t")), "b"))
+    return both.select("a", "b", F.levenshtein("s", "t", most).alias("distance")).where("distance >= 0")
+
+
+def near_groups(docs: DataFrame, prints: DataFrame, **options) -> DataFrame:
+    """(doc_id, group_id, n_links): the smallest id reachable over near pairs and equal texts, and the document's pairs."""
+    links = materialize(near_pairs(docs, prints, **options).select("a", "b"), "edit-links")
+    named = docs.where("doc_id is not null").select("doc_id", F.sha2("text", 256).alias("_text"))
+    first = named.where("_text is not null").groupBy("_text").agg(F.min("doc_id").alias("first"))
+    equal = named.join(first, "_text").select(F.col("doc_id").alias("u"), F.col("first").alias("v"))
+    merged = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(equal))
+    ends = links.select(F.col("a").alias("doc_id")).unionByName(links.select(F.col("b").alias("doc_id")))
+    counts = ends.groupBy("doc_id").agg(F.count("*").alias("n_links"))
+    return (named.select("doc_id").distinct().join(merged.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+            .join(counts, "doc_id", "left").select(
+                "doc_id", F.coalesce("component", "doc_id").alias("group_id"),
+                F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
