@@ -11,8 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from patrona.catalogue.common import rnd, rounded
-from patrona.catalogue.prep import CATEGORICAL, NUMERIC, model_rows, vectors
-from patrona.catalogue.registry import query
+from patrona.catalogue.prep import CATEGORICAL, HASHED, NUMERIC, model_rows, vectors
+from patrona.catalogue.registry import on_base, query
 from patrona.ml import explain, metrics, models, oversampling, prep
 from patrona.ml.preparation import BalancedWeights, prepared_fold
 from patrona.scale import row_value
@@ -289,13 +289,64 @@ def _(t):
     return explain.shapley_summary(explain.shapley_values(model, rows, "customer_id", names, start))
 
 
-@query("e13_shapley_adds_up")
+HELD_OUT = """
+held_out AS (
+  SELECT customer_id, churn FROM (
+    SELECT customer_id, churn, h, quantile_disc(h, 0.2) OVER (PARTITION BY churn) AS cut FROM hashed) WHERE h <= cut)"""
+
+
+@query("e13_shapley_adds_up", on_base("SELECT customer_id, true AS adds_up FROM held_out", HASHED, HELD_OUT))
 def _(t):
-    """Per held-out row: the sum of its contributions, its score and the score of the starting point."""
+    """The contributions of every held-out row add up to its score minus that of the starting point."""
     train, test = hold_out(churn_rows(t))
     prepared, _weights, fitted = models.fit_pipeline(
         churn_preparation(), models.logistic(), train, BalancedWeights()).stages
     names = prep.preprocessed_names(prepared, NUMERIC, CATEGORICAL)
     rows = materialize(prepared.transform(test).select("customer_id", "features"), "shapley-rows")
     values = explain.shapley_values(fitted, rows, "customer_id", names, [0.0] * len(names))
-    return rounded(explain.additivity(fitted, rows, values, "customer_id", [0.0] * len(names)))
+    gap = F.abs(F.col("contributions") - F.col("score") + F.col("start"))
+    return explain.additivity(fitted, rows, values, "customer_id", [0.0] * len(names)).select(
+        "customer_id", (gap < 1e-9).alias("adds_up"))
+
+
+@query("l01_held_out_counts", on_base("""
+SELECT count(*) AS n, sum(churn)::BIGINT AS n_positive, true AS within_range FROM held_out""", HASHED, HELD_OUT))
+def _(t):
+    """The confusion matrix of the logistic model counts the held-out rows, and no others."""
+    train, test = hold_out(churn_rows(t))
+    found = _classified(models.fit_pipeline(churn_preparation(), models.logistic(), train, BalancedWeights()), test)
+    return found.select("n", (F.col("tp") + F.col("fn")).cast("long").alias("n_positive"),
+                        (F.col("roc_auc").between(0, 1) & F.col("accuracy").between(0, 1)).alias("within_range"))
+
+
+@query("l09_nearest_centre", "SELECT vec_id, true AS nearest FROM embeddings")
+def _(t):
+    """Every vector is in the cluster of its nearest centre."""
+    rows = materialize(vectors(t), "vectors")
+    model = models.best_kmeans(rows, 3, starts=1)
+    centers = [c.tolist() for c in model.clusterCenters()]
+    own = models.centroid_distance
+    assigned = model.transform(rows).withColumn("values", vector_to_array("features"))
+    to_own = F.lit(None).cast("double")
+    for i, center in enumerate(centers):
+        to_own = F.when(F.col("cluster") == i, own([center], "values")).otherwise(to_own)
+    return assigned.select("vec_id", (to_own <= own(centers, "values") + 1e-9).alias("nearest"))
+
+
+@query("l10_best_of_scan", "SELECT 9::BIGINT AS n_scanned, true AS best, count(*) AS n_rows FROM embeddings")
+def _(t):
+    """The k picked from the scan of 2 to 10 has the highest silhouette of all."""
+    rows = materialize(vectors(t), "vectors")
+    scan = materialize(models.scan_k(rows, starts=1), "scan")
+    picked = models.pick_k(scan).select(F.col("silhouette")).scalar()
+    return scan.agg(F.count("*").alias("n_scanned"), (F.max("silhouette") == F.max(picked)).alias("best")).withColumn(
+        "n_rows", rows.agg(F.count("*")).scalar())
+
+
+@query("l11_mixture_consistent", "SELECT vec_id, true AS sums_to_one, true AS most_likely FROM embeddings")
+def _(t):
+    """Probabilities of every vector sum to one and the cluster is the most likely one."""
+    share = vector_to_array("cluster_gmm_probability")
+    return _mixture(t).select("vec_id", share.alias("p"), "cluster_gmm").select(
+        "vec_id", (F.abs(F.aggregate("p", F.lit(0.0), lambda s, x: s + x) - 1) < 1e-9).alias("sums_to_one"),
+        (F.get("p", F.col("cluster_gmm")) == F.array_max("p")).alias("most_likely"))

@@ -125,6 +125,27 @@ def _(t):
     return prep.pca_points(vectors(t)).select("vec_id", "label", vector_to_array("pca").alias("point"))
 
 
+@query("m11_pca_properties", """
+SELECT count(*) AS n_rows, true AS centred, true AS uncorrelated, true AS falling FROM embeddings""")
+def _(t):
+    """Projections have mean 0, no covariance, and falling variances."""
+    x, y = (F.get("p", F.lit(i)) for i in (0, 1))
+    points = prep.pca_points(vectors(t)).select(vector_to_array("pca").alias("p"))
+    return points.agg(
+        F.count("*").alias("n_rows"), (F.greatest(F.abs(F.avg(x)), F.abs(F.avg(y))) < 1e-9).alias("centred"),
+        (F.abs(F.corr(x, y)) < 1e-6).alias("uncorrelated"), (F.var_pop(x) >= F.var_pop(y)).alias("falling"))
+
+
+@query("m10_pca_share_reached", "SELECT count(*) AS n_rows, true AS reached, true AS needed, true AS falling FROM embeddings")
+def _(t):
+    """The kept components reach 95 % of the variance, one fewer does not, and shares fall."""
+    points, _model, explained = prep.pca_keeping(vectors(t), 0.95)
+    shares = [float(x) for x in explained]
+    return points.agg(F.count("*").alias("n_rows")).select(
+        "n_rows", F.lit(sum(shares) >= 0.95 - 1e-12).alias("reached"), F.lit(sum(shares[:-1]) < 0.95).alias("needed"),
+        F.lit(shares == sorted(shares, reverse=True)).alias("falling"))
+
+
 UNIT = f"{hash_sql('customer_id')}::DOUBLE / 4503599627370496"
 
 
@@ -178,6 +199,21 @@ def _(t):
         "synthetic_key", "label", vector_to_array("features").alias("features"))
 
 
+@query("m17_smote_between", on_base("""
+SELECT label, max(n) OVER () - n AS n_synthetic, true AS inside FROM (
+  SELECT churn::DOUBLE AS label, count(*) AS n FROM base GROUP BY 1) QUALIFY n < max(n) OVER ()"""))
+def _(t):
+    """Every new row lies between the least and the largest values of its class, slot by slot."""
+    rows, _model = _prepared(t)
+    cells = rows.select("label", F.posexplode(vector_to_array("features")).alias("slot", "x"))
+    span = cells.groupBy("label", "slot").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    made = oversampling.smote(rows, "customer_id").select(
+        "synthetic_key", "label", F.posexplode(vector_to_array("features")).alias("slot", "x"))
+    return (made.join(F.broadcast(span), ["label", "slot"]).groupBy("label").agg(
+        F.count_distinct("synthetic_key").alias("n_synthetic"),
+        F.bool_and(F.col("x").between(F.col("lo") - 1e-9, F.col("hi") + 1e-9)).alias("inside")))
+
+
 @query("m17_smote_counts", on_base("""
 SELECT label, max(n) OVER () AS n, max(n) OVER () - n AS n_synthetic FROM (
   SELECT churn::DOUBLE AS label, count(*) AS n FROM base GROUP BY 1)"""))
@@ -209,6 +245,16 @@ def _(t):
     return _importances(t)
 
 
+@query("m19_importances_complete", on_base("SELECT feature, true AS in_range FROM (" + union_all(
+    "SELECT '{c}' AS feature FROM (SELECT 1) one", NUMERIC) + "\nUNION ALL\n" + union_all(
+        "SELECT '{0}_' || coalesce({0}, {1}) FROM base GROUP BY 1", [(c, MODE.format(c=c)) for c in CATEGORICAL]) + ")"))
+def _(t):
+    """Every slot has an importance between 0 and 1, and they sum to 1."""
+    table = materialize(_importances(t), "importances")
+    whole = table.agg(F.abs(F.sum("importance") - 1) < 1e-9).scalar()
+    return table.select("feature", (F.col("importance").between(0, 1) & whole).alias("in_range"))
+
+
 @query("t03_top_features")
 def _(t):
     return _importances(t, k=30)

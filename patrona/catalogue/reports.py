@@ -8,6 +8,7 @@ from patrona.catalogue.common import rnd
 from patrona.catalogue.registry import on_base, query
 from patrona.operators import aggregates
 from patrona.plans import reports, star
+from patrona.session import materialize
 
 RATE = rnd("100 * sum(CASE WHEN churn = 1 THEN 1 ELSE 0 END) / count(*)", 2) + " AS churn_rate_pct"
 
@@ -36,8 +37,9 @@ def _services(t, *columns):
 SELECT customer_id, monthly_charge, total_charges, total_revenue, cltv, churn, churn_score, satisfaction_score
 FROM base"""))
 def _(t):
-    return star.fact_activity(_contracts(t, "monthly_charge", "total_charges", "total_revenue", "cltv"),
-                              _feedback(t, "churn", "churn_score", "satisfaction_score"))
+    wide = materialize(t.base("customer_id", "monthly_charge", "total_charges", "total_revenue", "cltv", "churn",
+                              "churn_score", "satisfaction_score"), "wide")
+    return star.fact_activity(star.subject(wide, "customer_contracts"), star.subject(wide, "customer_feedback"))
 
 
 @query("a01_total_customers", "SELECT count(*) AS total_customers FROM customer")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from patrona.catalogue.aggregates import _histogram_sql
 from patrona.catalogue.common import rnd, rounded
-from patrona.catalogue.models import QUICK_TREES, STARTS, TREES, churn_preparation, churn_rows, hold_out
+from patrona.catalogue.models import HELD_OUT, QUICK_TREES, STARTS, TREES, churn_preparation, churn_rows, hold_out
+from patrona.catalogue.prep import HASHED
 from patrona.catalogue.registry import REQUEST_CTE, on_base, query
 from patrona.catalogue.rules import TYPED
 from patrona.functions import rules
@@ -17,6 +18,16 @@ from patrona.plans import scoring
 from patrona.session import materialize
 
 
+RISK = """(CASE WHEN monthly_charges > 80 THEN 0.3e0 ELSE 0e0 END + CASE WHEN tenure < 12 THEN 0.4e0 ELSE 0e0 END
+  + CASE WHEN contract_type = 'Month-to-month' THEN 0.3e0 ELSE 0e0 END)"""
+
+REFUSED = """
+refused AS (
+  SELECT request_id, CASE WHEN tenure_state = 'bad' THEN 'tenure' ELSE 'monthly_charges' END AS bad_field
+  FROM requests WHERE tenure_state = 'bad' OR charge_state = 'empty')
+"""
+
+
 def _forest(t):
     """Balanced forest of the training folds, and all rows."""
     rows = churn_rows(t)
@@ -60,6 +71,39 @@ def _(t):
     return _segments(t)
 
 
+@query("b02_hold_out_consistent", on_base("SELECT customer_id, true AS consistent FROM held_out", HASHED, HELD_OUT))
+def _(t):
+    """The held-out rows, each with a probability and the class that the threshold makes of it."""
+    model, _rows, test = _forest(t)
+    scored = models.score_rows(model, test, "customer_id", threshold=0.5)
+    return scored.select("customer_id", (F.col("churn_proba").between(0, 1) & (
+        F.col("churn_pred") == (F.col("churn_proba") >= 0.5).cast("int"))).alias("consistent"))
+
+
+@query("b03_out_of_fold_complete", on_base("SELECT customer_id, cltv, true AS scored FROM base"))
+def _(t):
+    """Every customer has one score of a model that did not see the customer."""
+    return t.base("customer_id", "cltv").join(_churn_scores(t), "customer_id", "left").select(
+        "customer_id", "cltv", F.coalesce(F.col("churn_proba").between(0, 1), F.lit(False)).alias("scored"))
+
+
+@query("b04_segments_nearest", on_base("SELECT customer_id, contract, true AS known FROM base"))
+def _(t):
+    return _segments(t).select("customer_id", "contract", (
+        F.col("cluster_kmeans").between(0, 2) & (F.col("dist_to_centroid") >= 0)).alias("known"))
+
+
+@query("b06_model_consistent", on_base("""
+SELECT request_id, true AS consistent, NULL::VARCHAR AS bad_field FROM typed
+UNION ALL SELECT request_id, true, bad_field FROM refused""", REQUEST_CTE, TYPED, REFUSED))
+def _(t):
+    """Requests scored by the model: the level belongs to the probability, and a rejected one has no score."""
+    level = rules.risk_level(F.col("probability"))
+    return _scored_by_model(t).select("request_id", F.when(F.col("bad_field").isNull(), (
+        F.col("risk_level") == level) & (F.col("prediction") == (F.col("probability") > 0.5).cast("int")))
+        .otherwise(F.col("probability").isNull()).alias("consistent"), "bad_field")
+
+
 @query("b03_enriched_value_model")
 def _(t):
     """Total charges from customer columns, cluster, centre distance and out-of-fold churn probability."""
@@ -89,16 +133,6 @@ def _(t):
     return scoring.cluster_actions(clusters, "cluster")
 
 
-RISK = """(CASE WHEN monthly_charges > 80 THEN 0.3e0 ELSE 0e0 END + CASE WHEN tenure < 12 THEN 0.4e0 ELSE 0e0 END
-  + CASE WHEN contract_type = 'Month-to-month' THEN 0.3e0 ELSE 0e0 END)"""
-
-REFUSED = """
-refused AS (
-  SELECT request_id, CASE WHEN tenure_state = 'bad' THEN 'tenure' ELSE 'monthly_charges' END AS bad_field
-  FROM requests WHERE tenure_state = 'bad' OR charge_state = 'empty')
-"""
-
-
 @query("b06_score_churn_requests", on_base(f"""
 SELECT request_id, (risk > 0.5)::INT AS prediction, least(risk, 0.9e0) AS probability,
   CASE WHEN least(risk, 0.9e0) > 0.7 THEN 'High' WHEN least(risk, 0.9e0) > 0.4 THEN 'Medium' ELSE 'Low' END AS risk_level,
@@ -109,8 +143,7 @@ def _(t):
     return scoring.score_churn(t.requests())
 
 
-@query("b06_score_churn_by_model")
-def _(t):
+def _scored_by_model(t):
     rows = materialize(t.base("customer_id", "tenure_in_months", "monthly_charge", "total_charges", "churn").select(
         F.col("tenure_in_months").cast("double").alias("tenure"), F.col("monthly_charge").alias("monthly_charges"),
         "total_charges", F.col("churn").cast("double").alias("label")).dropna(), "request-rows")
@@ -119,6 +152,11 @@ def _(t):
     return scoring.score_churn(t.requests(), model)
 
 
+@query("b06_score_churn_by_model")
+def _(t):
+    return _scored_by_model(t)
+
+
 @query("b07_score_value_requests", on_base("""
 SELECT request_id, cltv, CASE WHEN cltv > 5000 THEN 'High Value' WHEN cltv > 2000 THEN 'Medium Value' ELSE 'Low Value'
   END AS value_category, NULL::VARCHAR AS bad_field FROM (SELECT request_id, monthly_charges * greatest(tenure * 2, 24)

@@ -97,6 +97,28 @@ def _(t):
     return out
 
 
+def _bucketed_star(t):
+    wide = t.base(*[c for c in BASE_COLUMNS if any(c in cols for cols in star.SUBJECTS.values())])
+    return catalog.save_bucketed_star(wide, _schema(t, "bucketed"), "customer_id")
+
+
+@query("s08_bucketed_star_fact", on_base("""
+SELECT customer_id, monthly_charge, total_charges, total_revenue, cltv, churn, churn_score, satisfaction_score
+FROM base"""))
+def _(t):
+    return _bucketed_star(t)["fact_customer_activity"]
+
+
+@query("j02_bucketed_join_mean", on_base(f"""
+SELECT internet_type, {rnd('avg(satisfaction_score)')} AS mean_satisfaction, count(*) AS n FROM base GROUP BY 1"""))
+def _(t):
+    """Two bucketed dimensions joined on the customer key: no shuffle but that of the groups."""
+    tables = _bucketed_star(t)
+    joined = tables["dim_customer_services"].join(tables["dim_customer_feedback"], "customer_id")
+    return rounded(joined.groupBy("internet_type").agg(F.avg("satisfaction_score").alias("mean_satisfaction"),
+                                                       F.count("*").alias("n")))
+
+
 @query("s09_list_tables", "\nUNION ALL\n".join(f"SELECT '{name}' AS table_name" for name in [*STAR, "wide_customer"]))
 def _(t):
     return catalog.list_tables(t.spark, _star_tables(t))

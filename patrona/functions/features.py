@@ -20,7 +20,8 @@ VALUE_SERVICES = ["streaming_tv", "streaming_movies", "streaming_music", "premiu
                   "device_protection_plan", "online_security", "online_backup"]
 CHURN_SERVICES = ["phone_service", "multiple_lines", "internet_service", "online_security", "online_backup",
                   "premium_tech_support", "streaming_tv", "streaming_movies", "device_protection_plan"]
-SEGMENT_SERVICES = [*VALUE_SERVICES, "internet_service"]
+SEGMENT_SERVICES = ["streaming_tv", "streaming_movies", "streaming_music", "premium_tech_support",
+                    "device_protection_plan", "online_security", "online_backup", "internet_service"]
 # Text forms that mean a service is subscribed.
 SUBSCRIBED = ["Yes", "1", "Fiber optic", "DSL"]
 
@@ -37,7 +38,12 @@ CHURN_COLUMNS = [
     "payment_method", "paperless_billing", "phone_service", "multiple_lines", "internet_service",
     "online_security", "online_backup", "premium_tech_support", "streaming_tv", "streaming_movies",
     "device_protection_plan", "monthly_charge", "total_charges", "churn"]
-SEGMENT_COLUMNS = VALUE_COLUMNS[:27]
+SEGMENT_COLUMNS = [
+    "customer_id", "age", "gender", "married", "dependents", "contract", "tenure_in_months", "offer",
+    "payment_method", "monthly_charge", "total_charges", "avg_monthly_gb_download", "total_long_distance_charges",
+    "total_revenue", "internet_service", "streaming_tv", "streaming_movies", "streaming_music",
+    "premium_tech_support", "device_protection_plan", "online_security", "online_backup", "referred_a_friend",
+    "number_of_referrals", "satisfaction_score", "unlimited_data", "paperless_billing"]
 
 
 def tenure_bucket_3(tenure: str = "tenure_in_months", null_label: str | None = "2+yrs") -> Column:

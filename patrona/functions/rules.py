@@ -30,6 +30,11 @@ SEGMENT_ADVICE = {
     3: "Re-engagement campaigns; Personalized offers; Win-back strategies",
     4: "Immediate attention required; Personal contact; Exclusive offers",
 }
+CLASS_ADVICE = {1: "Immediate retention action needed", 0: "Customer likely to stay"}
+VALUE_STRATEGIES = {"High Value": "VIP treatment & premium offers", "Medium Value": "Upselling opportunities",
+                    "Low Value": "Basic retention efforts"}
+FOLLOW_UPS = {"Negative": "Follow up with customer service", "Positive": "Share success story",
+              "Neutral": "Monitor for improvements"}
 DEFAULT_ADVICE = "General customer care"
 FEEDBACK_LEVELS = {0: "Highly Satisfied", 1: "Satisfied", 2: "Neutral", 3: "Dissatisfied", 4: "Highly Dissatisfied"}
 SERVICE_MULTIPLIERS = {"Premium": 1.5, "Standard": 1.2, "Basic": 1.0}
@@ -73,7 +78,7 @@ def class_risk(prediction: Column) -> Column:
 
 def class_advice(prediction: Column) -> Column:
     """Advice text for the predicted class."""
-    return F.when(prediction == 1, "Immediate retention action needed").otherwise("Customer likely to stay")
+    return F.when(prediction == 1, CLASS_ADVICE[1]).otherwise(CLASS_ADVICE[0])
 
 
 def value_rule(charge: str, tenure: str, service: str) -> Column:
@@ -91,8 +96,8 @@ def value_category(value: Column) -> Column:
 
 def value_strategy(value: Column) -> Column:
     """Strategy text of the value category."""
-    return (F.when(value > 5000, "VIP treatment & premium offers").when(value > 2000, "Upselling opportunities")
-            .otherwise("Basic retention efforts"))
+    return (F.when(value > 5000, VALUE_STRATEGIES["High Value"]).when(value > 2000, VALUE_STRATEGIES["Medium Value"])
+            .otherwise(VALUE_STRATEGIES["Low Value"]))
 
 
 def value_band(value: Column) -> Column:
@@ -127,8 +132,8 @@ def sentiment_of(good: Column, bad: Column, rating: Column) -> Column:
 
 def follow_up(mood: Column) -> Column:
     """Action for a sentiment."""
-    return (F.when(mood == "Negative", "Follow up with customer service")
-            .when(mood == "Positive", "Share success story").otherwise("Monitor for improvements"))
+    return (F.when(mood == "Negative", FOLLOW_UPS["Negative"]).when(mood == "Positive", FOLLOW_UPS["Positive"])
+            .otherwise(FOLLOW_UPS["Neutral"]))
 
 
 def action_required(cluster: Column) -> Column:

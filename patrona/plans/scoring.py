@@ -85,11 +85,11 @@ def fit_segments(rows: DataFrame, fields: Sequence[str], direction: Sequence[flo
 
 
 def score_segments(rows: DataFrame, model: Model, key: str = "customer_id") -> DataFrame:
-    """(key, segment_id, segment_name, recommendations)."""
+    """(key, segment_id, segment_name, recommendations), the last a list."""
     cluster = F.col("cluster")
     return model.transform(rows).select(
         key, cluster.alias("segment_id"), map_label(cluster, rules.SEGMENT_NAMES, "Unknown").alias("segment_name"),
-        map_label(cluster, rules.SEGMENT_ADVICE, rules.DEFAULT_ADVICE).alias("recommendations"))
+        F.split(map_label(cluster, rules.SEGMENT_ADVICE, rules.DEFAULT_ADVICE), "; ").alias("recommendations"))
 
 
 def score_feedback(rows: DataFrame, model: Model, key: str = "request_id") -> DataFrame:
