@@ -11,7 +11,9 @@ runs of 32. Letters outside the vocabulary cost a fixed small probability.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 rows with a null language train nothing; without training rows all is ``und``; ties
-go to the first language in order; other columns are ignored.
+go to the first language in order; rows that repeat a document are predicted, and
+drawn for training, each; very long texts are predicted whole; an empty table has no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations

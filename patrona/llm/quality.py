@@ -7,8 +7,10 @@ Raw scores of training rows that the ridge did not see are summed in bins, and
 pool-adjacent-violators turns the bins into a rising score from 0 to 1.
 
 Defined cases: a null or empty text has statistics of 0 and gets a score like any
-other; a null label trains nothing; a document labelled twice counts twice; without
-training rows all scores are 0.5; other columns are ignored.
+other; very long texts are counted whole; a null label trains nothing; a document
+labelled twice counts twice and rows that repeat a document are scored each; equal
+statistics give equal scores; without training rows all scores are 0.5; an empty table
+has no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -89,7 +91,7 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
 
 
 class Fourier:
-    """Standardised statistics, then cosines of fixed random directions and the statistics themselves."""
+    """A constant, then cosines of fixed random directions of the standardised statistics."""
 
     def __init__(self, mean: np.ndarray, deviation: np.ndarray, width: float = 3.0, seed: int = 10):
         random = np.random.default_rng(seed)

@@ -8,7 +8,9 @@ digits) reaches the limit of that class; windows that touch are merged. What the
 allow-list matches is taken out of a candidate, and base spans out of the spans.
 
 Defined cases: a null or empty text has no spans; repeated rows are scanned one by
-one; positions are code points of the whole text; other columns are ignored.
+one; very long texts are scanned whole; spans that start together are in order of their
+kind; positions are code points of the whole text; an empty table has no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations

@@ -11,8 +11,10 @@ The whole model is linear in the embeddings, so the score of a word is one numbe
 and a text is scored by one lookup a word and running sums.
 
 Defined cases: a null or empty text, or one without a word, scores the model's
-value for an empty window; documents without a label train nothing; without
-training rows all scores are 0.5; other columns are ignored.
+value for an empty window; very long texts are scored whole; documents without a
+label train nothing; without training rows, or where no training text holds a word, all
+scores are 0.5; equal texts have equal scores and repeated rows are scored each; an empty
+table has no rows; other columns are ignored.
 """
 
 from __future__ import annotations

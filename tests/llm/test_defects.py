@@ -21,6 +21,16 @@ def test_toxicity_without_any_word(spark):
     assert [r["score"] for r in got] == [0.5, 0.5, 0.5]
 
 
+def test_toxicity_of_edge_rows(spark, edge_docs, no_docs):
+    """Nulls, empty and very long texts, ties and repeated rows each get a score; equal texts the same one."""
+    labels = spark.createDataFrame([(5, 1), (7, 0), (8, 0), (11, None), (None, 1)], "doc_id long, toxic int")
+    got = toxicity.toxicity(edge_docs, labels, F.lit(True)).collect()
+    assert len(got) == edge_docs.count() and all(0 <= r["score"] <= 1 for r in got)
+    by_id = {r["doc_id"]: r["score"] for r in got}
+    assert by_id[5] == by_id[6] and by_id[1] == by_id[2] == by_id[3]
+    assert toxicity.toxicity(no_docs, labels, F.lit(True)).count() == 0
+
+
 def test_license_with_a_repeated_passage(spark):
     words = MIT.split()
     at = words.index("deal")
