@@ -3,7 +3,9 @@
 Each stage takes all rows that the one before it kept, is written as Parquet to the
 shared folder and read again by the next. Stages before the last return the columns
 of ``documents``. Rows with a null text or without a letter go in the first stage;
-an empty table passes through as one; columns of any other name are carried along.
+an empty table passes through as one; columns of any other name are carried along. Rows
+that repeat an id are rows of one document and stay or go together; of equal texts the
+smallest id stays; very long texts pass whole.
 """
 
 from __future__ import annotations
