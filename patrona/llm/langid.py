@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 from patrona.llm import text as T
 from patrona.scale import hash_unit
 
+MAX_WORD, MAX_PIECE = 32, 7
+_RUNS = re.compile(rf"[^\W\d_]{{1,{MAX_WORD}}}")
 #: Numerals that are word characters but neither digits nor letters, such as fractions and raised numbers.
 _NUMERALS = "".join(chr(c) for c in range(0x110000) if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal())
 _LETTER = rf"[^\W\d_{re.escape(_NUMERALS)}]"
 LETTERS = re.compile(rf"{_LETTER}+")
-MAX_WORD, MAX_PIECE = 32, 7
 WORDS = re.compile(rf"{_LETTER}{{1,{MAX_WORD}}}")
 START = "▁"
 CACHE_WORDS = 150_000
@@ -42,7 +43,10 @@ CACHE_WORDS = 150_000
 
 def words_of(text: str) -> list[str]:
     """Lower-cased letter runs of a whole text, cut into runs of at most 32 letters."""
-    return WORDS.findall(text.lower())
+    lowered = text.lower()
+    words = _RUNS.findall(lowered)
+    # The exact pattern is slow; few texts hold a numeral of the kinds it leaves out.
+    return words if not words or "".join(words).isalpha() else WORDS.findall(lowered)
 
 
 def public_pieces(path: str) -> list[str]:
