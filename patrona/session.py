@@ -64,4 +64,18 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged.staged_path = path
+    return staged
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete tables written by :func:`materialize` that no later frame reads.
+
+    Only tables whose rows have gone into another written table may be named: a task that
+    runs again reads that one.
+    """
+    for df in staged:
+        spark, path = df.sparkSession, df.staged_path
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
