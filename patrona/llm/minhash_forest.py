@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from patrona.llm import text as T
 from patrona.llm.components import components
-from patrona.session import materialize
+from patrona.session import discard, materialize
 
 TREES, DEPTH = 32, 4
 #: Trees whose neighbours are candidates at first.
@@ -413,15 +413,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     rows = materialize(rows.join(mixed_regions(rows), "region").drop("n"), "forest-rows")
     near = sketched(hub_pairs(rows, _hubs(links, label)), signed, percent)
     near = materialize(near.join(seen, ["a", "b"], "left_anti"), "forest-candidates")
+    discard(links)
     label = _contracted(label, confirmed(own, near, shingle_words, percent))
 
-    rows = rows.drop("comp").join(label, "doc_id")
+    mixed, rows = rows, rows.drop("comp").join(label, "doc_id")
     rows = materialize(rows.join(mixed_regions(rows), "region"), "forest-rows")
+    discard(mixed)
     rest = sketched(small_pairs(rows.where(F.col("n") <= SMALL).drop("n")), signed, percent)
     rest = materialize(rest.join(seen.unionByName(near), ["a", "b"], "left_anti"), "forest-candidates")
     last = confirmed(own, rest, shingle_words, percent).unionByName(
         cluster_links(rows.where(F.col("n") > SMALL).drop("n"), own, shingle_words, percent))
     label = _contracted(label, last)
+    discard(seen, near, rest, rows)
 
     whole = label.groupBy("doc_id").agg(F.min("comp").alias("component_id"))
     return signed.join(whole, "doc_id", "left").select(
