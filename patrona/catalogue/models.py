@@ -146,7 +146,9 @@ def _(t):
 
 @query("l07_search_forest_regressor")
 def _(t):
-    return _searched(value_rows(t), value_preparation(), lambda p: models.forest_regressor(p.pop("numTrees"), **p),
+    def build(params):
+        return models.ForestInParts(models.forest_regressor(params.pop("numTrees"), **params))
+    return _searched(value_rows(t), value_preparation(), build,
                      models.draw_params(models.FOREST_REGRESSOR_SPACE, 3), models.rmse_evaluator())[1]
 
 

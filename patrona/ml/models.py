@@ -14,17 +14,21 @@ from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, Evaluator, RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import (GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressionModel,
+                                   RandomForestRegressor)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patrona.ml import metrics
 from patrona.ml.preparation import PositiveWeight, prepared_fold, with_model
 from patrona.scale import hash_sample, hash_unit, row_value
-from patrona.session import materialize
+from patrona.session import discard, materialize, scratch_path
 
 SEED = 42
 
+#: Tree nodes that one fit of a forest holds in the driver at a time: about 80 MB once fitted, twice that in the making.
+FOREST_NODES = 1 << 18
+
 # Search spaces of the tuned models. A pair is a range, a list is a choice.
 BOOSTED_CLASSIFIER_SPACE = {
     "maxIter": [100, 200, 400], "maxDepth": [3, 5, 8, 12], "stepSize": [0.01, 0.05, 0.1],
@@ -69,6 +73,59 @@ def forest_regressor(trees: int = 100, **params) -> RandomForestRegressor:
     return RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=trees, seed=SEED, **params)
 
 
+class ForestInParts(Estimator):
+    """A regression forest of any size, fitted and saved a few trees at a time.
+
+    Spark keeps all nodes of a fit in the driver. A forest whose trees may have more than
+    ``nodes`` nodes in all is fitted in parts of about that many, each with a seed of its
+    own and on all rows; a smaller one is fitted as it stands.
+    """
+
+    def __init__(self, forest: RandomForestRegressor, nodes: int = FOREST_NODES):
+        super().__init__()
+        self.forest, self.nodes = forest, nodes
+
+    def _fit(self, train: DataFrame) -> Model:
+        forest, trees = self.forest, self.forest.getNumTrees()
+        rows = train.count()
+        per_tree = min(2 ** (forest.getMaxDepth() + 1), 2 * max(rows // forest.getMinInstancesPerNode(), 1))
+        if trees * per_tree <= self.nodes:
+            return forest.fit(train)
+        if forest.getFeatureSubsetStrategy() == "auto":
+            forest = forest.copy().setFeatureSubsetStrategy("onethird")  # a part of one tree is still part of a forest
+        parts, done, largest = [], 0, 0
+        while done < trees:
+            size = min(max(self.nodes // per_tree, 1), trees - done)
+            fitted = forest.copy().setNumTrees(size).setSeed(forest.getSeed() + 7919 * done).fit(train)
+            path = scratch_path(train.sparkSession, "forest")
+            fitted.write().save(path)
+            parts.append((path, size))
+            done += size
+            largest = max(largest, fitted.totalNumNodes // size)
+            per_tree = min(per_tree, largest * 5 // 4)
+        return ForestOfParts(parts, forest.getPredictionCol())
+
+
+class ForestOfParts(Model):
+    """Saved parts of one forest; the prediction is the mean of all trees, a part being loaded at a time."""
+
+    def __init__(self, parts: Sequence[tuple[str, int]], prediction: str = "prediction"):
+        super().__init__()
+        self.parts, self.prediction = list(parts), prediction
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        trees = sum(size for _path, size in self.parts)
+        summed = df.withColumn(self.prediction, F.lit(0.0))
+        staged = []
+        for path, size in self.parts:
+            part = RandomForestRegressionModel.load(path).setPredictionCol("_part")
+            summed = materialize(part.transform(summed).withColumn(
+                self.prediction, F.col(self.prediction) + F.col("_part") * size).drop("_part"), "forest-sum")
+            discard(*staged)
+            staged = [summed]
+        return summed.withColumn(self.prediction, F.col(self.prediction) / trees)
+
+
 def boosted_regressor(**params) -> GBTRegressor:
     """Boosted-tree regressor."""
     return GBTRegressor(featuresCol="features", labelCol="label", seed=SEED, **params)

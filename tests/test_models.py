@@ -365,3 +365,24 @@ def test_positive_weight_search(prepared):
                                         models.ScoreEvaluator("roc_auc"), parallelism=2)
     rows = table.collect()
     assert len(rows) == 2 and sum(r["best"] for r in rows) == 1 and model.getNumTrees in (2, 3)
+
+
+def test_a_large_forest_is_fitted_in_parts(spark):
+    df = prep.Preparation(["a", "b"], ["c"]).fit(_rows(spark)).transform(_rows(spark)).withColumn(
+        "label", F.col("a") * 3 + F.col("b")).cache()
+    forest = models.forest_regressor(20, maxDepth=6, featureSubsetStrategy="all")
+    small = models.ForestInParts(forest).fit(df)
+    assert small.getNumTrees == 20  # fits: the forest as it stands
+    assert small.transform(df).select("prediction").collect() == forest.fit(df).transform(df).select("prediction").collect()
+    large = models.ForestInParts(forest, nodes=500).fit(df)
+    parts = [models.RandomForestRegressionModel.load(path) for path, _size in large.parts]
+    assert sum(p.getNumTrees for p in parts) == 20 and len(parts) > 3
+    assert max(p.totalNumNodes for p in parts) <= 500
+    assert len({t.toDebugString for p in parts for t in p.trees}) == 20  # no tree twice
+    got = {r["id"]: r["prediction"] for r in large.transform(df).collect()}
+    each = [{r["id"]: r["prediction"] for r in p.transform(df).collect()} for p in parts]
+    assert len(got) == 600
+    for key, value_ in got.items():
+        assert value_ == pytest.approx(sum(e[key] * p.getNumTrees for e, p in zip(each, parts)) / 20)
+    rmse = models.rmse_evaluator()
+    assert rmse.evaluate(large.transform(df)) < 1.2 * rmse.evaluate(small.transform(df))
