@@ -9,14 +9,14 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, Evaluator, RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressionModel,
                                    RandomForestRegressor)
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patrona.ml import metrics
@@ -209,17 +209,45 @@ def rounds_by_validation(estimator: Estimator, df: DataFrame, rounds: Sequence[i
 
     The loss of the marked rows is taken after every round. More rounds are tried while the
     best is within the last tenth of them; the seed makes the shorter run a prefix of the
-    longer. The model returned is fitted on the unmarked rows.
+    longer, so at most the first and the longest run are fitted, and the model returned is
+    cut from one of them. It is fitted on the unmarked rows.
     """
     fit_rows, valid = df.where("not validation"), df.where("validation")
+    model = estimator.copy().setMaxIter(rounds[0]).fit(fit_rows)
+    best, settled = _best_rounds(_losses(model, valid), rounds[:1])
+    if not settled and len(rounds) > 1:
+        model = estimator.copy().setMaxIter(rounds[-1]).fit(fit_rows)
+        best, _settled = _best_rounds(_losses(model, valid), rounds)
+    return first_trees(model, best)
+
+
+def _best_rounds(losses: Sequence[float], rounds: Sequence[int]) -> tuple[int, bool]:
+    """Best round of the first run in which it is not within the last tenth, and whether there is such a run."""
     best = rounds[0]
     for limit in rounds:
-        model = estimator.copy().setMaxIter(limit).fit(fit_rows)
-        losses = _losses(model, valid)
-        best = min(range(len(losses)), key=losses.__getitem__) + 1
+        best = min(range(limit), key=losses.__getitem__) + 1
         if best <= 0.9 * limit:
-            break
-    return model if best == limit else estimator.copy().setMaxIter(best).fit(fit_rows)
+            return best, True
+    return best, False
+
+
+def first_trees(model: GBTClassificationModel | GBTRegressionModel, n: int) -> Model:
+    """The boosted model of the first ``n`` rounds: what a fit of so many rounds with the same seed gives."""
+    if n >= model.getNumTrees:
+        return model
+    fitted, spark = model._java_obj, SparkSession.active()
+    gateway = spark.sparkContext._gateway
+    trees = gateway.new_array(spark._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(fitted.trees()[:n], model.treeWeights[:n])):
+        trees[i], weights[i] = tree, weight
+    if isinstance(model, GBTRegressionModel):
+        kind, sizes = spark._jvm.org.apache.spark.ml.regression.GBTRegressionModel, [model.numFeatures]
+    else:
+        kind = spark._jvm.org.apache.spark.ml.classification.GBTClassificationModel
+        sizes = [model.numFeatures, model.numClasses]
+    cut = type(model)(kind(fitted.uid(), trees, weights, *sizes))
+    return model._copyValues(cut)._set(maxIter=n)
 
 
 def _losses(model: Model, valid: DataFrame) -> list[float]:

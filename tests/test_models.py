@@ -216,6 +216,32 @@ def test_rounds_are_chosen_by_validation(spark):
     assert model.getNumTrees == (best if int(np.argmin(losses[:4])) + 1 > 3.6 else int(np.argmin(losses[:4])) + 1)
 
 
+@pytest.mark.parametrize("build", [lambda: models.boosted_classifier(maxDepth=2, stepSize=0.5, subsamplingRate=0.7),
+                                   lambda: models.boosted_regressor(maxDepth=2, subsamplingRate=0.7)])
+def test_first_trees_equal_a_shorter_fit(spark, build):
+    df = prep.Preparation(["a", "b"], ["c"]).fit(_rows(spark)).transform(_rows(spark)).cache()
+    cut = models.first_trees(build().setMaxIter(9).setPredictionCol("p").fit(df), 4)
+    short = build().setMaxIter(4).setPredictionCol("p").fit(df)
+    assert cut.getNumTrees == cut.getMaxIter() == 4 and cut.toDebugString.split("\n")[1:] == short.toDebugString.split("\n")[1:]
+    columns = [c for c in ("p", "probability", "rawPrediction") if c in short.transform(df).columns]
+    assert cut.transform(df).select(columns).collect() == short.transform(df).select(columns).collect()
+    assert cut.featureImportances == short.featureImportances
+
+
+def test_boosting_fits_at_most_two_runs(monkeypatch, spark):
+    df = models.mark_validation(prep.Preparation(["a", "b"], ["c"]).fit(_rows(spark)).transform(_rows(spark)), "id").cache()
+    asked, fit = [], models.GBTClassifier._fit
+    monkeypatch.setattr(models.GBTClassifier, "_fit", lambda self, rows: asked.append(self.getMaxIter()) or fit(self, rows))
+    losses = {2: [3, 2], 4: [3, 2, 1.5, 1], 20: [3, 2, 1.5, 1, 0.9, 2, 2, 2, 0.1] + [1] * 11}
+    monkeypatch.setattr(models, "_losses", lambda model, valid: losses[model.getNumTrees])
+    model = models.rounds_by_validation(models.boosted_classifier(maxDepth=1), df, rounds=(2, 4, 20))
+    assert asked == [2, 20] and model.getNumTrees == 9
+    asked.clear()
+    losses[20][2] = 0.05  # settled within the second run
+    assert models.rounds_by_validation(models.boosted_classifier(maxDepth=1), df, rounds=(2, 4, 20)).getNumTrees == 3
+    assert asked == [2, 20]
+
+
 def test_soft_silhouette_equals_pairs(spark):
     rng = np.random.default_rng(3)
     points = rng.normal(0, 1, (40, 3)) + np.arange(40)[:, None] % 3
