@@ -242,6 +242,22 @@ def test_boosting_fits_at_most_two_runs(monkeypatch, spark):
     assert asked == [2, 20]
 
 
+def test_search_fits_all_folds_side_by_side(spark):
+    import threading
+    together = threading.Barrier(4, timeout=60)  # breaks unless both draws of both folds are evaluated at once
+
+    class Slow(models.ScoreEvaluator):
+        def _evaluate(self, dataset):
+            if threading.current_thread() is not threading.main_thread():
+                together.wait()
+            return super()._evaluate(dataset)
+    df = prep.fold_column(_rows(spark), "id", k=2)
+    draws = [{"regParam": 0.0}, {"regParam": 5.0}]
+    _model, table = models.random_search(prep.Preparation(["a", "b"], ["c"]), lambda p: models.logistic(weight=None, **p),
+                                         draws, df, "fold", 2, Slow("roc_auc"))
+    assert table.count() == 2
+
+
 def test_soft_silhouette_equals_pairs(spark):
     rng = np.random.default_rng(3)
     points = rng.normal(0, 1, (40, 3)) + np.arange(40)[:, None] % 3
