@@ -91,6 +91,44 @@ def test_left_out_bits_equal_a_model_of_the_other_texts():
         assert got[i] == pytest.approx(want, rel=1e-3)
 
 
+def test_model_in_parts_equals_one_model_of_all_texts(spark, some_docs, edge_docs):
+    """Every text gets the bits that a model of whole bytes, counted in one place, gives it."""
+    docs = some_docs.select("doc_id", "text", "lang").unionByName(
+        edge_docs.where("doc_id <> 9").select(F.col("doc_id") + 10 ** 6, "text", "lang").toDF("doc_id", "text", "lang"))
+    docs = docs.where("doc_id is not null").repartition(7, "doc_id")
+    texts = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
+    data = np.frombuffer(b"".join(t for _, t in texts), np.uint8)
+    offsets = np.cumsum([0, *(len(t) for _, t in texts)])
+    keys = perplexity.byte_grams(data, offsets)
+    whole = perplexity.KneserNey(*np.unique(keys, return_counts=True), perplexity.WIDE, perplexity.BYTE)
+    size = np.diff(offsets)
+    bits = whole.left_out_bits(keys, np.repeat(np.arange(len(texts)), size), len(texts))
+    want = sorted((i, b / n if n else None) for (i, _), b, n in zip(texts, bits.tolist(), size.tolist()))
+    got = sorted((r["doc_id"], r["bits"]) for r in perplexity.scored_texts(docs).collect())
+    assert [i for i, _ in got] == [i for i, _ in want]
+    for (_, found), (_, expected) in zip(got, want):
+        assert found == (expected and pytest.approx(expected, rel=1e-9))
+
+
+def test_texts_without_a_byte_have_no_bits(spark):
+    docs = spark.createDataFrame([(1, None, "en"), (2, "", None)], "doc_id long, text string, lang string")
+    rows = perplexity.quality_rules(docs).collect()
+    assert sorted((r["doc_id"], r["bits"], r["kept"]) for r in rows) == [(1, None, False), (2, None, False)]
+
+
+def test_characters_beyond_ascii_are_told_apart(spark):
+    """A text whose characters all differ in one bit from those of its language has other n-grams."""
+    rng = random.Random(5)
+    words = ["".join(chr(0x4E00 + 32 * rng.randrange(2) + rng.randrange(16)) for _ in range(2)) for _ in range(60)]
+    good = [" ".join(rng.choices(words, k=300)) for _ in range(60)]
+    noise = "".join(c if c == " " else chr(ord(c) ^ 16 * rng.randrange(2)) for c in " ".join(rng.choices(words, k=300)))
+    docs = spark.createDataFrame([(i, t, "zh") for i, t in enumerate([*good, noise])],
+                                 "doc_id long, text string, lang string")
+    rows = {r["doc_id"]: r for r in perplexity.quality_rules(docs).collect()}
+    assert not rows[60]["base_failed"] and not rows[60]["kept"] and rows[60]["bits"] > rows[60]["upper_bits"]
+    assert sum(rows[i]["kept"] for i in range(60)) >= 54
+
+
 def test_a_small_language_takes_the_band_of_all(spark, some_docs):
     extra = spark.createDataFrame([(10 ** 9 + i, "the cat sat on the mat " * 9 + str(i), "xx") for i in range(30)]
                                   + [(2 * 10 ** 9, "the cat sat on the mat " * 9, None)],
