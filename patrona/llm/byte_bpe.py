@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 
 from patrona.llm import text as T
 
-#: Bytes, about, of the pieces remembered between calls, per kind, before they are forgotten; and those of an entry.
-CACHE_BYTES, ENTRY_BYTES = 24 << 20, 250
+#: Bytes, about, of the pieces remembered between calls, of both kinds, before they are forgotten; and those of an entry.
+CACHE_BYTES, ENTRY_BYTES = 48 << 20, 220
 #: Pre-tokens up to this length are merged side by side, longer ones one by one.
 SHORT_BYTES = 64
 #: Text encoded at once inside a task.
@@ -153,7 +153,12 @@ def _push_groups(queue: RankQueue, ranks: np.ndarray, at: np.ndarray) -> None:
 
 
 def encode_pieces(pieces: list[bytes], table: PairTable) -> list[list[int]]:
-    """Ids of many short pre-tokens, merged side by side through one rank queue."""
+    """Ids of many short pre-tokens."""
+    return [np.frombuffer(ids, np.uint32).tolist() for ids in _packed_pieces(pieces, table)]
+
+
+def _packed_pieces(pieces: list[bytes], table: PairTable) -> list[bytes]:
+    """Ids of many short pre-tokens, four bytes each, merged side by side through one rank queue."""
     if not pieces:
         return []
     sizes = np.array([len(p) for p in pieces])
@@ -198,13 +203,15 @@ def encode_pieces(pieces: list[bytes], table: PairTable) -> list[list[int]]:
             _push_groups(queue, joined[good], lead[good])
     kept = np.zeros(n + 1, np.int64)
     np.cumsum(alive, out=kept[1:])
-    ids, cuts = token[alive].tolist(), kept[stops].tolist()
+    ids, cuts = token[alive].astype(np.uint32).tobytes(), (4 * kept[stops]).tolist()
     return [ids[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
 
 
 class Codec:
     """Encoder and decoder for whole texts; remembers the ids of pieces between calls, a bounded number of them.
 
+    Remembered ids are bytes, four an id: a list of them takes four times the memory.
+
     A text is cut before every single space first: with the public pattern a token
     never reaches across such a place. The pieces between are split by the pattern.
     """
@@ -214,31 +221,35 @@ class Codec:
         self.ranks, self.split = ranks, regex.compile(pattern).findall
         self.table = table or PairTable(ranks)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.tokens: dict[str, list[int]] = {}
-        self.spaced: dict[str, list[int]] = {}
-        self.held = [0, 0]
-
-    def _learn(self, tokens: set[str]) -> None:
-        short = []
-        new = tokens - self.tokens.keys()
-        self.held[0] += sum(9 * len(token) + ENTRY_BYTES for token in new)  # a character is one id at most, as a rule
-        for token in new:
+        self.tokens: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
+        self.held = 0
+
+    def _ids(self, tokens: set[str]) -> dict[str, bytes]:
+        """Ids of tokens that are not remembered."""
+        short, found = [], {}
+        for token in tokens:
             raw = token.encode()
             whole = self.ranks.get(raw)
             if whole is not None:
-                self.tokens[token] = [whole]
+                found[token] = np.uint32(whole).tobytes()
             elif len(raw) > SHORT_BYTES:
-                self.tokens[token] = encode_piece(raw, self.ranks)
+                found[token] = np.array(encode_piece(raw, self.ranks), np.uint32).tobytes()
             else:
                 short.append(token)
-        self.tokens.update(zip(short, encode_pieces([t.encode() for t in short], self.table)))
+        found.update(zip(short, _packed_pieces([t.encode() for t in short], self.table)))
+        return found
+
+    def _remember(self, cache: dict[str, bytes], found: dict[str, bytes]) -> None:
+        cache.update(found)
+        self.held += sum(map(len, found)) + sum(map(len, found.values())) + len(found) * ENTRY_BYTES
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
-        for kind, cache in enumerate((self.tokens, self.spaced)):
-            if self.held[kind] > CACHE_BYTES:
-                cache.clear()
-                self.held[kind] = 0
+        if self.held > CACHE_BYTES:
+            self.tokens.clear()
+            self.spaced.clear()
+            self.held = 0
         cut: list[tuple[list[str], list[str]]] = []
         for text in texts:
             if "  " in text or text[-1:] == " " or _OTHER_SPACE(text):
@@ -247,12 +258,17 @@ class Codec:
                 first, *rest = text.split(" ")
                 cut.append((self.split(first), rest))
         new = {p: self.split(" " + p) for p in set(chain.from_iterable(rest for _, rest in cut)) - self.spaced.keys()}
-        self._learn({t for split in new.values() for t in split}.union(*(split for split, _ in cut)))
-        self.held[1] += sum(9 * len(piece) + ENTRY_BYTES for piece in new)
+        inner = {t for split in new.values() if len(split) > 1 for t in split}.union(*(split for split, _ in cut))
+        inner -= self.tokens.keys()
+        alone = {split[0] for split in new.values() if len(split) == 1}  # remembered once, as pieces
+        found = self._ids(inner | (alone - self.tokens.keys()))
+        self._remember(self.tokens, {token: found[token] for token in inner})
         known, spaced = self.tokens.__getitem__, self.spaced.__getitem__
-        for piece, split in new.items():
-            self.spaced[piece] = known(split[0]) if len(split) == 1 else list(chain.from_iterable(map(known, split)))
-        return [list(chain.from_iterable(chain(map(known, split), map(spaced, rest)))) for split, rest in cut]
+        self._remember(self.spaced, {
+            piece: b"".join(map(known, split)) if len(split) > 1 else found.get(split[0]) or known(split[0])
+            for piece, split in new.items()})
+        packed = (b"".join(chain(map(known, split), map(spaced, rest))) for split, rest in cut)
+        return [np.frombuffer(ids, np.uint32).tolist() for ids in packed]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
