@@ -67,13 +67,13 @@ def rfm(orders: DataFrame, customer: str, order_date: str, amount: str) -> DataF
         (total / F.count("*")).alias("monetary"), (2 * F.count("*")).alias("tenure"))
 
 
-def fit_segments(rows: DataFrame, fields: Sequence[str], direction: Sequence[float], k: int = 5, seed: int = 42,
+def fit_segments(rows: DataFrame, fields: Sequence[str], direction: Sequence[float] | None = None, k: int = 5, seed: int = 42,
                  starts: int = 5) -> PipelineModel:
     """Scaling and k-means over the given numeric fields; a missing field counts as 0.
 
     Of several starts the one of least inertia is kept, and clusters are numbered by
-    their centres along ``direction``, the highest first, so that a name does not hang on
-    the seed.
+    their centres along ``direction`` (the sum of the fields without one), the highest first,
+    so that a name does not hang on the seed.
     """
     filled = ", ".join(f"nanvl(coalesce(double(`{c}`), 0D), 0D) AS `_{c}`" for c in fields)
     stages = [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
@@ -81,7 +81,7 @@ def fit_segments(rows: DataFrame, fields: Sequence[str], direction: Sequence[flo
               StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_scaled")]
     prepared = Pipeline(stages=stages).fit(rows)
     model = best_kmeans(materialize(prepared.transform(rows).select("_scaled"), "segment-rows"), k, starts, "_scaled", seed)
-    return ranked_clusters(PipelineModel(stages=[*prepared.stages, model]), direction)
+    return ranked_clusters(PipelineModel(stages=[*prepared.stages, model]), direction or [1.0] * len(fields))
 
 
 def score_segments(rows: DataFrame, model: Model, key: str = "customer_id") -> DataFrame:
