@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from patrona.llm import text as T
@@ -136,7 +137,8 @@ class PairTable:
         order = np.argsort(np.array(keys, np.int64))
         self.keys = np.array(keys, np.int64)[order]
         self.joined = np.array(joined, np.int32)[order]
-        self.single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
+        self.single = np.array([get(bytes([b]), -1) for b in range(256)], np.int32)
+        self.bytes = np.array([get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int32)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left.astype(np.int64) << 32 | right
@@ -145,41 +147,53 @@ class PairTable:
 
 
 def _push_groups(queue: RankQueue, ranks: np.ndarray, at: np.ndarray) -> None:
-    order = np.argsort(ranks, kind="stable")
+    if len(ranks) == 1:
+        queue.push(int(ranks[0]), at)
+        return
+    order = np.argsort(ranks if ranks.max() >> 16 else ranks.astype(np.uint16), kind="stable")  # 16 bits: radix sort
     ranks, at = ranks[order], at[order]
-    cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
-    for rank, start, stop in zip(ranks[np.r_[0, cuts]].tolist(), [0, *cuts.tolist()], [*cuts.tolist(), len(at)]):
+    cuts = (np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist()
+    starts = [0, *cuts]
+    for rank, start, stop in zip(ranks[starts].tolist(), starts, [*cuts, len(at)]):
         queue.push(rank, at[start:stop])
 
 
 def encode_pieces(pieces: list[bytes], table: PairTable) -> list[list[int]]:
     """Ids of many short pre-tokens."""
-    return [np.frombuffer(ids, np.uint32).tolist() for ids in _packed_pieces(pieces, table)]
+    ids, counts = _merged(np.frombuffer(b"".join(pieces), np.uint8), np.array([len(p) for p in pieces], np.int64), table)
+    return [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] if pieces else []
 
 
-def _packed_pieces(pieces: list[bytes], table: PairTable) -> list[bytes]:
-    """Ids of many short pre-tokens, four bytes each, merged side by side through one rank queue."""
-    if not pieces:
-        return []
-    sizes = np.array([len(p) for p in pieces])
-    data = np.frombuffer(b"".join(pieces), np.uint8)
+def _merged(data: np.ndarray, sizes: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of short pre-tokens that stand one after the other in ``data``, merged side by side through one rank queue.
+
+    Returns all ids and their number per pre-token.
+    """
     n = len(data)
+    if not n:
+        return np.zeros(0, np.uint32), np.zeros(len(sizes), np.int64)
     token = table.single[data]
-    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
     stops = np.cumsum(sizes)
-    after[stops - 1] = -1
-    before[stops - sizes] = -1
+    full = sizes > 0
+    after[stops[full] - 1] = -1
+    before[stops[full] - sizes[full]] = -1
     alive = np.ones(n, bool)
     pair = np.full(n, -1, np.int32)
-    starts = np.flatnonzero(after >= 0)
-    pair[starts] = table.rank(token[starts], token[starts + 1])
+    pair[:-1] = table.bytes[data[:-1].astype(np.uint16) << 8 | data[1:]]
+    pair[after < 0] = -1
     queue = RankQueue()
-    first = np.flatnonzero(pair >= 0)
+    first = np.flatnonzero(pair >= 0).astype(np.int32)
     if len(first):
         _push_groups(queue, pair[first], first)
     while queue.top:
         rank, bucket = queue.pop()
-        at = bucket[0] if len(bucket) == 1 else np.unique(np.concatenate(bucket))
+        if len(bucket) == 1:  # ascending as it is
+            at = bucket[0]
+        else:
+            at = np.concatenate(bucket)
+            at.sort()
+            at = at[np.append(True, at[1:] != at[:-1])]
         at = at[pair[at] == rank]  # the others are stale
         if not len(at):
             continue
@@ -188,23 +202,39 @@ def _packed_pieces(pieces: list[bytes], table: PairTable) -> list[bytes]:
         if len(at) > 1:
             close = (at[1:] == right[:-1]) | (at[1:] == stop[:-1])
             if close.any():  # of pairs that touch, the leftmost goes first; the others wait in their bucket
-                wait = np.r_[False, close]
+                wait = np.append(False, close)
                 queue.push(rank, at[wait])
                 at, right, stop = at[~wait], right[~wait], stop[~wait]
         token[at], after[at], pair[at], pair[right], alive[right] = rank, stop, -1, -1, False
         left = before[at]
         on, off = stop >= 0, left >= 0
-        before[stop[on]] = at[on]
-        lead = np.concatenate([at[on], left[off]])
-        joined = table.rank(token[lead], token[np.concatenate([stop[on], at[off]])])
+        ahead, behind, next_part = at[on], left[off], stop[on]
+        before[next_part] = ahead
+        lead = np.concatenate([ahead, behind])
+        joined = table.rank(token[lead], token[np.concatenate([next_part, at[off]])])
         pair[lead] = joined
         good = joined >= 0
-        if good.any():
-            _push_groups(queue, joined[good], lead[good])
+        lead = lead[good]
+        if len(lead):
+            lead.sort()
+            _push_groups(queue, pair[lead], lead)
     kept = np.zeros(n + 1, np.int64)
     np.cumsum(alive, out=kept[1:])
-    ids, cuts = token[alive].astype(np.uint32).tobytes(), (4 * kept[stops]).tolist()
-    return [ids[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+    return token[alive].astype(np.uint32), kept[stops] - kept[stops - sizes]
+
+
+def _flat(values: pa.LargeBinaryArray | pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of an array without nulls."""
+    if not len(values):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1]
+    return offsets, np.frombuffer(values.buffers()[2] or b"", np.uint8)
+
+
+def _binary(offsets: np.ndarray, data: np.ndarray) -> pa.LargeBinaryArray:
+    """Array of the byte ranges between the offsets."""
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1,
+                                 [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 class Codec:
@@ -212,63 +242,93 @@ class Codec:
 
     Remembered ids are bytes, four an id: a list of them takes four times the memory.
 
-    A text is cut before every single space first: with the public pattern a token
-    never reaches across such a place. The pieces between are split by the pattern.
+    A text is cut before every space that something other than white space follows:
+    with the public pattern a token never reaches across such a place. The distinct
+    pieces between are split by the pattern, those alone that are not remembered.
+    Whatever is done per piece of a text, token or id is done by Arrow for many texts.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, table: PairTable | None = None):
         import regex
-        self.ranks, self.split = ranks, regex.compile(pattern).findall
+        self.ranks, self.split, self.cut = ranks, regex.compile(pattern).findall, regex.compile(r" (?=\S)").split
         self.table = table or PairTable(ranks)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.tokens: dict[str, bytes] = {}
+        self.whole = pa.array(ranks, pa.large_binary())
+        self.whole_ids = np.fromiter(ranks.values(), np.uint32, len(ranks))
+        every = range(max(ranks.values(), default=-1) + 1)
+        self.token_bytes = pa.array([self.bytes_of.get(rank, b"") for rank in every], pa.large_binary())
+        self.numbers = pa.array([b"%d," % rank for rank in every], pa.large_binary())
         self.spaced: dict[str, bytes] = {}
         self.held = 0
 
-    def _ids(self, tokens: set[str]) -> dict[str, bytes]:
-        """Ids of tokens that are not remembered."""
-        short, found = [], {}
-        for token in tokens:
-            raw = token.encode()
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                found[token] = np.uint32(whole).tobytes()
-            elif len(raw) > SHORT_BYTES:
-                found[token] = np.array(encode_piece(raw, self.ranks), np.uint32).tobytes()
-            else:
-                short.append(token)
-        found.update(zip(short, _packed_pieces([t.encode() for t in short], self.table)))
-        return found
-
-    def _remember(self, cache: dict[str, bytes], found: dict[str, bytes]) -> None:
-        cache.update(found)
-        self.held += sum(map(len, found)) + sum(map(len, found.values())) + len(found) * ENTRY_BYTES
-
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text."""
+    def _token_ids(self, tokens: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct tokens."""
+        raw = tokens.cast(pa.large_binary())
+        offsets, data = _flat(raw)
+        sizes = np.diff(offsets)
+        whole = pc.index_in(raw, self.whole)
+        known = whole.is_valid().to_numpy(zero_copy_only=False)
+        short, long = ~known & (sizes <= SHORT_BYTES), ~known & (sizes > SHORT_BYTES)
+        some = raw.filter(pa.array(short))
+        at, merged = _flat(some)
+        merged, n_merged = _merged(merged[at[0]:at[-1]], np.diff(at), self.table)
+        apart = [np.array(encode_piece(piece, self.ranks), np.uint32) for piece in raw.filter(pa.array(long)).to_pylist()]
+        # all ids, kind after kind, and the place of each token among them
+        places, counts = np.empty(len(raw), np.int64), [n_merged, [len(ids) for ids in apart], np.ones(known.sum(), int)]
+        places[np.concatenate([np.flatnonzero(short), np.flatnonzero(long), np.flatnonzero(known)])] = range(len(raw))
+        ids = np.concatenate([merged, *apart, self.whole_ids[whole.drop_null().to_numpy()]])
+        return _binary(4 * _running(np.concatenate(counts)), ids.view(np.uint8)).take(pa.array(places))
+
+    def _piece_ids(self, pieces: list[str]) -> pa.LargeBinaryArray:
+        """Ids of pieces, each split by the pattern."""
+        split = list(map(self.split, pieces))
+        tokens = pa.array(list(chain.from_iterable(split)), pa.large_string()).dictionary_encode()
+        at, data = _flat(self._token_ids(tokens.dictionary).take(tokens.indices))
+        return _binary(at[_running(list(map(len, split)))], data)
+
+    def _pieces(self, texts: pa.LargeStringArray) -> pa.LargeListArray:
+        """The pieces of each text; the space before each but the first is left out."""
+        odd = [("  " in text or text[-1:] == " " or _OTHER_SPACE(text) is not None) for text in texts.to_pylist()]
+        pieces = pc.split_pattern(texts, " ")
+        if any(odd):
+            again = pa.array([self.cut(text) for text in texts.filter(pa.array(odd)).to_pylist()], pieces.type)
+            order = np.arange(len(texts))
+            order[odd] = len(texts) + np.arange(len(again))
+            pieces = pa.concat_arrays([pieces, again]).take(pa.array(order))
+        return pieces
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the offsets of the texts among them; null is empty."""
+        pieces = self._pieces(pc.fill_null(texts.cast(pa.large_string()), ""))
+        bounds = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset:pieces.offset + len(pieces) + 1].astype(np.int64)
+        values, bounds = pieces.flatten(), bounds - bounds[0]
+        later = np.ones(len(values), bool)
+        later[bounds[:-1]] = False
+        rest = values.filter(pa.array(later)).dictionary_encode()
+        distinct = rest.dictionary.to_pylist()
+        ids = list(map(self.spaced.get, distinct))
+        new = [piece for piece, known in zip(distinct, ids) if known is None]
+        found = self._piece_ids([" " + piece for piece in new] + values.filter(pa.array(~later)).to_pylist())
+        learnt = dict(zip(new, found[:len(new)].to_pylist()))
+        ids = [learnt[piece] if known is None else known for piece, known in zip(distinct, ids)]
+        self._remember(learnt)
+        codes = np.empty(len(values), np.int64)
+        codes[later] = rest.indices.to_numpy()
+        codes[~later] = len(distinct) + np.arange(len(pieces))
+        at, data = _flat(pa.concat_arrays([pa.array(ids, pa.large_binary()), found[len(new):]]).take(pa.array(codes)))
+        return data[:at[-1]].view(np.uint32), at[bounds] >> 2
+
+    def _remember(self, learnt: dict[str, bytes]) -> None:
         if self.held > CACHE_BYTES:
-            self.tokens.clear()
             self.spaced.clear()
             self.held = 0
-        cut: list[tuple[list[str], list[str]]] = []
-        for text in texts:
-            if "  " in text or text[-1:] == " " or _OTHER_SPACE(text):
-                cut.append((self.split(text), []))
-            else:
-                first, *rest = text.split(" ")
-                cut.append((self.split(first), rest))
-        new = {p: self.split(" " + p) for p in set(chain.from_iterable(rest for _, rest in cut)) - self.spaced.keys()}
-        inner = {t for split in new.values() if len(split) > 1 for t in split}.union(*(split for split, _ in cut))
-        inner -= self.tokens.keys()
-        alone = {split[0] for split in new.values() if len(split) == 1}  # remembered once, as pieces
-        found = self._ids(inner | (alone - self.tokens.keys()))
-        self._remember(self.tokens, {token: found[token] for token in inner})
-        known, spaced = self.tokens.__getitem__, self.spaced.__getitem__
-        self._remember(self.spaced, {
-            piece: b"".join(map(known, split)) if len(split) > 1 else found.get(split[0]) or known(split[0])
-            for piece, split in new.items()})
-        packed = (b"".join(chain(map(known, split), map(spaced, rest))) for split, rest in cut)
-        return [np.frombuffer(ids, np.uint32).tolist() for ids in packed]
+        self.spaced.update(learnt)
+        self.held += sum(map(len, learnt)) + sum(map(len, learnt.values())) + len(learnt) * ENTRY_BYTES
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text."""
+        ids, at = self.encode_column(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
@@ -277,51 +337,51 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+def _running(counts) -> np.ndarray:
+    """Sums of the counts before each place, and of all."""
+    out = np.zeros(len(counts) + 1, np.int64)
+    np.cumsum(counts, out=out[1:])
+    return out
+
+
 #: The codec of a worker process, by the call it belongs to; the next task of the worker goes on with it.
-_CODEC: dict[str, tuple[Codec, list[str]]] = {}
+_CODEC: dict[str, Codec] = {}
 
 
 def _codec_task(setup, call: str, with_ids: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if call not in _CODEC:
-            ranks, pattern = setup.value
             _CODEC.clear()
-            _CODEC[call] = Codec(ranks, pattern), [str(i) for i in range(max(ranks.values(), default=0) + 1)]
-        codec, number = _CODEC[call]
+            _CODEC[call] = Codec(*setup.value)
         collecting = gc.isenabled()
-        gc.disable()  # lists of ids hold no cycles; counting references frees them
+        gc.disable()  # lists of tokens hold no cycles; counting references frees them
         try:
             for rows, _, _ in T.chunks(batches, max_bytes=CHUNK_BYTES):
-                yield _encoded(codec, number, rows, with_ids)
+                yield _encoded(_CODEC[call], rows, with_ids)
         finally:
             if collecting:
                 gc.enable()
     return task
 
 
-def _encoded(codec: Codec, number: list[str], rows: pa.RecordBatch, with_ids: bool) -> pa.RecordBatch:
-    counts, shas, back, kept = [], [], [], []
-    for ids in codec.encode_all([text or "" for text in rows.column("text").to_pylist()]):
-        counts.append(len(ids))
-        shas.append(hashlib.sha256(",".join(map(number.__getitem__, ids)).encode()).hexdigest())
-        back.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-        if with_ids:
-            kept.append(pa.array(ids, pa.int32()))
-    columns = [rows.column("doc_id"), pa.array(counts, pa.int64()), pa.array(shas), pa.array(back)]
+def _encoded(codec: Codec, rows: pa.RecordBatch, with_ids: bool) -> pa.RecordBatch:
+    ids, at = codec.encode_column(rows.column("text"))
+    counts, places = np.diff(at), pa.array(ids)
+    shas = _digests(codec.numbers.take(places), at, 1)  # without the last comma
+    columns = [rows.column("doc_id"), pa.array(counts), pa.array(shas),
+               pa.array(_digests(codec.token_bytes.take(places), at, 0))]
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     if with_ids:
-        offsets = pa.array([0, *_running(counts)], pa.int32())
-        columns.append(pa.ListArray.from_arrays(offsets, pa.concat_arrays(kept or [pa.array([], pa.int32())])))
+        columns.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32())))
         names.append("ids")
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _running(counts: list[int]) -> list[int]:
-    total, out = 0, []
-    for n in counts:
-        total += n
-        out.append(total)
-    return out
+def _digests(parts: pa.LargeBinaryArray, at: np.ndarray, less: int) -> list[str]:
+    """SHA-256 of the joined parts of each text, but for the last bytes."""
+    offsets, data = _flat(parts)
+    cuts = offsets[at].tolist()
+    return [hashlib.sha256(data[a:max(a, b - less)]).hexdigest() for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, with_ids: bool = False) -> DataFrame:

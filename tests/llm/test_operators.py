@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +174,28 @@ def test_bpe_long_and_random_pieces(reference_encoder):
     assert [codec.decode(codec.encode(t)).decode() for t in texts] == texts
 
 
+def test_bpe_splits_a_remembered_piece_no_more(reference_encoder):
+    codec = byte_bpe.Codec(byte_bpe.load_ranks(RANKS), public_tokenizers.PATTERN)
+    texts = [f"{i}  some words,\n  and \t some more {i} words  " for i in range(50)]
+    want = [reference_encoder.encode_ordinary(t) for t in texts]
+    assert codec.encode_all(texts) == want
+    split, seen = codec.split, []
+    codec.split = lambda piece: seen.append(piece) or split(piece)
+    assert codec.encode_all(texts) == want
+    assert sum(map(len, seen)) < 0.2 * sum(map(len, texts))
+
+
+def test_bpe_columns_with_nulls_slices_and_forgotten_pieces(reference_encoder):
+    codec = byte_bpe.Codec(byte_bpe.load_ranks(RANKS), public_tokenizers.PATTERN)
+    texts = ["left out", None, "", " ", "a b  c ", "\x1c \x85 x\x0b ", "x" * 70 + " é中 don't", None]
+    want = [reference_encoder.encode_ordinary(t or "") for t in texts[1:]]
+    for _ in range(3):
+        ids, at = codec.encode_column(pa.array(texts, pa.string()).slice(1))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+        codec.held = byte_bpe.CACHE_BYTES + 1
+    assert codec.encode_all([]) == []
+
+
 # --- 5 near-duplicates
 
 def brute_components(rows, k, percent):
