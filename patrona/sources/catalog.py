@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,10 +40,15 @@ def save_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame
     """A managed table bucketed and sorted by its key, written aside and swapped in when it is complete.
 
     Tables with as many buckets of the same key are joined without a shuffle. A write
-    that fails leaves the table that was there.
+    that fails leaves the table that was there; tasks of it may still leave files in its
+    folder, so each write has a name of its own. Tables that were never swapped in go first.
     """
-    finished = f"{name}__next"
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {finished}")
+    schema, _, table = name.rpartition(".")
+    schema = schema or df.sparkSession.catalog.currentDatabase()
+    left = list_tables(df.sparkSession, schema).where(F.col("table_name").startswith(f"{table.lower()}__next_"))
+    for row in left.collect():
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {schema}.{row['table_name']}")
+    finished = f"{name}__next_{uuid.uuid4().hex}"
     df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(finished)
     swap_table(df.sparkSession, finished, name)
     return df.sparkSession.table(name)

@@ -45,3 +45,19 @@ def test_failed_write_leaves_the_former_table(spark, schema):
     assert spark.table(name).count() == 30
     left = {r["table_name"] for r in catalog.list_tables(spark, schema).collect()}
     assert "customers" in left and "customers__former" not in left
+
+
+def test_files_of_a_failed_write_do_not_hinder_the_next(spark, schema):
+    name = f"{schema}.customers_again"
+    catalog.save_bucketed(_wide(spark, 10), name, "customer_id", 4)
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    _wide(spark, 5).write.parquet(place + "__next/_temporary/0")
+    catalog.save_bucketed(_wide(spark, 30), name, "customer_id", 4)
+    assert spark.table(name).count() == 30
+
+
+def test_tables_never_swapped_in_go_with_the_next_write(spark, schema):
+    _wide(spark, 5).write.saveAsTable(f"{schema}.customers_late__next_1")
+    catalog.save_bucketed(_wide(spark, 30), f"{schema}.customers_late", "customer_id", 4)
+    assert {r["table_name"] for r in catalog.list_tables(spark, schema).collect()} >= {"customers_late"}
+    assert not spark.catalog.tableExists(f"{schema}.customers_late__next_1")
