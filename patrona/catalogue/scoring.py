@@ -187,7 +187,7 @@ def _(t):
     """Every customer keeps the segment when the model is fitted again from another seed."""
     rows = materialize(scoring.rfm(t("orders"), "o_custkey", "o_orderdate", "o_totalprice"), "rfm")
     first, second = (scoring.score_segments(rows, scoring.fit_segments(
-        rows, scoring.SEGMENT_FIELDS, scoring.SEGMENT_DIRECTION, k=2, seed=seed)) for seed in (42, 7))
+        rows, scoring.SEGMENT_FIELDS, scoring.SEGMENT_DIRECTION, k=2, seed=seed, repeats=3)) for seed in (42, 7))
     return first.join(second.select("customer_id", F.col("segment_name").alias("again")), "customer_id").select(
         "customer_id", (F.col("segment_name") == F.col("again")).alias("same_segment"))
 

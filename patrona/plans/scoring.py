@@ -68,10 +68,10 @@ def rfm(orders: DataFrame, customer: str, order_date: str, amount: str) -> DataF
 
 
 def fit_segments(rows: DataFrame, fields: Sequence[str], direction: Sequence[float] | None = None, k: int = 5, seed: int = 42,
-                 starts: int = 5) -> PipelineModel:
+                 starts: int = 5, repeats: int = 1) -> PipelineModel:
     """Scaling and k-means over the given numeric fields; a missing field counts as 0.
 
-    Of several starts the one of least inertia is kept, and clusters are numbered by
+    Of several starts the one of least inertia is kept (``repeats``: see ``best_kmeans``), and clusters are numbered by
     their centres along ``direction`` (the sum of the fields without one), the highest first,
     so that a name does not hang on the seed.
     """
@@ -80,7 +80,8 @@ def fit_segments(rows: DataFrame, fields: Sequence[str], direction: Sequence[flo
               VectorAssembler(inputCols=[f"_{c}" for c in fields], outputCol="_raw"),
               StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_scaled")]
     prepared = Pipeline(stages=stages).fit(rows)
-    model = best_kmeans(materialize(prepared.transform(rows).select("_scaled"), "segment-rows"), k, starts, "_scaled", seed)
+    scaled = materialize(prepared.transform(rows).select("_scaled"), "segment-rows")
+    model = best_kmeans(scaled, k, starts, "_scaled", seed, repeats)
     return ranked_clusters(PipelineModel(stages=[*prepared.stages, model]), direction or [1.0] * len(fields))
 
 
